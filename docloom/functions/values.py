@@ -45,17 +45,17 @@ def parse_document(raw: Column) -> Column:
 
 
 def value_type(v: Column) -> Column:
-    """Class name of a JSON value; SQL NULL for a missing one."""
-    shape = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(shape == "VOID", "null")
-        .when(shape == "STRING", "string")
-        .when(shape == "BOOLEAN", "boolean")
-        .when(shape.startswith("ARRAY"), "array")
-        .when(shape.startswith("OBJECT"), "object")
-        .otherwise("number")
-    )
+    """Class name of a JSON value; SQL NULL for a missing one.
+
+    The shape is read once and looked up: inside array functions nothing shares a subexpression.
+    """
+    shapes = {
+        "VOID": "null", "STRING": "string", "BOOLEAN": "boolean", "ARRAY": "array",
+        "OBJECT": "object",
+    }
+    classes = F.create_map(*[F.lit(x) for item in shapes.items() for x in item])
+    shape = F.substring_index(F.schema_of_variant(v), "<", 1)
+    return F.when(v.isNotNull(), F.coalesce(F.try_element_at(classes, shape), F.lit("number")))
 
 
 def as_text(v: Column) -> Column:
@@ -154,19 +154,32 @@ def label_text(v: Column, levels: int = 3) -> Column:
 
 
 def _child_path(parent: Column, key: Column) -> Column:
-    """Keys that are not plain words are quoted, so that a path stays unambiguous."""
-    quoted = F.concat(F.lit('["'), F.regexp_replace(key, r'(["\\])', r"\\$1"), F.lit('"]'))
+    """Keys that are not plain words are quoted, with brackets escaped: a path stays unambiguous."""
+    escaped = F.regexp_replace(key, r'(["\\])', r"\\$1")
+    escaped = F.replace(F.replace(escaped, F.lit("["), F.lit(r"\u005b")), F.lit("]"), F.lit(r"\u005d"))
+    quoted = F.concat(F.lit('["'), escaped, F.lit('"]'))
     return F.concat(
         parent, F.when(key.rlike(r"^[\p{L}\p{N}_@\-]+$"), F.concat(F.lit("."), key)).otherwise(quoted)
     )
 
 
+def field_path(path: Column) -> Column:
+    """A node's path without array positions."""
+    return F.regexp_replace(path, r"\[[0-9]+\]", "")
+
+
+def leads_arrays(path: Column) -> Column:
+    """The path only ever enters the first element of an array, and no array inside an array."""
+    return ~path.rlike(r"\[[1-9][0-9]*\]|\[0\]\[0\]")
+
+
 def nodes(v: Column, root: str = "$", max_levels: int | None = None) -> Column:
     """Every node of a JSON value at any depth, root first, as one array per row.
 
-    Element: ``struct<path, above array<path>, type, value>``. The number of rounds comes from
-    the brackets in the row's own text, which is never less than its depth, so nothing is cut
-    unless ``max_levels`` asks for it. One parse, no shuffle, one ``explode`` by the caller.
+    Element: ``struct<path, above, type, value>``; ``above`` lists the ancestors with the step
+    taken from each (``key`` or ``item``). The number of rounds comes from the brackets in the
+    row's own text, which is never less than its depth, so nothing is cut unless ``max_levels``
+    asks for it. One parse, no shuffle, one ``explode`` by the caller.
     """
 
     def node(path: Column, above: Column, value: Column) -> Column:
@@ -175,20 +188,24 @@ def nodes(v: Column, root: str = "$", max_levels: int | None = None) -> Column:
             value.alias("value"),
         )
 
+    def above(n: Column, step: str) -> Column:
+        here = F.struct(n["path"].alias("path"), F.lit(step).alias("step"))
+        return F.concat(n["above"], F.array(here))
+
     def children(n: Column) -> Column:
-        above = F.concat(n["above"], F.array(n["path"]))
         members = F.transform(
             F.map_entries(F.try_variant_get(n["value"], "$", "map<string,variant>")),
-            lambda e: node(_child_path(n["path"], e["key"]), above, e["value"]),
+            lambda e: node(_child_path(n["path"], e["key"]), above(n, "key"), e["value"]),
         )
         items = F.transform(
             F.try_variant_get(n["value"], "$", "array<variant>"),
             lambda e, i: node(
-                F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")), above, e
+                F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")),
+                above(n, "item"), e,
             ),
         )
         return F.when(n["type"] == "object", members).when(n["type"] == "array", items).otherwise(
-            F.array().cast(NODE_ARRAY)
+            F.array().cast(f"array<{NODE}>")
         )
 
     def deeper(acc: Column, _: Column) -> Column:
@@ -203,12 +220,15 @@ def nodes(v: Column, root: str = "$", max_levels: int | None = None) -> Column:
     rounds = F.length(text) - F.length(F.translate(text, "{[", ""))
     if max_levels is not None:
         rounds = F.least(rounds, F.lit(max_levels))
+    no_ancestors = F.array().cast("array<struct<path:string,step:string>>")
     start = F.struct(
-        F.array(node(F.lit(root), F.array().cast("array<string>"), v)).alias("all"),
+        F.array(node(F.lit(root), no_ancestors, v)).alias("all"),
         F.lit(1).alias("next"),
     )
     ticks = F.when(rounds > 0, F.sequence(F.lit(1), rounds)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(ticks, start, deeper, lambda acc: acc["all"])
 
 
-NODE_ARRAY = "array<struct<path:string,above:array<string>,type:string,value:variant>>"
+NODE = (
+    "struct<path:string,above:array<struct<path:string,step:string>>,type:string,value:variant>"
+)

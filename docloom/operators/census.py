@@ -95,18 +95,14 @@ def mode(declared: Column, value: Column) -> Column:
 def type_family(docs: DataFrame, declared: dict[str, str]) -> DataFrame:
     """Values per path, family and mode, over every path found in the documents.
 
-    ``declared`` maps paths to types; it is a schema, so it travels as a literal map. Array
-    elements share their array's path and the root is left out.
+    ``declared`` maps paths to types; it is a schema, so it travels as a literal map. An array is
+    one value; members of the objects inside it are counted under the path without positions.
     """
     pairs = [F.lit(x) for item in declared.items() for x in item]
     types = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
-    found = docs.select(
-        "_index", F.explode(V.nodes(V.parse_document(F.col("raw")))).alias("n")
-    ).where(F.size("n.above") > 0)
-    # Elements of an array are values of the array's own path, the array itself is not counted.
-    path = F.regexp_replace("n.path", r"\[[0-9]+\]", "")
-    rows = found.where(F.col("n.type") != "array").select(
-        "_index", path.alias("path"), F.col("n.value").alias("value")
+    found = docs.select("_index", F.explode(V.nodes(V.parse_document(F.col("raw")))).alias("n"))
+    rows = found.where(F.try_element_at("n.above", F.lit(-1))["step"] == "key").select(
+        "_index", V.field_path(F.col("n.path")).alias("path"), F.col("n.value").alias("value")
     )
     declared_type = F.element_at(types, F.col("path"))
     return (

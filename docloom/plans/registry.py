@@ -24,7 +24,3 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.plans.registry import table
+from docloom.sources.tables import table
 
 
 def _rows(spark: SparkSession, sf_dir: str, name: str, index: str, seq: str, raw: str) -> DataFrame:
@@ -45,7 +45,7 @@ EVENT_FIELDS_SQL = """
     UNION ALL SELECT 'events', seq, 1, 'type', 'string', event_type FROM event_rows
     UNION ALL SELECT 'events', seq, 2, 'user', 'number', CAST(user_id AS VARCHAR) FROM event_rows
       WHERE event_id % 10 <> 0
-    UNION ALL SELECT 'events', seq, 3, 'k',
+    UNION ALL SELECT 'events', seq, 2 + CAST(event_id % 10 <> 0 AS INT), 'k',
       CASE WHEN event_id % 7 = 0 THEN 'null' WHEN event_id % 11 = 0 THEN 'string' ELSE 'number' END,
       CASE WHEN event_id % 7 = 0 THEN 'null' ELSE k END FROM event_rows)"""
 
@@ -196,3 +196,23 @@ def geo_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             when 0 then '[{{"input": "a", "weight": 1}}]'
             when 1 then '{{"input": ["a"], "weight": 2}}' else '"plain"' end, '}}')""",
     )
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events collection as text lines; some are cut off, lack ``_index`` or hold a list."""
+    return event_docs(spark, sf_dir).select(
+        F.expr(
+            """case when seq % 47 = 0 then concat('{"_index": "events", "_id": "', _id, '", "seq": ', seq)
+               else concat('{', case when seq % 43 = 0 then '' else '"_index": "events", ' end,
+                 '"_id": "', _id, '", "seq": ', seq, ', "_source": ',
+                 case when seq % 41 = 0 then '[1]' else raw end, '}') end"""
+        ).alias("value")
+    )
+
+
+# What is wrong with each line; the empty text marks a good one.
+LINES_SQL = """
+  lines AS (
+    SELECT event_id AS seq, event_type,
+      CASE WHEN event_id % 47 = 0 THEN 'bad_json' WHEN event_id % 43 = 0 THEN 'no_index'
+           WHEN event_id % 41 = 0 THEN 'bad_source' ELSE '' END AS problem FROM events)"""

@@ -54,15 +54,11 @@ def append_validated(
 
 
 def load_collection(
-    root: str, collection: str, generated: list[DataFrame], files: list[DataFrame],
-    on_bad: str = "fail",
+    generated: DataFrame, files: list[DataFrame], root: str, collection: str, on_bad: str = "fail"
 ) -> str:
-    """Create a collection from one generated document per kind, then append its files."""
-    head, *rest = generated
-    for docs in rest:
-        head = head.unionByName(docs)
-    valid, _ = split_valid(head)
+    """Create a collection with one generated document per kind, then append its files."""
     path = f"{root}/{collection.lower()}"
+    valid, _ = split_valid(generated)
     valid.drop("_id").write.mode("errorifexists").partitionBy("_index").parquet(path)
     for docs in files:
         append_validated(docs, path, on_bad)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import values as V
+from docloom.functions.rows import explode_rows
 from docloom.operators.profile import fields
 
 # Declared types with the family they belong to; the type itself is the mode.
@@ -100,7 +101,7 @@ def type_family(docs: DataFrame, declared: dict[str, str]) -> DataFrame:
     """
     pairs = [F.lit(x) for item in declared.items() for x in item]
     types = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
-    found = docs.select("_index", F.explode(V.nodes(V.parse_document(F.col("raw")))).alias("n"))
+    found = explode_rows(docs, V.nodes(V.parse_document(F.col("raw"))), "n", "_index")
     rows = found.where(F.try_element_at("n.above", F.lit(-1))["step"] == "key").select(
         "_index", V.field_path(F.col("n.path")).alias("path"), F.col("n.value").alias("value")
     )

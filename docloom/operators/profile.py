@@ -34,8 +34,10 @@ def fields(docs: DataFrame) -> DataFrame:
     """
     return (
         docs.select(
-            "_index", "seq", F.posexplode(F.from_json("raw", "map<string,variant>"))
+            "_index", "seq", F.posexplode_outer(F.from_json("raw", "map<string,variant>"))
         )
+        # The outer form parses once; a plain explode would add a filter that parses again.
+        .where(F.col("key").isNotNull())
         .withColumn("type", value_type(F.col("value")))
     )
 
@@ -61,6 +63,12 @@ def _key_order(key: Column, first: Column) -> Column:
     )
 
 
+def stats_type() -> Column:
+    """Type of a field from ``any_string`` and ``last`` of its statistics."""
+    last_type = _type_name(F.pmod("last", F.lit(len(TYPES))))
+    return F.when(F.col("any_string") == 1, "string").otherwise(last_type)
+
+
 def field_stats(exploded: DataFrame) -> DataFrame:
     """Count, first place, and type per field, from ``fields``.
 
@@ -81,9 +89,7 @@ def field_stats(exploded: DataFrame) -> DataFrame:
             F.max(F.when(F.col("type") == "string", 1).otherwise(0)).alias("any_string"),
         )
         .select(
-            "_index", "key", "cnt", "first", "last", "any_string",
-            F.when(F.col("any_string") == 1, "string")
-            .otherwise(_type_name(F.pmod("last", F.lit(len(TYPES))))).alias("type"),
+            "_index", "key", "cnt", "first", "last", "any_string", stats_type().alias("type")
         )
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.rows import explode_rows
 from docloom.functions.values import field_path, leads_arrays, nodes, parse_document
 from docloom.session import lookup_join, materialize
 
@@ -14,7 +15,7 @@ MAPPING_KIND = "indexMappingConfig"
 
 def _document_nodes(docs: DataFrame, *keep: str) -> DataFrame:
     body = nodes(parse_document(F.col("raw")), ROOT)
-    return docs.select(*keep, F.explode(body).alias("n")).select(*keep, "n.*")
+    return explode_rows(docs, body, "n", *keep).select(*keep, "n.*")
 
 
 def _last_seen(kinded: DataFrame) -> DataFrame:

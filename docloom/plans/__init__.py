@@ -4,7 +4,7 @@ import importlib
 
 from docloom.plans.registry import ORACLES, QUERIES
 
-for _module in ("collections", "census", "schemas", "relational"):
+for _module in ("collections", "census", "schemas", "relational", "mappings", "texts", "streams"):
     importlib.import_module(f"docloom.plans.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -216,3 +216,44 @@ LINES_SQL = """
     SELECT event_id AS seq, event_type,
       CASE WHEN event_id % 47 = 0 THEN 'bad_json' WHEN event_id % 43 = 0 THEN 'no_index'
            WHEN event_id % 41 = 0 THEN 'bad_source' ELSE '' END AS problem FROM events)"""
+
+
+def loose_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collection ``loose``: numbers as text, dates in several forms, unmapped keys, objects.
+
+    ``n`` is a whole number, numeric text, a fraction, fractional text or a word, and sometimes
+    null or missing.
+    """
+    return _rows(
+        spark, sf_dir, "events", "loose", "event_id",
+        """concat('{"id": ', event_id,
+          case when event_id % 17 = 0 then '' else concat(', "n": ', case
+            when event_id % 13 = 0 then 'null' when event_id % 5 = 0 then cast(user_id as string)
+            when event_id % 5 = 1 then concat('"', user_id, '"')
+            when event_id % 5 = 2 then concat(user_id, '.5')
+            when event_id % 5 = 3 then concat('"', user_id, '.75"') else '"many"' end) end,
+          ', "label": "', case when event_id % 3 = 0 then concat('  ', upper(event_type), ' ')
+                               else event_type end, '"',
+          ', "day": "', case event_id % 4 when 0 then date_format(ts, 'yyyy/MM/dd')
+            when 1 then date_format(ts, 'dd-MM-yyyy') when 2 then date_format(ts, 'yyyy/MM/dd')
+            else 'soon' end, '"',
+          case when event_id % 6 = 0 then concat(', "extra": ', event_id) else '' end,
+          case when event_id % 15 = 0 then ', "note": "free"' else '' end,
+          ', "span": {"gte": ', user_id, ', "lte": ', user_id + event_id % 7, '}',
+          ', "tree": {"a": {"b": ', user_id, ', "c": null}, "d": "', event_type, '"}',
+          ', "items": [', case event_id % 3 when 0 then '' when 1 then
+             concat('{"sku": "s', user_id, '", "qty": 1}') else
+             concat('{"sku": "s', user_id, '", "qty": 2}, {"sku": "t", "qty": ', event_id % 9, '}') end,
+          ']}')""",
+    )
+
+
+LOOSE_SQL = """
+  loose AS (
+    SELECT event_id AS seq, user_id, event_type, ts,
+      event_id % 17 <> 0 AS has_n, event_id % 17 <> 0 AND event_id % 13 = 0 AS null_n,
+      event_id % 5 AS form,
+      CASE WHEN event_id % 3 = 0 THEN '  ' || upper(event_type) || ' ' ELSE event_type END AS label,
+      CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y/%m/%d') WHEN 1 THEN strftime(ts, '%d-%m-%Y')
+        WHEN 2 THEN strftime(ts, '%Y/%m/%d') ELSE 'soon' END AS day
+    FROM events)"""

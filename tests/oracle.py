@@ -70,7 +70,7 @@ if __name__ == "__main__":
         try:
             good, report = compare(spark, sf_dir, query)
         except Exception as error:  # report and go on with the next query
-            good, report = False, str(error)[:1500]
+            good, report = False, str(error).split("\n")[0][:300]
         print("ok  " if good else "FAIL", query, report, flush=True)
         if not good:
             bad.append(query)

@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docloom.functions.rows import let
+
 Analyzer = Callable[[Column], Column]
 
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -44,15 +46,17 @@ def split_tokens(x: Column, regex: str) -> Column:
 
 def standard(x: Column, max_token_length: int = MAX_TOKEN_LENGTH) -> Column:
     """Runs of letters and digits; longer runs are cut into chunks."""
-    tokens = split_tokens(x, NOT_WORD)
     n = F.lit(max_token_length)
 
     def chunks(t: Column) -> Column:
         starts = F.sequence(F.lit(1), F.length(t), n)
         return F.transform(starts, lambda i: F.substring(t, i, n))
 
-    too_long = F.exists(tokens, lambda t: F.length(t) > n)
-    return F.when(too_long, F.flatten(F.transform(tokens, chunks))).otherwise(tokens)
+    def cut(tokens: Column) -> Column:
+        too_long = F.exists(tokens, lambda t: F.length(t) > n)
+        return F.when(too_long, F.flatten(F.transform(tokens, chunks))).otherwise(tokens)
+
+    return let(split_tokens(x, NOT_WORD), cut)
 
 
 def standard_lower(x: Column, max_token_length: int = MAX_TOKEN_LENGTH) -> Column:
@@ -190,7 +194,7 @@ def classic(x: Column) -> Column:
 def fingerprint(x: Column, separator: str = " ", max_output_size: int = 255) -> Column:
     """Distinct lower-cased words in order, joined; empty when longer than allowed."""
     joined = F.array_join(F.sort_array(F.array_distinct(standard_lower(x))), separator)
-    return F.when(F.length(joined) <= max_output_size, joined).otherwise("")
+    return let(joined, lambda j: F.when(F.length(j) <= max_output_size, j).otherwise(""))
 
 
 def named_stop_words(language: str) -> list[str]:

@@ -7,10 +7,17 @@ texts), so the outer form is used and its one row for an empty array dropped aft
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def explode_rows(df: DataFrame, array: Column, name: str, *keep: str) -> DataFrame:
     """``keep`` and one row per non-null element."""
     rows = df.select(*keep, F.explode_outer(array).alias(name))

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.rows import explode_rows
+
 # Exclusive upper bounds of the integer widths (value class "number").
 BYTE_LIMIT = 127
 SHORT_LIMIT = 32767
@@ -37,11 +39,12 @@ def parse_document(raw: Column) -> Column:
     """VARIANT of one whole JSON value; NULL for bad text, duplicate keys or trailing text.
 
     The parser stops after the first value, so the text is parsed as the only element of an
-    array: anything left over then breaks the array or shows up as a second element.
+    array: anything left over breaks the array or gives a second element, and then the index
+    asked for below is out of bounds. No branch, so the text is parsed once.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-    second = F.try_variant_get(wrapped, "$[1]", "variant")
-    return F.when(second.isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
+    elements = F.try_variant_get(wrapped, "$", "array<variant>")
+    return F.get(elements, 1 - F.size(elements))
 
 
 def value_type(v: Column) -> Column:
@@ -168,45 +171,61 @@ def field_path(path: Column) -> Column:
     return F.regexp_replace(path, r"\[[0-9]+\]", "")
 
 
+def is_member(path: Column) -> Column:
+    """The node is the member of an object, not the element of an array."""
+    return ~path.rlike(r"\[[0-9]+\]$")
+
+
 def leads_arrays(path: Column) -> Column:
     """The path only ever enters the first element of an array, and no array inside an array."""
     return ~path.rlike(r"\[[1-9][0-9]*\]|\[0\]\[0\]")
 
 
-def nodes(v: Column, root: str = "$", max_levels: int | None = None) -> Column:
-    """Every node of a JSON value at any depth, root first, as one array per row.
+# One step of a path: a plain key, a quoted key, or an array position.
+_STEP = r'\.[\p{L}\p{N}_@\-]+|\["(?:[^"\\]|\\.)*"\]|\[[0-9]+\]'
 
-    Element: ``struct<path, above, type, value>``; ``above`` lists the ancestors with the step
-    taken from each (``key`` or ``item``). The number of rounds comes from the brackets in the
-    row's own text, which is never less than its depth, so nothing is cut unless ``max_levels``
-    asks for it. One parse, no shuffle, one ``explode`` by the caller.
-    """
 
-    def node(path: Column, above: Column, value: Column) -> Column:
-        return F.struct(
-            path.alias("path"), above.alias("above"), value_type(value).alias("type"),
-            value.alias("value"),
-        )
+def steps(path: Column, root: str) -> Column:
+    """The steps of a path below its root."""
+    below = F.substring(path, len(root) + 1, 2_147_483_647)
+    return F.regexp_extract_all(below, F.lit(_STEP), F.lit(0))
 
-    def above(n: Column, step: str) -> Column:
-        here = F.struct(n["path"].alias("path"), F.lit(step).alias("step"))
-        return F.concat(n["above"], F.array(here))
+
+def ancestors(path: Column, root: str) -> Column:
+    """Proper ancestors of a path as ``struct<path, step>``, root first; ``step`` is the kind of
+    step taken from there: ``key`` or ``item``."""
+    found = steps(path, root)
+    return F.transform(
+        found,
+        lambda s, i: F.struct(
+            F.concat(F.lit(root), F.array_join(F.slice(found, F.lit(1), i), "")).alias("path"),
+            F.when(s.rlike(r"^\[[0-9]"), "item").otherwise("key").alias("step"),
+        ),
+    )
+
+
+def nodes(v: Column, root: Column, max_levels: int | None = None) -> Column:
+    """Every node of a JSON value at any depth, itself first: ``array<struct<path, value>>``.
+
+    The number of rounds comes from the brackets in the value's own text, which is never less
+    than its depth, so nothing is cut unless ``max_levels`` asks for it. Array functions run
+    interpreted, so a node carries only what cannot be derived from it later, and ``v`` and
+    ``root`` are mentioned twice: give them as columns, not as costly expressions.
+    """
+
+    def node(path: Column, value: Column) -> Column:
+        return F.struct(path.alias("path"), value.alias("value"))
 
     def children(n: Column) -> Column:
         members = F.transform(
             F.map_entries(F.try_variant_get(n["value"], "$", "map<string,variant>")),
-            lambda e: node(_child_path(n["path"], e["key"]), above(n, "key"), e["value"]),
+            lambda e: node(_child_path(n["path"], e["key"]), e["value"]),
         )
         items = F.transform(
             F.try_variant_get(n["value"], "$", "array<variant>"),
-            lambda e, i: node(
-                F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")),
-                above(n, "item"), e,
-            ),
-        )
-        return F.when(n["type"] == "object", members).when(n["type"] == "array", items).otherwise(
-            F.array().cast(f"array<{NODE}>")
+            lambda e, i: node(F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")), e),
         )
+        return F.coalesce(members, items, F.array().cast(NODES))
 
     def deeper(acc: Column, _: Column) -> Column:
         frontier = F.slice(acc["all"], acc["next"], F.size(acc["all"]) - acc["next"] + 1)
@@ -216,19 +235,28 @@ def nodes(v: Column, root: str = "$", max_levels: int | None = None) -> Column:
         )
         return F.when(acc["next"] > F.size(acc["all"]), acc).otherwise(grown)
 
-    text = F.to_json(v)
-    rounds = F.length(text) - F.length(F.translate(text, "{[", ""))
+    # Splitting at brackets gives one part more than there are brackets.
+    rounds = F.size(F.split(F.to_json(v), r"[{\[]"))
     if max_levels is not None:
         rounds = F.least(rounds, F.lit(max_levels))
-    no_ancestors = F.array().cast("array<struct<path:string,step:string>>")
-    start = F.struct(
-        F.array(node(F.lit(root), no_ancestors, v)).alias("all"),
-        F.lit(1).alias("next"),
-    )
-    ticks = F.when(rounds > 0, F.sequence(F.lit(1), rounds)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(ticks, start, deeper, lambda acc: acc["all"])
+    start = F.struct(F.array(node(root, v)).alias("all"), F.lit(1).alias("next"))
+    return F.aggregate(F.sequence(F.lit(1), rounds), start, deeper, lambda acc: acc["all"])
+
 
+NODES = "array<struct<path:string,value:variant>>"
 
-NODE = (
-    "struct<path:string,above:array<struct<path:string,step:string>>,type:string,value:variant>"
-)
+
+def document_nodes(docs: DataFrame, root: str, *keep: str) -> DataFrame:
+    """``keep`` and one row ``(path, type, value)`` per node below the root of each document.
+
+    Top-level members are exploded first, in generated code; only containers among them are
+    walked through.
+    """
+    members = docs.select(*keep, F.explode_outer(F.from_json("raw", "map<string,variant>")))
+    members = members.where(F.col("key").isNotNull())
+    found = explode_rows(
+        members, nodes(F.col("value"), _child_path(F.lit(root), F.col("key"))), "n", *keep
+    )
+    return found.select(
+        *keep, "n.path", value_type(F.col("n.value")).alias("type"), "n.value"
+    )

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import values as V
-from docloom.functions.rows import explode_rows
 from docloom.operators.profile import fields
 
 # Declared types with the family they belong to; the type itself is the mode.
@@ -61,9 +60,8 @@ def completion_census(docs: DataFrame, key: str) -> DataFrame:
     return _subtype_census(docs, key, V.completion_subtype)
 
 
-def family(declared: Column, value: Column) -> Column:
-    """Family of a field from its declared type, or from the value when none is known."""
-    by_value = V.value_type(value)
+def family(declared: Column, by_value: Column) -> Column:
+    """Family of a field from its declared type, or from its value's class when none is known."""
     return (
         F.when(declared.isin(*NUMBER_TYPES), "number")
         .when(declared.isin(*STRING_TYPES), "string")
@@ -78,9 +76,8 @@ def family(declared: Column, value: Column) -> Column:
     )
 
 
-def mode(declared: Column, value: Column) -> Column:
+def mode(declared: Column, by_value: Column, value: Column, number: Column) -> Column:
     """Mode or subtype inside the family; NULL where the family has none."""
-    by_value = V.value_type(value)
     known = [*NUMBER_TYPES, *STRING_TYPES, *RANGE_TYPES]
     return (
         F.when(declared.isin(*known), declared)
@@ -89,7 +86,7 @@ def mode(declared: Column, value: Column) -> Column:
         .when(declared == "geo_point", V.geo_point_subtype(value))
         .when(declared == "geo_shape", V.geo_shape_subtype(value))
         .when(by_value == "string", "text")
-        .when(by_value == "number", V.number_mode(F.try_variant_get(value, "$", "double")))
+        .when(by_value == "number", V.number_mode(number))
     )
 
 
@@ -101,14 +98,16 @@ def type_family(docs: DataFrame, declared: dict[str, str]) -> DataFrame:
     """
     pairs = [F.lit(x) for item in declared.items() for x in item]
     types = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
-    found = explode_rows(docs, V.nodes(V.parse_document(F.col("raw"))), "n", "_index")
-    rows = found.where(F.try_element_at("n.above", F.lit(-1))["step"] == "key").select(
-        "_index", V.field_path(F.col("n.path")).alias("path"), F.col("n.value").alias("value")
+    found = V.document_nodes(docs, "$", "_index")
+    rows = found.where(V.is_member(F.col("path"))).select(
+        "_index", V.field_path(F.col("path")).alias("path"), "type", "value",
+        F.try_variant_get("value", "$", "double").alias("number"),
     )
-    declared_type = F.element_at(types, F.col("path"))
+    rows = rows.withColumn("declared", F.element_at(types, F.col("path")))
+    by_value = F.col("type")
     return (
-        rows.withColumn("family", family(declared_type, F.col("value")))
-        .withColumn("mode", mode(declared_type, F.col("value")))
+        rows.withColumn("family", family(F.col("declared"), by_value))
+        .withColumn("mode", mode(F.col("declared"), by_value, F.col("value"), F.col("number")))
         .groupBy("_index", "path", "family", "mode")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.rows import explode_rows
 from docloom.functions.values import (
-    geo_point_subtype, nodes, number_mode, parse_document, value_type,
+    field_path, geo_point_subtype, nodes, number_mode, parse_document, steps, value_type,
 )
 
 # Declared type and the Spark type of its column.
@@ -265,17 +265,20 @@ def flattened_leaves(
     ``ignore_above``. A leaf nested deeper than ``depth_limit`` raises.
     """
     body = F.try_variant_get(parse_document(F.col("raw")), path, "variant")
-    found = explode_rows(docs, nodes(body), "n", *keep).where(
-        ~F.col("n.type").isin("object", "array")
+    bodies = docs.select(*keep, body.alias("body"))
+    found = explode_rows(bodies, nodes(F.col("body"), F.lit("$")), "n", *keep)
+    found = found.select(*keep, "n.path", "n.value", value_type(F.col("n.value")).alias("type"))
+    text = F.when(F.col("type") == "null", F.lit(null_value)).otherwise(
+        F.try_variant_get("value", "$", "string")
     )
-    text = F.when(F.col("n.type") == "null", F.lit(null_value)).otherwise(
-        F.try_variant_get("n.value", "$", "string")
+    field = field_path(F.col("path"))
+    too_deep = F.size(steps(field, "$")) > depth_limit
+    checked = F.when(too_deep, F.raise_error(F.lit("object nested too deep"))).otherwise(
+        F.regexp_replace(field, r"^\$\.?", "")
     )
-    steps = F.size(F.filter("n.above", lambda a: a["step"] == "key"))
-    checked = F.when(steps > depth_limit, F.raise_error(F.lit("object nested too deep"))).otherwise(
-        F.regexp_replace("n.path", r"^\$\.?|\[[0-9]+\]", "")
+    leaves = found.where(~F.col("type").isin("object", "array")).select(
+        *keep, checked.alias("leaf_path"), text.alias("leaf")
     )
-    leaves = found.select(*keep, checked.alias("leaf_path"), text.alias("leaf"))
     leaves = leaves.where(F.col("leaf").isNotNull())
     return leaves if ignore_above is None else leaves.where(F.length("leaf") <= ignore_above)
 
@@ -286,22 +289,27 @@ def range_contains(rows: DataFrame, field: str, x: Column) -> DataFrame:
     return rows.where((low.isNull() | (low <= x)) & (high.isNull() | (x <= high)))
 
 
-def geo_normalize(v: Column) -> Column:
-    """``struct<lat, lon>`` from decimal text, array (lon first) or object; else NULL."""
-    subtype = geo_point_subtype(v)
-    pair = F.split(F.try_variant_get(v, "$", "string"), ",")
+def geo_normalize(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """Add ``struct<lat, lon>`` from decimal text, array (lon first) or object; else NULL.
 
-    def point(lat: Column, lon: Column) -> Column:
-        return F.struct(lat.try_cast("double").alias("lat"), lon.try_cast("double").alias("lon"))
+    The encoding is found once per row, as a column of its own.
+    """
+    v, subtype = F.col(value), F.col("_subtype")
+    pair = F.split(F.try_variant_get(v, "$", "string"), ",")
 
-    def at(path: str) -> Column:
-        return F.try_variant_get(v, path, "double")
+    def coordinate(place: int, item: str, member: str) -> Column:
+        return (
+            F.when(subtype == "string", F.trim(F.get(pair, place)).try_cast("double"))
+            .when(subtype == "geoJSON", F.try_variant_get(v, item, "double"))
+            .when(subtype == "object", F.try_variant_get(v, member, "double"))
+        )
 
-    return (
-        F.when(subtype == "string", point(F.trim(F.get(pair, 0)), F.trim(F.get(pair, 1))))
-        .when(subtype == "geoJSON", point(at("$[1]"), at("$[0]")))
-        .when(subtype == "object", point(at("$.lat"), at("$.lon")))
+    point = F.struct(
+        coordinate(0, "$[1]", "$.lat").alias("lat"), coordinate(1, "$[0]", "$.lon").alias("lon")
     )
+    found = rows.withColumn("_subtype", geo_point_subtype(v))
+    known = subtype.isin("string", "geoJSON", "object")
+    return found.withColumn(name, F.when(known, point)).drop("_subtype")
 
 
 def keyword_normalizer(x: Column) -> Column:

@@ -5,19 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.rows import explode_rows
-from docloom.functions.values import field_path, leads_arrays, nodes, parse_document
+from docloom.functions.values import (
+    ancestors, document_nodes, field_path, is_member, leads_arrays, parse_document,
+)
 from docloom.session import lookup_join, materialize
 
 ROOT = "_source"
 # Fixed value: the extra kind that carries a collection's full mapping and has no documents.
 MAPPING_KIND = "indexMappingConfig"
 
-def _document_nodes(docs: DataFrame, *keep: str) -> DataFrame:
-    body = nodes(parse_document(F.col("raw")), ROOT)
-    return explode_rows(docs, body, "n", *keep).select(*keep, "n.*")
-
-
 def _last_seen(kinded: DataFrame) -> DataFrame:
     """Per kind and path the last ``seq`` that set it to a scalar, an object and an array.
 
@@ -28,14 +24,23 @@ def _last_seen(kinded: DataFrame) -> DataFrame:
         return F.max(F.when(condition, F.col("seq")).otherwise(F.lit(-1).cast("bigint")))
 
     type_ = F.col("type")
-    found = _document_nodes(kinded, "_index", "kind", "seq")
-    return (
-        found.groupBy("_index", "kind", "path", "above")
+    found = document_nodes(kinded, ROOT, "_index", "kind", "seq")
+    below = (
+        found.groupBy("_index", "kind", "path")
         .agg(
             last(~type_.isin("object", "array")).alias("scalar"),
             last(type_ == "object").alias("object"),
             last(type_ == "array").alias("array"),
         )
+    )
+    never = F.lit(-1).cast("bigint")
+    roots = kinded.groupBy("_index", "kind").agg(F.max("seq").alias("object")).select(
+        "_index", "kind", F.lit(ROOT).alias("path"), never.alias("scalar"), "object",
+        never.alias("array"),
+    )
+    return (
+        below.unionByName(roots)
+        .withColumn("above", ancestors(F.col("path"), ROOT))
         .withColumn("last", F.greatest("scalar", "object", "array"))
         .withColumn(
             "state",
@@ -108,7 +113,7 @@ def merged_template(kinded: DataFrame) -> DataFrame:
         F.col("seq"), "left_semi",
     )
     values = (
-        _document_nodes(deciding, "_index", "kind", "seq")
+        document_nodes(deciding, ROOT, "_index", "kind", "seq")
         .select(
             "_index", "kind", "path", F.col("seq").alias("last"), F.to_json("value").alias("value")
         )
@@ -182,7 +187,7 @@ def observed_schema(kinded: DataFrame) -> DataFrame:
     return (
         template_paths(kinded)
         .where(leads_arrays(F.col("path")))
-        .where(F.try_element_at("above", F.lit(-1))["step"] == "key")
+        .where(is_member(F.col("path")) & (F.col("path") != ROOT))
         .select("_index", "kind", field_path(F.col("path")).alias("path"),
                 F.col("state").alias("type"))
         .join(order, ["_index", "kind"])
@@ -205,8 +210,8 @@ def schema_merge(schemas: DataFrame) -> DataFrame:
 def observed_fields(docs: DataFrame) -> DataFrame:
     """Distinct field paths found in documents, with their value classes."""
     return (
-        _document_nodes(docs, "_index")
-        .where(F.try_element_at("above", F.lit(-1))["step"] == "key")
+        document_nodes(docs, ROOT, "_index")
+        .where(is_member(F.col("path")))
         .select(field_path(F.col("path")).alias("path"), "type")
         .distinct()
     )

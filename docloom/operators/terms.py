@@ -140,13 +140,17 @@ def frequency_filter(
 def fingerprint_groups(docs: DataFrame, doc: str, fingerprint: Column) -> DataFrame:
     """Documents sharing a fingerprint: its digest, how many, and the first one.
 
-    Only the digest of the fingerprint crosses the shuffle. Empty fingerprints group nothing.
+    Only the digest of the fingerprint crosses the shuffle. Empty fingerprints group nothing;
+    they are left out of the counts, as a filter before would compute every fingerprint twice.
     """
+    digest = F.sha2(fingerprint, 256)
     return (
-        docs.select(doc, fingerprint.alias("f"))
-        .where(F.col("f") != "")
-        .groupBy(F.sha2("f", 256).alias("digest"))
-        .agg(F.count(F.lit(1)).alias("documents"), F.min(doc).alias("first_doc"))
+        docs.select(doc, digest.alias("digest"))
+        .groupBy("digest")
+        .agg(
+            F.count_if(F.col("digest") != F.sha2(F.lit(""), 256)).alias("documents"),
+            F.min(doc).alias("first_doc"),
+        )
         .where(F.col("documents") > 1)
     )
 
@@ -214,9 +218,10 @@ def rank_classic(
         term_stats(docs, doc, text, analyzer)
         .select("term", F.log(n / F.col("doc_freq")).alias("idf"))
     )
-    # Norms are needed only where the query matches.
-    wanted = F.exists(analyzer(F.col(text)), lambda t: t.isin(terms))
-    matched = postings(docs.where(wanted), doc, text, analyzer, "freqs")
+    # Norms are needed only where the query matches; other documents lose their terms.
+    found = doc_terms(docs, doc, text, analyzer)
+    matches = F.exists("terms", lambda t: t["term"].isin(terms))
+    matched = inline_rows(found, F.when(matches, F.col("terms")), ["term", "freq"], doc)
     weighted = lookup_join(matched, weights, ["term"], F.col(doc)).withColumn(
         "w", F.col("freq") * F.col("idf")
     )

@@ -277,7 +277,7 @@ def range_contains(spark, sf):
 )
 def geo_normalize(spark, sf):
     point = F.try_variant_get(parse_document(F.col("raw")), "$.point", "variant")
-    rows = X.geo_docs(spark, sf).select("seq", M.geo_normalize(point).alias("p"))
+    rows = M.geo_normalize(X.geo_docs(spark, sf).select("seq", point.alias("v")), "v", "p")
     return rows.select("seq", "p.lat", "p.lon").na.fill(-999.0)
 
 

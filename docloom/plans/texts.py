@@ -9,11 +9,11 @@ from docloom.functions.rows import explode_rows
 from docloom.operators import terms as T
 from docloom.plans.registry import query
 from docloom.session import scratch_path
-from docloom.sources.tables import table
+from docloom.sources.tables import spread, table
 
 
 def _documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def _corpus(source: str, key: str, tokens: str) -> str:
@@ -31,7 +31,8 @@ _LETTERS_SQL = r"regexp_split_to_array(lower(text), '[^\p{L}]+')"
 def _register_corpus(name, source, key, text, analyzer, tokens_sql):
     @query(name, _corpus(source, key, tokens_sql))
     def corpus(spark, sf):
-        return T.corpus_terms(table(spark, sf, source).select(key, text), key, text, analyzer)
+        docs = spread(table(spark, sf, source).select(key, text))
+        return T.corpus_terms(docs, key, text, analyzer)
 
 
 # Our own short stop word lists, one per language of the corpus.
@@ -164,7 +165,7 @@ def tok_stop_path(spark, sf):
     SELECT substr(w, s, n) AS gram, count(*) AS n FROM found WHERE s + n - 1 <= length(w) GROUP BY 1""",
 )
 def tok_ngram(spark, sf):
-    docs = table(spark, sf, "documents").select(F.lower("text").alias("text"))
+    docs = _documents(spark, sf).select(F.lower("text").alias("text"))
     runs = T.run_counts(docs, "text", lambda x: A.split_tokens(x, r"[^\p{L}\p{Nd}]+"))
     return T.gram_counts(runs, 2, 3)
 
@@ -207,7 +208,7 @@ _LANGUAGE_CASE = " ".join(
     WHERE term <> '' AND NOT CASE lang {_LANGUAGE_CASE} ELSE false END GROUP BY 1, 2""",
 )
 def an_language(spark, sf):
-    docs = table(spark, sf, "documents").select("lang", "text")
+    docs = spread(table(spark, sf, "documents").select("lang", "text"))
     found = A.standard_lower(F.col("text"))
     by_language = F.when(F.lit(False), found)
     for lang, words in STOP.items():
@@ -221,7 +222,7 @@ def an_language(spark, sf):
 @query("an_language_named")
 def an_language_named(spark, sf):
     """English texts without the session's own English stop word list."""
-    docs = table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "text"))
     words = A.stop_words(named="english")
     return T.corpus_terms(docs, "doc_id", "text", lambda x: A.language(x, words))
 

@@ -10,16 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.sources.tables import table
+from docloom.sources.tables import spread, table
 
 
 def _rows(spark: SparkSession, sf_dir: str, name: str, index: str, seq: str, raw: str) -> DataFrame:
-    return table(spark, sf_dir, name).select(
+    rows = table(spark, sf_dir, name).select(
         F.lit(index).alias("_index"),
         F.expr(f"cast({seq} as string)").alias("_id"),
         F.expr(f"cast({seq} as bigint)").alias("seq"),
         F.expr(raw).alias("raw"),
     )
+    return spread(rows)
 
 
 def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

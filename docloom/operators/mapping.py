@@ -7,6 +7,7 @@ quarantine. Everything is one projection over one parse of each document.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -229,8 +230,7 @@ def copy_to(rows: DataFrame, sources: list[str], targets: list[str]) -> DataFram
 
 def alias_path(targets: list[str]) -> str:
     """Path an alias stands for: the first target, without array steps and the leading body name."""
-    steps = targets[0].replace("[]", "").split(".")
-    steps = [s for s in steps if s and not s.isdigit()]
+    steps = [s for s in re.sub(r"\[[0-9]*\]", "", targets[0]).split(".") if s]
     return "$." + ".".join(steps[1:] if steps[0] == "_source" else steps)
 
 

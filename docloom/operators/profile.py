@@ -206,7 +206,7 @@ def with_kind(docs: DataFrame, kind_fields: DataFrame) -> DataFrame:
     """
     value = F.element_at(F.from_json("raw", "map<string,variant>"), F.col("kind_field"))
     return (
-        lookup_join(docs, kind_fields, ["_index"], F.col("seq"))
+        lookup_join(docs, kind_fields, ["_index"])
         .withColumn(
             "kind",
             F.when(F.col("kind_field") == "", F.col("_index")).otherwise(label_text(value)),

@@ -110,7 +110,7 @@ def merged_template(kinded: DataFrame) -> DataFrame:
     deciders = alive.select("_index", F.col("last").alias("seq")).distinct()
     deciding = lookup_join(
         kinded.select("_index", "_id", "seq", "kind", "raw"), deciders, ["_index", "seq"],
-        F.col("seq"), "left_semi",
+        "left_semi",
     )
     values = (
         document_nodes(deciding, ROOT, "_index", "kind", "seq")

@@ -134,7 +134,7 @@ def frequency_filter(
     share = F.col("doc_freq") / total.scalar()
     kept = term_stats(docs, doc, text, analyzer).where(share.between(least, most)).select("term")
     counted = postings(docs, doc, text, analyzer, "freqs")
-    return lookup_join(counted, kept, ["term"], F.col(doc), "left_semi")
+    return lookup_join(counted, kept, ["term"], "left_semi")
 
 
 def fingerprint_groups(docs: DataFrame, doc: str, fingerprint: Column) -> DataFrame:
@@ -155,11 +155,9 @@ def fingerprint_groups(docs: DataFrame, doc: str, fingerprint: Column) -> DataFr
     )
 
 
-def stop_terms(found: DataFrame, words: DataFrame, doc: str) -> DataFrame:
+def stop_terms(found: DataFrame, words: DataFrame) -> DataFrame:
     """Token rows whose term is not in a word table, such as one read from a text file."""
-    return lookup_join(
-        found, words.select("term").distinct(), ["term"], F.xxhash64(doc, "pos"), "left_anti"
-    )
+    return lookup_join(found, words.select("term").distinct(), ["term"], "left_anti")
 
 
 def _top(scored: DataFrame, doc: str, k: int) -> DataFrame:
@@ -222,7 +220,7 @@ def rank_classic(
     found = doc_terms(docs, doc, text, analyzer)
     matches = F.exists("terms", lambda t: t["term"].isin(terms))
     matched = inline_rows(found, F.when(matches, F.col("terms")), ["term", "freq"], doc)
-    weighted = lookup_join(matched, weights, ["term"], F.col(doc)).withColumn(
+    weighted = lookup_join(matched, weights, ["term"]).withColumn(
         "w", F.col("freq") * F.col("idf")
     )
     asked = F.when(F.col("term").isin(terms), F.col("w")).otherwise(0.0)

@@ -152,7 +152,7 @@ def tok_stop_path(spark, sf):
     names.unionByName(listed).write.text(path)
     words = spark.read.text(path).withColumnRenamed("value", "term")
     found = T.tokens(_documents(spark, sf), "doc_id", "text", A.simple)
-    kept = T.stop_terms(found, words, "doc_id")
+    kept = T.stop_terms(found, words)
     return kept.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 

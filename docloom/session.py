@@ -5,13 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A lookup table is broadcast up to this many rows; a larger one is joined by shuffle.
 BROADCAST_ROWS = 200_000
-# Lanes over which the shuffle join spreads every key, so that a hot key is no single task.
-LANES = 64
 
 _local_scratch: dict[str, str] = {}
 
@@ -24,6 +22,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None) -
         .appName("docloom")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
@@ -64,25 +63,17 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    spread: Column,
-    how: str = "inner",
+    facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Equi-join of many rows with a table holding one row per key.
 
-    The lookup is materialized and counted: up to ``max_rows`` rows it is broadcast, beyond
-    that both sides are shuffled on the key plus a lane drawn from ``spread``, so that one
-    key holding a third of all rows is still shared by many tasks. ``how`` may be inner,
-    left, left_semi or left_anti.
+    The lookup is materialized and counted: up to ``max_rows`` rows it is broadcast. Beyond that
+    both sides are shuffled by key, and adaptive execution splits the partition of a key holding
+    a large share of the facts, reading the lookup's few rows once per piece. ``how`` may be
+    inner, left, left_semi or left_anti, which all allow the fact side to be split.
     """
     lookup = materialize(lookup)
     if lookup.limit(max_rows + 1).count() <= max_rows:
         return facts.join(F.broadcast(lookup), on, how)
-    laned = lookup.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
-    spread_facts = facts.withColumn(
-        "_lane", F.pmod(F.xxhash64(spread), F.lit(LANES)).cast("int")
-    )
-    return spread_facts.join(laned, [*on, "_lane"], how).drop("_lane")
+    return facts.join(lookup.hint("merge"), on, how)

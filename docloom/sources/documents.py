@@ -89,7 +89,6 @@ def first_documents(docs: DataFrame, sizes: DataFrame) -> DataFrame:
         return docs
     width = max(1, -(-(high - low + 1) // HISTOGRAM_BUCKETS))
     inner = max(1, -(-width // HISTOGRAM_BUCKETS))
-    offset = F.col("seq") - F.lit(low)
 
     outer_bucket = F.expr(f"({_sql_offset(low)}) div {width}L")
     wanted = sizes.where((F.col("size") > 0) & (F.col("size") < F.col("documents")))
@@ -98,7 +97,7 @@ def first_documents(docs: DataFrame, sizes: DataFrame) -> DataFrame:
         wanted.select("_index", F.col("size").alias("left")),
     )
     in_outer = lookup_join(
-        positions.withColumn("bucket", outer_bucket), outer, ["_index", "bucket"], offset
+        positions.withColumn("bucket", outer_bucket), outer, ["_index", "bucket"]
     )
     inner_bucket = F.expr(f"(({_sql_offset(low)}) % {width}L) div {inner}L")
     in_outer = in_outer.withColumn("part", inner_bucket)
@@ -106,7 +105,7 @@ def first_documents(docs: DataFrame, sizes: DataFrame) -> DataFrame:
     sliver = _boundary(in_outer.groupBy("_index", F.col("part").alias("bucket")).count(), lefts)
     ranked = lookup_join(
         in_outer.select("_index", "seq", F.col("part").alias("bucket")),
-        sliver, ["_index", "bucket"], offset,
+        sliver, ["_index", "bucket"],
     ).withColumn("rank", F.row_number().over(Window.partitionBy("_index").orderBy("seq")))
     cutoffs = ranked.where(F.col("rank") == F.col("left")).select(
         "_index", F.col("seq").alias("last")
@@ -115,7 +114,7 @@ def first_documents(docs: DataFrame, sizes: DataFrame) -> DataFrame:
         "_index", F.lit(high).cast("bigint").alias("last")
     )
     return (
-        lookup_join(docs, cutoffs.unionByName(whole), ["_index"], F.col("seq"))
+        lookup_join(docs, cutoffs.unionByName(whole), ["_index"])
         .where(F.col("seq") <= F.col("last"))
         .select(docs.columns)
     )

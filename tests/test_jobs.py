@@ -72,9 +72,9 @@ def test_ingest_does_not_repeat_after_a_restart(spark):
 def test_lookup_join_beyond_the_bound(spark, how):
     facts = spark.range(1000).withColumn("k", F.when(F.col("id") < 400, 1).otherwise(F.col("id") % 9))
     lookup = spark.createDataFrame([(1, "x"), (2, "y"), (50, "z")], "k long, v string")
-    wide = lookup_join(facts, lookup, ["k"], F.col("id"), how)
-    laned = lookup_join(facts, lookup, ["k"], F.col("id"), how, max_rows=1)
+    wide = lookup_join(facts, lookup, ["k"], how)
+    shuffled = lookup_join(facts, lookup, ["k"], how, max_rows=1)
     columns = sorted(wide.columns)
-    assert sorted(laned.columns) == columns
-    assert sorted(map(str, laned.select(columns).collect())) == sorted(
+    assert sorted(shuffled.columns) == columns
+    assert sorted(map(str, shuffled.select(columns).collect())) == sorted(
         map(str, wide.select(columns).collect()))

@@ -63,13 +63,15 @@ def stream_profile(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        docs = batch.select("_index", "seq", F.to_json("_source").alias("raw"))
+        # Both writes below read the batch; kept, its lines are parsed once.
+        docs = batch.select("_index", "seq", F.to_json("_source").alias("raw")).persist()
         field_stats(fields(docs)).drop("type").write.mode("overwrite").parquet(
             f"{out}/fields/batch={batch_id}"
         )
         docs.groupBy("_index").agg(F.count(F.lit(1)).alias("total")).write.mode(
             "overwrite"
         ).parquet(f"{out}/totals/batch={batch_id}")
+        docs.unpersist()
 
     valid = line_stream(spark, folder, max_files).where(F.col("problem").isNull())
     return triggered(

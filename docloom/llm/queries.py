@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from docloom.llm import bpe, mixing, warc
+from docloom.llm import bpe, language, mixing, warc
 
 QUERIES = {
     "op2_warc": warc.warc_query,
+    "op3_language": language.language_query,
     "op4_bpe": bpe.bpe_query,
     "op6_mixing": mixing.mix_query,
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from docloom.llm import bpe, language, mixing, warc
+from docloom.llm import bpe, language, mixing, quality, warc
 
 QUERIES = {
+    "op1_quality": quality.quality_query,
     "op2_warc": warc.warc_query,
     "op3_language": language.language_query,
     "op4_bpe": bpe.bpe_query,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docloom.llm import bpe, language, mixing, quality, warc
+from docloom.llm import bpe, language, mixing, pii, quality, warc
 
 QUERIES = {
     "op1_quality": quality.quality_query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language": language.language_query,
     "op4_bpe": bpe.bpe_query,
     "op6_mixing": mixing.mix_query,
+    "op9_pii": pii.pii_query,
 }
 
 ORACLES = {

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from docloom.llm import bpe, language, mixing, pii, quality, warc
+from docloom.llm import bpe, language, mixing, neardup, pii, quality, warc
 
 QUERIES = {
     "op1_quality": quality.quality_query,
     "op2_warc": warc.warc_query,
     "op3_language": language.language_query,
     "op4_bpe": bpe.bpe_query,
+    "op5_neardup": neardup.neardup_query,
     "op6_mixing": mixing.mix_query,
     "op9_pii": pii.pii_query,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docloom.llm import bpe, language, mixing, neardup, pii, quality, warc
+from docloom.llm import bpe, language, mixing, neardup, pii, quality, search, warc
 
 QUERIES = {
     "op1_quality": quality.quality_query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_neardup": neardup.neardup_query,
     "op6_mixing": mixing.mix_query,
     "op9_pii": pii.pii_query,
+    "op10_search": search.search_query,
 }
 
 ORACLES = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docloom.llm import bpe, language, mixing, neardup, pii, quality, repeats, search, warc
+from docloom.llm import bpe, jaccard, language, mixing, neardup, pii, quality, repeats, search, warc
 
 QUERIES = {
     "op1_quality": quality.quality_query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe": bpe.bpe_query,
     "op5_neardup": neardup.neardup_query,
     "op6_mixing": mixing.mix_query,
+    "op7_jaccard": jaccard.jaccard_query,
     "op8_repeats": repeats.repeats_query,
     "op9_pii": pii.pii_query,
     "op10_search": search.search_query,

@@ -67,7 +67,7 @@ class Words:
             alive = alive[sizes[alive] > at]
         for i in alive:
             rest = buffer[starts[i] + at : starts[i] + sizes[i]].astype(np.uint64) + np.uint64(1)
-            hashes[i] += np.sum(rest * factors[at : sizes[i]], dtype=np.uint64)
+            hashes[i : i + 1] += np.sum(rest * factors[at : sizes[i]], dtype=np.uint64)
         return mix(hashes)
 
     def counts(self) -> np.ndarray:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.components import components
+from docloom.llm.mixing import word_count
 from docloom.llm.repeats import row_key
 from docloom.llm.store import stored
 from docloom.llm.words import Words, encode, mix, pieces, shingle_sets
@@ -320,9 +321,9 @@ def _verified(pairs: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, n_shingles, component_id) of every row of (doc_id, text).
+    """(doc_id, row, part, n_shingles, component_id) of every row of (doc_id, text).
 
-    ``row`` is ``row_key`` of the text. A set holds the distinct n-grams of ``SHINGLE`` words, A-Z
+    ``row`` is ``row_key`` of the text, ``part`` a number of its component, null for an empty set. A set holds the distinct n-grams of ``SHINGLE`` words, A-Z
     lowered; fewer words are one n-gram, and a text without words has an empty set and is linked with
     nothing. ``component_id`` is the smallest doc_id reachable by links; ids that are null name no
     component unless it has no other.
@@ -364,14 +365,35 @@ def similar(docs: DataFrame) -> DataFrame:
         ), "jaccard-named",
     )
     names = stored(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "jaccard-names")
-    result = stored(named.join(names, "component").select("digest", "component_id"), "jaccard-result")
+    result = stored(named.join(names, "component").select(
+        "digest", F.col("component").alias("part"), "component_id"), "jaccard-result")
     texts = summary.where("kind = 0").select("doc_id", "row", F.col("n").alias("n_shingles"), "digest")
     return texts.join(result, "digest", "left").select(
-        "doc_id", "row", F.col("n_shingles").cast("long").alias("n_shingles"),
+        "doc_id", "row", "part", F.col("n_shingles").cast("long").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
 
 
+def one_per_group(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component: that of the smallest doc_id, null last.
+
+    Of rows that repeat it one stays. Documents without words are in no component and all stay.
+    """
+    found = similar(docs)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    keepers = stored(
+        found.where(F.col("part").isNotNull()).groupBy("part").agg(F.min(order).alias("best"))
+        .select(F.col("best.row").alias("_keep")).distinct(), "jaccard-keepers",
+    )
+    packed = docs.select(
+        row_key(F.col("doc_id").cast("long"), F.col("text")).alias("_key"),
+        (word_count(F.col("text")) == 0).alias("_empty"), F.struct(*docs.columns).alias("_row"),
+    )
+    kept = packed.where(~F.col("_empty")).join(keepers, F.col("_key") == F.col("_keep"), "left_semi")
+    single = kept.groupBy("_key").agg(F.first("_row").alias("_row")).select("_row")
+    return single.unionByName(packed.where("_empty").select("_row")).select("_row.*")
+
+
 def _centers(reps: DataFrame) -> DataFrame:
     """Pairs of each set with the first and the last of those that share a lowest hash with it."""
     low = reps.select("node", F.explode("minima").alias("m"))
@@ -410,4 +432,4 @@ def _unlinked(lists: DataFrame, reps: DataFrame, linked: DataFrame, boundary: in
 def jaccard_query(spark, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return similar(docs).drop("row")
+    return similar(docs).drop("row", "part")

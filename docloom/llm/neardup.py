@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.llm.components import components, local_roots
 from docloom.llm.store import stored
@@ -24,15 +25,18 @@ from docloom.llm.vectors import matrix, rotation, units, usable
 
 THRESHOLD = 0.95
 BLOCKS = 4
+# Coordinates of a block that make its grid, and the width of a cell in reaches of the budget.
+# Every vector goes to about (1 + 1 / CELL) ** GRID cells of each block.
+GRID, CELL = 2, 2.0
 # Rows of a cell that one task compares; larger cells are cut into chunks, compared by twos.
-CHUNK_ROWS = 4096
+CHUNK_ROWS = 16_384
 TILE = 512
 
 
 class _Plan:
     """Blocks, budgets and grid for vectors of one size."""
 
-    def __init__(self, size: int, threshold: float, blocks: int, grid: int):
+    def __init__(self, size: int, threshold: float, blocks: int):
         self.size, self.threshold = size, threshold
         self.rotation = rotation(size)
         count = min(blocks, size)
@@ -40,7 +44,7 @@ class _Plan:
         self.blocks = list(zip(edges[:-1], edges[1:]))
         total = 2 * (1 - threshold) * (1 + 1e-9) + 1e-12
         self.budgets = [total * (e - b) / size for b, e in self.blocks]
-        self.grids = [min(grid, e - b) for b, e in self.blocks]
+        self.grids = [min(GRID, e - b) for b, e in self.blocks]
 
     def rotated(self, unit: np.ndarray) -> np.ndarray:
         """Rotation with one order of additions, so that every task gets the same bits."""
@@ -51,7 +55,7 @@ class _Plan:
         return out
 
     def cells(self, block: int, coordinates: np.ndarray) -> np.ndarray:
-        return np.floor(coordinates / math.sqrt(self.budgets[block])).astype(np.int64)
+        return np.floor(coordinates / (CELL * math.sqrt(self.budgets[block]))).astype(np.int64)
 
     def spread(self, block: int, rotated: np.ndarray):
         """(row, cell) for each cell that holds a midpoint with some vector within the budget."""
@@ -71,11 +75,14 @@ class _Plan:
         second = unit if same else other
         turned = [(u @ self.rotation).astype(np.float32) for u in (unit, second)]
         part = [t[:, begin:end] for t in turned]
-        norms = [(p * p).sum(axis=1) for p in part]
+        halves = [(p * p).sum(axis=1, keepdims=True) / 2 for p in part]
+        ones = [np.ones_like(h) for h in halves]
+        # One product gives half the negative squared distance.
+        left = np.hstack([part[0], -halves[0], ones[0]])
+        right = np.hstack([part[1], ones[1], -halves[1]]).T.copy()
+        least = np.float32(-(budget * 1.001 + 1e-5) / 2)
         for top in range(0, len(unit), TILE):
-            one = part[0][top : top + TILE]
-            distance = norms[0][top : top + TILE, None] + norms[1] - 2 * (one @ part[1].T)
-            i, j = np.nonzero(distance <= budget * 1.001 + 1e-5)
+            i, j = np.nonzero(left[top : top + TILE] @ right >= least)
             i += top
             if same:
                 i, j = i[i < j], j[i < j]
@@ -129,9 +136,8 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "vector-reps",
     )
-    count = reps.count()
-    # Finer grids for more vectors: the rows of a cell stay few, each vector goes to more cells.
-    grid = max(1, min(6, round(math.log(max(count, 1000) / 1000) / math.log(2.5))))
+    # Components travel in their own precision; sums are in double precision.
+    number = "<f4" if rows.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "<f8"
     columns = "cell binary, size int, block int, node long, copies long, vector binary"
 
     def assign(batches):
@@ -140,7 +146,7 @@ def near_duplicates(
             column = batch.column("embedding")
             sizes = column.value_lengths().to_numpy()
             for size in np.unique(sizes).tolist():
-                plan = plans.setdefault(size, _Plan(size, threshold, blocks, grid))
+                plan = plans.setdefault(size, _Plan(size, threshold, blocks))
                 chosen = pa.array(np.flatnonzero(sizes == size))
                 given = matrix(column.take(chosen), size)
                 node = batch.column("node").take(chosen).to_numpy()
@@ -154,7 +160,7 @@ def near_duplicates(
                                 pa.array(np.full(len(at), size, np.int32)),
                                 pa.array(np.full(len(at), block, np.int32)),
                                 pa.array(node[at]), pa.array(copies[at]),
-                                pa.array([v.tobytes() for v in given[at]], pa.binary()),
+                                pa.array([v.tobytes() for v in given[at].astype(number)], pa.binary()),
                             ], ["cell", "size", "block", "node", "copies", "vector"])
 
     key = ["size", "block", "cell"]
@@ -179,9 +185,9 @@ def near_duplicates(
         size, block = int(group["size"].iloc[0]), int(group["block"].iloc[0])
         low, high = group["low"].iloc[0], group["high"].iloc[0]
         cell = np.frombuffer(group["cell"].iloc[0], np.int64)
-        plan = _Plan(size, threshold, blocks, grid)
+        plan = _Plan(size, threshold, blocks)
         group = group.sort_values(["own", "node"], kind="stable")
-        unit = units(np.stack([np.frombuffer(v, np.float64) for v in group["vector"]]))
+        unit = units(np.stack([np.frombuffer(v, number) for v in group["vector"]]).astype(np.float64))
         node, copies = group["node"].to_numpy(), group["copies"].to_numpy()
         border = int((group["own"] == low).sum()) if low != high else 0
         found = (

@@ -146,15 +146,17 @@ def _summaries(rows: DataFrame) -> DataFrame:
 def choose_boundary(sizes: dict[int, int], length: float) -> int:
     """Largest size of a light set: that of least cost, given the small sets and a list's length.
 
-    An entry of a list costs one, and every other set in its list a candidate; subsets of two are
-    taken to be as rare as a square of that.
+    An entry of a list costs one, and every other set in its list a candidate. Sets that share a
+    token are taken to share a second one as often as an entry is not alone in its list.
     """
+    others = length - 1
+    pairs = others * others / length
     best, choice, cost = 0.0, 0, 0.0
     for n in range(2, LIGHT + 1):
         spare = n - least_overlap(n)
-        scan = (spare + 1) * (1 + CANDIDATE * (length - 1))
-        subsets = (spare + 2) * (spare + 1) / 2
-        cost += sizes.get(n, 0) * (subsets * (1 + CANDIDATE * (length - 1) ** 2) - scan)
+        scan = (spare + 1) * (1 + CANDIDATE * others)
+        subsets = (spare + 2) * (spare + 1) / 2 * (1 + CANDIDATE * pairs)
+        cost += sizes.get(n, 0) * (subsets - scan)
         if cost < best:
             best, choice = cost, n
     return choice

@@ -8,6 +8,7 @@ the largest sum over its words. The chain starts anew every ``CHAIN`` words.
 
 from __future__ import annotations
 
+import math
 import re
 from itertools import chain
 
@@ -201,13 +202,20 @@ def train(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> dict:
     ranked = docs.where("lang is not null").select(
         "doc_id", "lang", F.xxhash64("doc_id", "lang").alias("_order")
     )
-    # Lowest hashes per language, first inside partitions of the hash, so that no task ranks all.
-    small = Window.partitionBy("lang", "_part").orderBy("_order", "doc_id")
+    counts = ranked.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not counts:
+        return {"names": [], "shared": None}
+    # A hash range per language that holds somewhat more than the sample, then its lowest hashes.
+    limits = [
+        (r["lang"], math.ceil((1 << 30) * min(1.0, 1.3 * (per_language + 20) / r["count"]))) for r in counts
+    ]
+    limit = F.create_map(*[F.lit(x) for pair in limits for x in pair])
     final = Window.partitionBy("lang").orderBy("_order", "doc_id")
     chosen = (
-        ranked.distinct()
-        .withColumn("_part", F.pmod(F.col("_order"), F.lit(64)))
-        .withColumn("_at", F.row_number().over(small)).where(F.col("_at") <= per_language)
+        ranked.withColumn("_order", F.pmod("_order", F.lit(1 << 30)))
+        .where(F.col("_order") < limit[F.col("lang")])
         .withColumn("_at", F.row_number().over(final)).where(F.col("_at") <= per_language)
         .select("doc_id", "lang")
     )
@@ -230,8 +238,6 @@ def train(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> dict:
     found = rows.select("lang", "text").mapInArrow(cut, "lang string, span string").collect()
     spans = sorted((r["lang"], r["span"]) for r in found)
     names = sorted({s[0] for s in spans})
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not names:
         return {"names": [], "shared": None}
     labels = np.array([names.index(s[0]) for s in spans])

@@ -26,7 +26,7 @@ from docloom.llm.words import pieces
 
 ENDING = "</w>"
 # Words kept by a task before its table starts anew.
-TABLE_WORDS = 600_000
+TABLE_WORDS = 250_000
 # Above every rank.
 NEVER = np.iinfo(np.int64).max
 # Letters and digits among the code points below 256, and the white space there.
@@ -320,7 +320,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         encoder = Encoder(Vocabulary.of(tables.value))
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            for begin, end in pieces(texts):
+            for begin, end in pieces(texts, 2 << 20):
                 found = [f.astype("<u4").tobytes() for f in encoder.encode(texts[begin:end])]
                 part = batch.slice(begin, end - begin)
                 yield part.append_column(ids, pa.array(found, pa.binary()))
@@ -341,7 +341,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
         name = tables.value.__getitem__
         for batch in batches:
             raw = batch.column(ids).to_pylist()
-            for begin, end in pieces(raw, 16 << 20):
+            for begin, end in pieces(raw, 4 << 20):
                 lists = (np.frombuffer(r or b"", "<u4").tolist() for r in raw[begin:end])
                 found = [" ".join(map(name, i)) for i in lists]
                 part = batch.slice(begin, end - begin)

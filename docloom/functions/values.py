@@ -38,13 +38,20 @@ DECIMAL_PAIR = r"-?\d+\.\d+,-?\d+\.\d+"
 def parse_document(raw: Column) -> Column:
     """VARIANT of one whole JSON value; NULL for bad text, duplicate keys or trailing text.
 
-    The parser stops after the first value, so the text is parsed as the only element of an
-    array: anything left over breaks the array or gives a second element, and then the index
-    asked for below is out of bounds. No branch, so the text is parsed once.
+    The parser stops after the first value, so the text is parsed as the first of two elements of
+    an array, with a hash of the text as the second: text that closes the array early, or adds
+    elements, cannot know it. The elements are used in every case, so the text is parsed once.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    mark = F.xxhash64(raw)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(","), mark.cast("string"), F.lit("]")))
     elements = F.try_variant_get(wrapped, "$", "array<variant>")
-    return F.get(elements, 1 - F.size(elements))
+    whole = (F.size(elements) == 2) & (F.try_variant_get(F.get(elements, 1), "$", "bigint") == mark)
+    return F.get(elements, F.when(whole, 0).otherwise(-1))
+
+
+def parse_object(raw: Column) -> Column:
+    """Members of a document's body by key; NULL unless the text is one whole JSON object."""
+    return F.try_variant_get(parse_document(raw), "$", "map<string,variant>")
 
 
 def value_type(v: Column) -> Column:
@@ -125,35 +132,67 @@ def completion_subtype(v: Column) -> Column:
 
 
 def number_text(v: Column) -> Column:
-    """Number as text the way a script prints it: whole numbers without a fraction."""
+    """Number as text the way a script prints it, so that one double has one text.
+
+    Whole numbers have plain digits below 1e21 and an exponent from there on.
+    """
     x = F.try_variant_get(v, "$", "double")
-    whole = (x == F.floor(x).cast("double")) & (F.abs(x) < 9.0e18)
+    large = F.abs(x) >= F.lit(EXPONENT_LIMIT)
+    digits = x.try_cast("decimal(38,0)")
+    whole = (x == digits.cast("double")) & ~large
     plain = F.to_json(v)
-    return F.when(whole, x.try_cast("bigint").cast("string")).otherwise(
-        F.when(plain.rlike(r"^-?\d+\.\d+$"), F.regexp_replace(plain, r"0+$", "")).otherwise(plain)
+    exponent = F.regexp_replace(F.regexp_replace(x.cast("string"), r"\.0E", "E"), "E", "e+")
+    return (
+        F.when(whole, digits.cast("string"))
+        .when(large, exponent)
+        .when(plain.rlike(r"^-?\d+\.\d+$"), F.regexp_replace(plain, r"0+$", ""))
+        .otherwise(plain)
     )
 
 
-def label_text(v: Column, levels: int = 3) -> Column:
+def _scalar_text(v: Column) -> Column:
+    kind = value_type(v)
+    return (
+        F.when(kind == "string", F.try_variant_get(v, "$", "string"))
+        .when(kind == "number", number_text(v))
+        .when(kind == "object", "[object Object]")
+        .otherwise(F.to_json(v))
+    )
+
+
+def _leaves(v: Column) -> Column:
+    """The elements of an array with nested arrays replaced by theirs, in order, at any depth.
+
+    Every round opens the outermost arrays; there are no more rounds than opening brackets in the
+    value's text, and none changes anything once only leaves are left. An empty array is a leaf.
+    """
+
+    def elements(e: Column) -> Column:
+        inner = F.try_variant_get(e, "$", "array<variant>")
+        return F.when(F.size(inner) > 0, inner).otherwise(F.array(e))
+
+    rounds = F.size(F.split(F.to_json(v), r"\["))
+    return F.aggregate(
+        F.sequence(F.lit(1), rounds), F.array(v),
+        lambda found, _: F.flatten(F.transform(found, elements)),
+    )
+
+
+def label_text(v: Column) -> Column:
     """Value coerced to text, as it names a document kind.
 
     Missing gives ``undefined`` and null gives ``null``; an object gives a fixed literal and
-    an array its elements joined by commas (nested arrays up to ``levels``).
+    an array its leaves joined by commas, where null and an empty array are empty text.
     """
-    kind = value_type(v)
-    text = (
+    parts = F.transform(
+        _leaves(v),
+        lambda e: F.when(value_type(e).isin("null", "array"), "").otherwise(_scalar_text(e)),
+    )
+    return (
         F.when(v.isNull(), "undefined")
-        .when(kind == "string", F.try_variant_get(v, "$", "string"))
-        .when(kind == "number", number_text(v))
-        .when(kind == "object", "[object Object]")
+        .when(value_type(v) == "array", F.array_join(parts, ","))
+        .otherwise(_scalar_text(v))
     )
-    if levels > 0:
-        parts = F.transform(
-            F.try_variant_get(v, "$", "array<variant>"),
-            lambda e: F.when(value_type(e) == "null", "").otherwise(label_text(e, levels - 1)),
-        )
-        text = text.when(kind == "array", F.array_join(parts, ","))
-    return text.otherwise(F.to_json(v))
 
 
 def _child_path(parent: Column, key: Column) -> Column:
@@ -249,10 +288,10 @@ NODES = "array<struct<path:string,value:variant>>"
 def document_nodes(docs: DataFrame, root: str, *keep: str) -> DataFrame:
     """``keep`` and one row ``(path, type, value)`` per node below the root of each document.
 
-    Top-level members are exploded first, in generated code; only containers among them are
+    Text that is not one whole object has none. Top-level members are exploded first, in generated code; only containers among them are
     walked through.
     """
-    members = docs.select(*keep, F.explode_outer(F.from_json("raw", "map<string,variant>")))
+    members = docs.select(*keep, F.explode_outer(parse_object(F.col("raw"))))
     members = members.where(F.col("key").isNotNull())
     found = explode_rows(
         members, nodes(F.col("value"), _child_path(F.lit(root), F.col("key"))), "n", *keep

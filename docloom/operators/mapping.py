@@ -8,6 +8,7 @@ quarantine. Everything is one projection over one parse of each document.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,11 @@ COLUMN_TYPES = {
     "rank_features": "map<string,float>",
     "rank_feature": "float",
 }
+# Ranges but for dates, and the type of their ends.
+RANGE_ENDS = {
+    "integer_range": "int", "long_range": "bigint", "float_range": "float",
+    "double_range": "double", "ip_range": "string",
+}
 WHOLE_TYPES = ("long", "integer", "short", "byte")
 FRACTION_TYPES = ("double", "float", "half_float", "rank_feature")
 TEXT_TYPES = ("keyword", "text", "ip")
@@ -109,6 +115,8 @@ def to_boolean(v: Column) -> Column:
 
 def typed(v: Column, field: Field) -> Column:
     """The value in its declared type; NULL when missing, null, or malformed."""
+    if field.type not in COLUMN_TYPES:
+        raise ValueError(f"field {field.name}: unknown type {field.type}")
     target = COLUMN_TYPES[field.type]
     if field.type in WHOLE_TYPES:
         return to_whole(v, target, field.coerce)
@@ -125,14 +133,28 @@ def typed(v: Column, field: Field) -> Column:
     if field.type == "date":
         return to_date(to_text(v), field.format)
     if field.type == "date_range":
-        ends = [
-            to_date(F.try_variant_get(v, f"$.{end}", "string"), field.format).alias(end)
-            for end in ("gte", "lte")
-        ]
-        return F.when(value_type(v) == "object", F.struct(*ends))
+        return range_of(v, lambda end: to_date(to_text(end), field.format))
+    if field.type in RANGE_ENDS:
+        end_type = RANGE_ENDS[field.type]
+        if end_type in ("int", "bigint"):
+            return range_of(v, lambda end: to_whole(end, end_type, field.coerce))
+        if end_type in ("float", "double"):
+            return range_of(v, lambda end: to_fraction(end, end_type, field.coerce))
+        return range_of(v, to_text)
     return F.try_variant_get(v, "$", target)
 
 
+def range_of(v: Column, read: Callable[[Column], Column]) -> Column:
+    """Range from an object with ``gte`` and ``lte``. An end that is missing or null is open; one
+    that is there and cannot be read makes the range malformed, so NULL."""
+    ends = {end: F.try_variant_get(v, f"$.{end}", "variant") for end in ("gte", "lte")}
+    good = value_type(v) == "object"
+    for value in ends.values():
+        there = value.isNotNull() & (value_type(value) != "null")
+        good = good & (~there | read(value).isNotNull())
+    return F.when(good, F.struct(*[read(value).alias(end) for end, value in ends.items()]))
+
+
 def apply_mapping(docs: DataFrame, mapping: list[Field], *keep: str) -> DataFrame:
     """Typed columns beside ``keep``, with ``_ignored`` and ``_malformed`` field names.
 
@@ -257,12 +279,12 @@ def nested_explode(docs: DataFrame, path: str, columns: dict[str, str], *keep: s
 
 def flattened_leaves(
     docs: DataFrame, path: str, *keep: str,
-    depth_limit: int = 20, null_value: str | None = None, ignore_above: int | None = None,
+    depth_limit: int | None = None, null_value: str | None = None, ignore_above: int | None = None,
 ) -> DataFrame:
     """Leaves of the object at ``path`` as ``(leaf_path, leaf)`` text rows.
 
     An explicit null takes ``null_value`` or is left out, as is text longer than
-    ``ignore_above``. A leaf nested deeper than ``depth_limit`` raises.
+    ``ignore_above``. A leaf nested deeper than ``depth_limit``, if one is given, raises.
     """
     body = F.try_variant_get(parse_document(F.col("raw")), path, "variant")
     bodies = docs.select(*keep, body.alias("body"))
@@ -272,10 +294,10 @@ def flattened_leaves(
         F.try_variant_get("value", "$", "string")
     )
     field = field_path(F.col("path"))
-    too_deep = F.size(steps(field, "$")) > depth_limit
-    checked = F.when(too_deep, F.raise_error(F.lit("object nested too deep"))).otherwise(
-        F.regexp_replace(field, r"^\$\.?", "")
-    )
+    checked = F.regexp_replace(field, r"^\$\.?", "")
+    if depth_limit is not None:
+        too_deep = F.size(steps(field, "$")) > depth_limit
+        checked = F.when(too_deep, F.raise_error(F.lit("object nested too deep"))).otherwise(checked)
     leaves = found.where(~F.col("type").isin("object", "array")).select(
         *keep, checked.alias("leaf_path"), text.alias("leaf")
     )

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.functions.values import label_text, number_text, value_type
-from docloom.session import lookup_join, materialize
+from docloom.functions.values import label_text, number_text, parse_object, value_type
+from docloom.session import materialize
 
 # Samples kept per field, and the presence (percent) a kind field needs.
 SAMPLES_PER_FIELD = 30
@@ -22,22 +22,29 @@ PREFERRED_KEY = "type"
 
 # Value classes by code, so that the last class of a field is the maximum of one number.
 TYPES = ("string", "number", "boolean", "null", "array", "object")
-# Positions of keys inside a document fit in this many values.
-POSITIONS = 1 << 20
+
+
+def whole_objects(docs: DataFrame) -> DataFrame:
+    """The documents whose text is one JSON object without duplicate keys; the others have no
+    fields, name no kind, and are in no total."""
+    return docs.where(parse_object(F.col("raw")).isNotNull())
 
 
 def fields(docs: DataFrame) -> DataFrame:
     """One row per document and top-level key: ``(_index, seq, pos, key, value, type)``.
 
     ``pos`` is the place of the key in the document's text. Explicit nulls are rows, missing
-    keys are not, and members are not descended into.
+    keys are not, members are not descended into, and text that is not one whole object has no
+    fields.
     """
+    keys = F.json_object_keys("raw")
+    parsed = docs.select("_index", "seq", parse_object(F.col("raw")).alias("members"), keys.alias("keys"))
+    places = F.when(F.col("members").isNotNull(), F.col("keys"))
     return (
-        docs.select(
-            "_index", "seq", F.posexplode_outer(F.from_json("raw", "map<string,variant>"))
-        )
         # The outer form parses once; a plain explode would add a filter that parses again.
+        parsed.select("_index", "seq", "members", F.posexplode_outer(places).alias("pos", "key"))
         .where(F.col("key").isNotNull())
+        .select("_index", "seq", "pos", "key", F.element_at("members", F.col("key")).alias("value"))
         .withColumn("type", value_type(F.col("value")))
     )
 
@@ -64,32 +71,29 @@ def _key_order(key: Column, first: Column) -> Column:
 
 
 def stats_type() -> Column:
-    """Type of a field from ``any_string`` and ``last`` of its statistics."""
-    last_type = _type_name(F.pmod("last", F.lit(len(TYPES))))
-    return F.when(F.col("any_string") == 1, "string").otherwise(last_type)
+    """Type of a field from ``any_string`` and ``last_code`` of its statistics."""
+    return F.when(F.col("any_string") == 1, "string").otherwise(_type_name(F.col("last_code")))
 
 
 def field_stats(exploded: DataFrame) -> DataFrame:
     """Count, first place, and type per field, from ``fields``.
 
-    Everything aggregates into long buffers, so the map side combines in a hash table: few
-    keys, many rows. First place and last type ride in one number with ``seq``; a ``seq`` too
-    large for that raises instead of giving a wrong order.
+    Everything aggregates into number buffers, so the map side combines in a hash table: few
+    keys, many rows. The first place is a pair of ``seq`` and position, any ``seq`` will do.
     """
-    first = F.col("seq") * POSITIONS + F.when(F.col("pos") < POSITIONS, F.col("pos")).otherwise(
-        F.raise_error(F.lit("document with too many keys")).cast("int")
-    )
-    last = F.col("seq") * len(TYPES) + _type_code(F.col("type"))
     return (
         exploded.groupBy("_index", "key")
         .agg(
             F.count(F.lit(1)).alias("cnt"),
-            F.min(first).alias("first"),
-            F.max(last).alias("last"),
+            F.min("seq").alias("first_seq"),
+            F.min_by("pos", "seq").alias("first_pos"),
+            F.max("seq").alias("last_seq"),
+            F.max_by(_type_code(F.col("type")), "seq").alias("last_code"),
             F.max(F.when(F.col("type") == "string", 1).otherwise(0)).alias("any_string"),
         )
         .select(
-            "_index", "key", "cnt", "first", "last", "any_string", stats_type().alias("type")
+            "_index", "key", "cnt", "first_seq", "first_pos", "last_seq", "last_code", "any_string",
+            stats_type().alias("type"),
         )
     )
 
@@ -111,14 +115,14 @@ def percent(count: Column, total: Column) -> Column:
 
 def field_profile(docs: DataFrame) -> DataFrame:
     """Per field: count, type, presence in percent, and its order in the profile."""
-    totals = docs.groupBy("_index").agg(F.count(F.lit(1)).alias("total"))
+    totals = whole_objects(docs).groupBy("_index").agg(F.count(F.lit(1)).alias("total"))
     return (
         field_stats(fields(docs))
         .join(totals, "_index")
         .select(
             "_index", "key", "cnt", "type",
             percent(F.col("cnt"), F.col("total")).alias("probability"),
-            _key_order(F.col("key"), F.col("first")).alias("position"),
+            _key_order(F.col("key"), F.struct("first_seq", "first_pos")).alias("position"),
         )
     )
 
@@ -131,8 +135,8 @@ def field_samples(docs: DataFrame, size: int = SAMPLES_PER_FIELD) -> DataFrame:
     """The first ``size`` distinct values per field, as ``(_index, key, rank, type, sample)``.
 
     Scalars are equal when class and value are (numbers as doubles, so 1 and 1.0 are one);
-    objects and arrays never equal each other. The rank filter trims every task's share before
-    the shuffle.
+    objects and arrays never equal each other. Values are compared and ranked by digest; their
+    text is fetched at the end, for the samples alone, from the documents that hold them.
     """
     exploded = fields(docs)
     scalar = ~F.col("type").isin("array", "object")
@@ -141,17 +145,26 @@ def field_samples(docs: DataFrame, size: int = SAMPLES_PER_FIELD) -> DataFrame:
         .when(F.col("type") == "string", F.try_variant_get("value", "$", "string"))
         .otherwise(F.to_json("value"))
     )
-    columns = ["_index", "key", "type", "sample"]
-    valued = exploded.withColumn("sample", shown)
-    scalars = valued.where(scalar).groupBy(*columns).agg(F.min("seq").alias("seq"))
-    containers = valued.where(~scalar).select(*columns, "seq")
+    columns = ["_index", "key", "type", "digest"]
+    # A container is its own value: its place stands for it.
+    digest = F.when(scalar, F.sha2(shown, 256)).otherwise(F.col("seq").cast("string"))
+    firsts = (
+        exploded.select("_index", "key", "type", "seq", digest.alias("digest"))
+        .groupBy(*columns).agg(F.min("seq").alias("seq"))
+    )
     # Values of one key differ in seq: a document holds one value per key.
     order = Window.partitionBy("_index", "key").orderBy("seq")
-    return (
-        scalars.unionByName(containers)
-        .withColumn("rank", F.row_number().over(order))
+    ranked = materialize(
+        firsts.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= size)
-        .select("_index", "key", "rank", "type", "sample")
+        .select("_index", "key", "seq", "rank"),
+        "samples",
+    )
+    # Only the documents that hold a sample are parsed for their text.
+    holders = docs.join(ranked.select("_index", "seq").distinct(), ["_index", "seq"], "left_semi")
+    return (
+        fields(holders).join(ranked, ["_index", "key", "seq"])
+        .select("_index", "key", "rank", "type", shown.alias("sample"))
     )
 
 
@@ -199,18 +212,22 @@ def chosen_kind_fields(docs: DataFrame, **rules) -> DataFrame:
 
 
 def with_kind(docs: DataFrame, kind_fields: DataFrame) -> DataFrame:
-    """Add ``kind``: the text of the collection's kind field in each document.
+    """Add ``kind``: the text of the collection's kind field in each whole document.
 
     A missing field gives ``undefined``, null gives ``null``. Collections without a kind field
     get their own name.
     """
-    value = F.element_at(F.from_json("raw", "map<string,variant>"), F.col("kind_field"))
+    value = F.try_element_at(F.col("_members"), F.col("kind_field"))
     return (
-        lookup_join(docs, kind_fields, ["_index"])
+        docs.join(kind_fields, "_index")
+        .withColumn("_members", parse_object(F.col("raw")))
+        .where(F.col("_members").isNotNull())
+        .withColumn("_value", value)
         .withColumn(
             "kind",
-            F.when(F.col("kind_field") == "", F.col("_index")).otherwise(label_text(value)),
+            F.when(F.col("kind_field") == "", F.col("_index")).otherwise(label_text(F.col("_value"))),
         )
+        .drop("_members", "_value")
     )
 
 
@@ -239,10 +256,10 @@ def field_order(profile: DataFrame, alphabetical: bool = False) -> DataFrame:
 
 
 def collection_profile(docs: DataFrame, excluded: tuple[str, ...] = EXCLUDED_KEYS) -> DataFrame:
-    """What to know about every collection, as rows ``(_index, role, name, first)``.
+    """What to know about every collection, as rows ``(_index, role, name, first_seq, first_pos)``.
 
     Roles: ``kind_field`` (one row, empty name when there is none), ``suggested`` and ``other``
-    fields, and ``kind`` names; ``first`` gives their order of appearance. Rows, not lists: a
+    fields, and ``kind`` names; the last two columns give their order of appearance. Rows, not lists: a
     field with a value per document can name the kind, and lists of those would not fit a task.
     """
     profile = materialize(field_profile(docs))
@@ -251,14 +268,15 @@ def collection_profile(docs: DataFrame, excluded: tuple[str, ...] = EXCLUDED_KEY
         "_index",
         F.when(F.col("suggested"), "suggested").otherwise("other").alias("role"),
         F.col("key").alias("name"),
-        F.col("position.first").alias("first"),
+        F.col("position.first.first_seq").alias("first_seq"),
+        F.col("position.first.first_pos").alias("first_pos"),
     )
     kinds = distinct_kinds(with_kind(docs, chosen)).select(
         "_index", F.lit("kind").alias("role"), F.col("kind").alias("name"),
-        (F.col("first_seq") * POSITIONS).alias("first"),
+        "first_seq", F.lit(0).alias("first_pos"),
     )
     heads = chosen.select(
         "_index", F.lit("kind_field").alias("role"), F.col("kind_field").alias("name"),
-        F.lit(0).cast("bigint").alias("first"),
+        F.lit(0).cast("bigint").alias("first_seq"), F.lit(0).alias("first_pos"),
     )
     return heads.unionByName(names).unionByName(kinds)

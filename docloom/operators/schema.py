@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docloom.functions.values import (
     ancestors, document_nodes, field_path, is_member, leads_arrays, parse_document,
 )
-from docloom.session import lookup_join, materialize
+from docloom.session import materialize
 
 ROOT = "_source"
 # Fixed value: the extra kind that carries a collection's full mapping and has no documents.
@@ -108,9 +108,8 @@ def merged_template(kinded: DataFrame) -> DataFrame:
         )
     )
     deciders = alive.select("_index", F.col("last").alias("seq")).distinct()
-    deciding = lookup_join(
-        kinded.select("_index", "_id", "seq", "kind", "raw"), deciders, ["_index", "seq"],
-        "left_semi",
+    deciding = kinded.select("_index", "_id", "seq", "kind", "raw").join(
+        deciders, ["_index", "seq"], "left_semi"
     )
     values = (
         document_nodes(deciding, ROOT, "_index", "kind", "seq")
@@ -208,18 +207,20 @@ def schema_merge(schemas: DataFrame) -> DataFrame:
 
 
 def observed_fields(docs: DataFrame) -> DataFrame:
-    """Distinct field paths found in documents, with their value classes."""
+    """Distinct field paths found in each collection's documents, with their value classes."""
     return (
         document_nodes(docs, ROOT, "_index")
         .where(is_member(F.col("path")))
-        .select(field_path(F.col("path")).alias("path"), "type")
+        .select("_index", field_path(F.col("path")).alias("path"), "type")
         .distinct()
     )
 
 
 def new_fields(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Paths found in ``after`` and not in ``before``."""
-    return observed_fields(after).select("path").subtract(observed_fields(before).select("path"))
+    """Paths of a collection found in ``after`` and not in ``before``, with their classes there."""
+    return observed_fields(after).join(
+        observed_fields(before).select("_index", "path").distinct(), ["_index", "path"], "left_anti"
+    )
 
 
 def project_kind(docs: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:

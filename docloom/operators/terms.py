@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.analysis import Analyzer, grams, prefixes, simple
 from docloom.functions.rows import explode_rows, inline_rows, posexplode_rows
-from docloom.session import lookup_join, materialize
+from docloom.session import materialize
 
 # Term frequency saturation and length normalization of the probabilistic ranking.
 K1 = 1.2
@@ -134,7 +134,7 @@ def frequency_filter(
     share = F.col("doc_freq") / total.scalar()
     kept = term_stats(docs, doc, text, analyzer).where(share.between(least, most)).select("term")
     counted = postings(docs, doc, text, analyzer, "freqs")
-    return lookup_join(counted, kept, ["term"], "left_semi")
+    return counted.join(kept, "term", "left_semi")
 
 
 def fingerprint_groups(docs: DataFrame, doc: str, fingerprint: Column) -> DataFrame:
@@ -157,7 +157,7 @@ def fingerprint_groups(docs: DataFrame, doc: str, fingerprint: Column) -> DataFr
 
 def stop_terms(found: DataFrame, words: DataFrame) -> DataFrame:
     """Token rows whose term is not in a word table, such as one read from a text file."""
-    return lookup_join(found, words.select("term").distinct(), ["term"], "left_anti")
+    return found.join(words.select("term").distinct(), "term", "left_anti")
 
 
 def _top(scored: DataFrame, doc: str, k: int) -> DataFrame:
@@ -220,9 +220,7 @@ def rank_classic(
     found = doc_terms(docs, doc, text, analyzer)
     matches = F.exists("terms", lambda t: t["term"].isin(terms))
     matched = inline_rows(found, F.when(matches, F.col("terms")), ["term", "freq"], doc)
-    weighted = lookup_join(matched, weights, ["term"]).withColumn(
-        "w", F.col("freq") * F.col("idf")
-    )
+    weighted = matched.join(weights, "term").withColumn("w", F.col("freq") * F.col("idf"))
     asked = F.when(F.col("term").isin(terms), F.col("w")).otherwise(0.0)
     scored = weighted.groupBy(doc).agg(
         F.sum(asked).alias("dot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
@@ -261,11 +259,14 @@ def complete_prefix(
 
 
 def hashed_cardinality(rows: DataFrame, column: str, error: float = 0.01) -> DataFrame:
-    """Exact number of distinct values beside the estimate from their hashes."""
-    return rows.agg(
-        F.countDistinct(column).alias("exact"),
-        F.approx_count_distinct(F.hash(column), error).alias("estimate"),
-    )
+    """Exact number of distinct values beside the estimate from their 64-bit hashes.
+
+    The exact number counts digests, so that no long value crosses the shuffle.
+    """
+    digest = F.sha2(F.col(column).cast("string"), 256)
+    exact = rows.select(digest.alias("d")).where(F.col("d").isNotNull()).distinct()
+    estimate = rows.agg(F.approx_count_distinct(F.xxhash64(column), error).alias("estimate"))
+    return exact.agg(F.count(F.lit(1)).alias("exact")).withColumn("estimate", estimate.scalar())
 
 
 def token_count(docs: DataFrame, doc: str, text: str, analyzer: Analyzer) -> DataFrame:

@@ -205,10 +205,11 @@ def field_order(spark, sf):
     kinds AS (
       SELECT 'mixed' AS _index, kind, seq FROM mixed_rows WHERE kind <> ''
       UNION ALL SELECT 'events', event_type, seq FROM event_rows)
-    SELECT _index, 'kind_field' AS role, kind_field AS name, CAST(0 AS BIGINT) AS first FROM chosen
+    SELECT _index, 'kind_field' AS role, kind_field AS name, CAST(0 AS BIGINT) AS first_seq,
+      CAST(0 AS INT) AS first_pos FROM chosen
     UNION ALL SELECT _index, CASE WHEN suggested THEN 'suggested' ELSE 'other' END, key,
-      (first // 100) * 1048576 + first % 100 FROM marked
-    UNION ALL SELECT _index, 'kind', kind, min(seq) * 1048576 FROM kinds GROUP BY 1, 3""",
+      first // 100, CAST(first % 100 AS INT) FROM marked
+    UNION ALL SELECT _index, 'kind', kind, min(seq), 0 FROM kinds GROUP BY 1, 3""",
 )
 def collection_profile(spark, sf):
     return P.collection_profile(X.collections(spark, sf))

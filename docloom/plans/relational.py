@@ -82,7 +82,7 @@ def load_collection(spark, sf):
     )
     generated = D.envelope(kinds.select("d.*"))
     lines = D.ndjson_scan(spark, write_lines(spark, sf), mode="quarantine")
-    path = sinks.load_collection(
+    path, _ = sinks.load_collection(
         generated, [lines.select("_index", "_id", "_source")],
         scratch_path(spark, "load"), "Events", on_bad="reject",
     )

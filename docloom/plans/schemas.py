@@ -142,14 +142,14 @@ def schema_merge(spark, sf):
     "new_fields",
     "WITH " + X.MIXED_FIELDS_SQL + """,
     paths AS (
-      SELECT origin, '$.' || key AS path FROM mixed_fields JOIN mixed_rows USING (seq)
-      UNION ALL SELECT origin, '$.info.ref' FROM mixed_rows
-      UNION ALL SELECT origin, '$.info.seg' FROM mixed_rows WHERE origin = 'customer'
-      UNION ALL SELECT origin, '$.info.ref.nation' FROM mixed_rows WHERE origin <> 'order'
-      UNION ALL SELECT origin, '$.info.ref.acct' FROM mixed_rows WHERE origin = 'supplier')
-    SELECT replace(path, '$', '_source') AS path FROM (
-      SELECT path FROM paths WHERE origin <> 'order'
-      EXCEPT SELECT path FROM paths WHERE origin = 'order')""",
+      SELECT origin, '$.' || key AS path, type FROM mixed_fields JOIN mixed_rows USING (seq)
+      UNION ALL SELECT origin, '$.info.ref', CASE origin WHEN 'order' THEN 'string' ELSE 'object' END
+        FROM mixed_rows
+      UNION ALL SELECT origin, '$.info.seg', 'string' FROM mixed_rows WHERE origin = 'customer'
+      UNION ALL SELECT origin, '$.info.ref.nation', 'number' FROM mixed_rows WHERE origin <> 'order'
+      UNION ALL SELECT origin, '$.info.ref.acct', 'null' FROM mixed_rows WHERE origin = 'supplier')
+    SELECT DISTINCT 'mixed' AS _index, replace(path, '$', '_source') AS path, type FROM paths
+    WHERE origin <> 'order' AND path NOT IN (SELECT path FROM paths WHERE origin = 'order')""",
 )
 def new_fields(spark, sf):
     docs = X.mixed_docs(spark, sf)

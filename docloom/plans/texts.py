@@ -9,11 +9,11 @@ from docloom.functions.rows import explode_rows
 from docloom.operators import terms as T
 from docloom.plans.registry import query
 from docloom.session import scratch_path
-from docloom.sources.tables import spread, table
+from docloom.sources.tables import table
 
 
 def _documents(spark, sf):
-    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 def _corpus(source: str, key: str, tokens: str) -> str:
@@ -31,7 +31,7 @@ _LETTERS_SQL = r"regexp_split_to_array(lower(text), '[^\p{L}]+')"
 def _register_corpus(name, source, key, text, analyzer, tokens_sql):
     @query(name, _corpus(source, key, tokens_sql))
     def corpus(spark, sf):
-        docs = spread(table(spark, sf, source).select(key, text))
+        docs = table(spark, sf, source).select(key, text)
         return T.corpus_terms(docs, key, text, analyzer)
 
 
@@ -208,7 +208,7 @@ _LANGUAGE_CASE = " ".join(
     WHERE term <> '' AND NOT CASE lang {_LANGUAGE_CASE} ELSE false END GROUP BY 1, 2""",
 )
 def an_language(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("lang", "text"))
+    docs = table(spark, sf, "documents").select("lang", "text")
     found = A.standard_lower(F.col("text"))
     by_language = F.when(F.lit(False), found)
     for lang, words in STOP.items():
@@ -222,7 +222,7 @@ def an_language(spark, sf):
 @query("an_language_named")
 def an_language_named(spark, sf):
     """English texts without the session's own English stop word list."""
-    docs = spread(table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "text"))
+    docs = table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "text")
     words = A.stop_words(named="english")
     return T.corpus_terms(docs, "doc_id", "text", lambda x: A.language(x, words))
 

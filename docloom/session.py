@@ -1,4 +1,4 @@
-"""Session for local runs, the shared scratch folder, and the size-checked lookup join."""
+"""Session for local runs, and tables in the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A lookup table is broadcast up to this many rows; a larger one is joined by shuffle.
-BROADCAST_ROWS = 200_000
 
 _local_scratch: dict[str, str] = {}
 
@@ -41,7 +37,7 @@ def scratch_root(spark: SparkSession) -> str:
     if shared:
         return shared
     master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     app = spark.sparkContext.applicationId
     if app not in _local_scratch:
@@ -54,26 +50,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and cut its lineage there."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_root(spark))
-    return df.checkpoint()
-
-
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Equi-join of many rows with a table holding one row per key.
-
-    The lookup is materialized and counted: up to ``max_rows`` rows it is broadcast. Beyond that
-    both sides are shuffled by key, and adaptive execution splits the partition of a key holding
-    a large share of the facts, reading the lookup's few rows once per piece. ``how`` may be
-    inner, left, left_semi or left_anti, which all allow the fact side to be split.
-    """
-    lookup = materialize(lookup)
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        return facts.join(F.broadcast(lookup), on, how)
-    return facts.join(lookup.hint("merge"), on, how)
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and read it back."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.values import parse_document, value_type
-from docloom.session import lookup_join, materialize
+from docloom.session import materialize
 
 ENVELOPE = ["_index", "_id", "_source"]
 # Buckets per histogram round when looking for the n-th position of a collection.
-HISTOGRAM_BUCKETS = 65_536
-# Up to this size a top-n keeps its rows in the tasks; beyond it the n-th position is searched.
-SMALL_LIMIT = 10_000
+HISTOGRAM_BUCKETS = 4096
+# A range with no more rows than this is ranked instead of cut again.
+RANKED_ROWS = 100_000
 
 
 def with_source(docs: DataFrame) -> DataFrame:
@@ -29,9 +29,13 @@ def envelope(docs: DataFrame) -> DataFrame:
     return with_source(docs).select(*ENVELOPE)
 
 
+# Fixed value: the name form of one family of system collections.
+SYSTEM_NAME = r"(?i)^apm-[0-9]+\.[0-9]+\.[0-9]+"
+
+
 def is_system(name: Column) -> Column:
     """System collections: a leading dot, or ``apm-`` and a three-part version, any case."""
-    return name.startswith(".") | name.rlike(r"(?i)^apm-[0-9]+\.[0-9]+\.[0-9]+")
+    return name.startswith(".") | name.rlike(SYSTEM_NAME)
 
 
 def catalog_filtered(docs: DataFrame, include_system: bool = False) -> DataFrame:
@@ -63,10 +67,8 @@ def sample_size(
 
 
 def scan_limit(docs: DataFrame, collection: str, size: int) -> DataFrame:
-    """The first ``size`` documents of one collection, in ``seq`` order."""
+    """The first ``size`` documents of one collection, by ``seq`` and then ``_id``."""
     one = docs.where(F.col("_index") == collection)
-    if size <= SMALL_LIMIT:
-        return one.orderBy("seq").limit(size)
     sizes = count_docs(one.select("_index")).withColumn("size", F.lit(size).cast("bigint"))
     return first_documents(one, sizes)
 
@@ -77,75 +79,85 @@ def sampled_read(docs: DataFrame, **settings) -> DataFrame:
 
 
 def first_documents(docs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The first ``size`` documents of every collection, for any size.
+    """The first ``size`` documents of every collection by ``seq`` and ``_id``, for any size.
 
-    ``sizes`` has ``(_index, documents, size)``. No collection is sorted: two rounds of bucket
-    counts over ``seq`` narrow the n-th position down to a sliver of the collection, only that
-    sliver is ranked, and the documents themselves are then filtered without a shuffle.
+    ``sizes`` has ``(_index, documents, size)``. No collection is sorted: bucket counts over
+    ``seq`` narrow the range that holds the n-th position of each collection, round by round,
+    until few documents are left in it or it is one ``seq``; only those are ranked, and the
+    documents themselves are then filtered. Rows that repeat both seq and id count one by one.
     """
-    positions = docs.select("_index", "seq")
-    low, high = positions.agg(F.min("seq"), F.max("seq")).first()
-    if low is None:
-        return docs
-    width = max(1, -(-(high - low + 1) // HISTOGRAM_BUCKETS))
-    inner = max(1, -(-width // HISTOGRAM_BUCKETS))
-
-    outer_bucket = F.expr(f"({_sql_offset(low)}) div {width}L")
+    positions = docs.select("_index", "seq", "_id")
     wanted = sizes.where((F.col("size") > 0) & (F.col("size") < F.col("documents")))
-    outer = _boundary(
-        positions.groupBy("_index", outer_bucket.alias("bucket")).count(),
-        wanted.select("_index", F.col("size").alias("left")),
-    )
-    in_outer = lookup_join(
-        positions.withColumn("bucket", outer_bucket), outer, ["_index", "bucket"]
+    ends = positions.groupBy("_index").agg(F.min("seq").alias("low"), F.max("seq").alias("high"))
+    # Ranges as decimals: the distance of two positions may not fit a long.
+    ranges = materialize(
+        ends.join(wanted, "_index").select(
+            "_index", "low", "high", F.col("size").alias("left"), F.col("documents").alias("inside")
+        ),
+        "ranges",
     )
-    inner_bucket = F.expr(f"(({_sql_offset(low)}) % {width}L) div {inner}L")
-    in_outer = in_outer.withColumn("part", inner_bucket)
-    lefts = outer.select("_index", "left")
-    sliver = _boundary(in_outer.groupBy("_index", F.col("part").alias("bucket")).count(), lefts)
-    ranked = lookup_join(
-        in_outer.select("_index", "seq", F.col("part").alias("bucket")),
-        sliver, ["_index", "bucket"],
-    ).withColumn("rank", F.row_number().over(Window.partitionBy("_index").orderBy("seq")))
-    cutoffs = ranked.where(F.col("rank") == F.col("left")).select(
-        "_index", F.col("seq").alias("last")
+    while True:
+        open_ = (F.col("inside") > RANKED_ROWS) & (F.col("low") < F.col("high"))
+        if ranges.where(open_).isEmpty():
+            break
+        ranges = materialize(_narrowed(positions, ranges.where(open_)).unionByName(ranges.where(~open_)), "ranges")
+    in_range = F.col("seq").between(F.col("low"), F.col("high"))
+    order = Window.partitionBy("_index").orderBy("seq", "_id")
+    last = (
+        positions.join(ranges, "_index").where(in_range)
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= F.col("left"))
+        .select("_index", "seq", "_id")
     )
-    whole = sizes.where(F.col("size") >= F.col("documents")).select(
-        "_index", F.lit(high).cast("bigint").alias("last")
-    )
-    return (
-        lookup_join(docs, cutoffs.unionByName(whole), ["_index"])
-        .where(F.col("seq") <= F.col("last"))
+    low = ranges.select("_index", "low", "high")
+    whole = sizes.where((F.col("size") >= F.col("documents")) & (F.col("size") > 0)).select("_index")
+    named = docs.join(low, "_index")
+    before = named.where(F.col("seq") < F.col("low")).select(docs.columns)
+    # Repeated rows of the last range come as often as they were ranked.
+    counted = last.groupBy("_index", "seq", "_id").agg(F.count(F.lit(1)).alias("_times"))
+    copy = Window.partitionBy("_index", "seq", "_id").orderBy(F.lit(1))
+    edge = (
+        named.where(in_range)
+        .join(counted, ["_index", "seq", "_id"])
+        .withColumn("_copy", F.row_number().over(copy))
+        .where(F.col("_copy") <= F.col("_times"))
         .select(docs.columns)
     )
-
-
-def _sql_offset(low: int) -> str:
-    return f"seq - ({low}L)"
-
-
-def _boundary(histogram: DataFrame, lefts: DataFrame) -> DataFrame:
-    """Per collection the bucket holding the wanted position, and the rank wanted inside it."""
-    below = Window.partitionBy("_index").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+    return docs.join(whole, "_index", "left_semi").unionByName(before).unionByName(edge)
+
+
+def _narrowed(positions: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``ranges`` cut down to the bucket that holds the position looked for."""
+    width = F.ceil(
+        (F.col("high").cast("decimal(20,0)") - F.col("low") + 1) / F.lit(HISTOGRAM_BUCKETS)
+    ).cast("decimal(20,0)")
+    start = F.col("low") + F.col("bucket") * width
+    inside = positions.join(ranges, "_index").where(F.col("seq").between(F.col("low"), F.col("high")))
+    bucket = F.floor((F.col("seq").cast("decimal(20,0)") - F.col("low")) / width).cast("bigint")
+    counted = inside.groupBy("_index", "low", "high", "left", bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    counted = histogram.withColumn("before", F.coalesce(F.sum("count").over(below), F.lit(0)))
-    return materialize(
-        counted.join(lefts, "_index")
-        .where((F.col("before") < F.col("left")) & (F.col("left") <= F.col("before") + F.col("count")))
-        .select("_index", "bucket", (F.col("left") - F.col("before")).alias("left"))
+    # At most HISTOGRAM_BUCKETS rows per collection.
+    below = Window.partitionBy("_index").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("before", F.coalesce(F.sum("n").over(below), F.lit(0)))
+    held = (F.col("before") < F.col("left")) & (F.col("left") <= F.col("before") + F.col("n"))
+    return placed.where(held).select(
+        "_index", start.cast("bigint").alias("low"),
+        F.least(F.col("high").cast("decimal(20,0)"), start + width - 1).cast("bigint").alias("high"),
+        (F.col("left") - F.col("before")).alias("left"), F.col("n").alias("inside"),
     )
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per text line; empty lines are skipped."""
-    return spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    """One row per text line, empty lines included."""
+    return spark.read.text(path)
 
 
 def checked_lines(lines: DataFrame) -> DataFrame:
     """Parse lines of ``{"_index", "_id", "seq", "_source"}`` and say what is wrong with each.
 
-    ``problem`` is NULL for a good line, else ``bad_json``, ``no_index`` or ``bad_source``.
+    ``problem`` is NULL for a good line, else ``bad_json`` (empty lines too), ``no_index`` or
+    ``bad_source``.
     """
     doc = parse_document(F.col("value"))
     body = F.try_variant_get("doc", "$._source", "variant")
@@ -175,8 +187,6 @@ def ndjson_scan(spark: SparkSession, path: str, mode: str = "fail") -> DataFrame
     lines = checked_lines(read_lines(spark, path))
     if mode == "quarantine":
         return lines
-    return lines.withColumn(
-        "_source",
-        F.when(F.col("problem") == "bad_json", F.raise_error(F.concat(F.lit("bad line: "), "line")))
-        .otherwise(F.col("_source")),
-    )
+    # A filter, so that no choice of columns can leave the check out.
+    bad = F.raise_error(F.concat(F.lit("bad line: "), "line")).cast("boolean")
+    return lines.where(F.when(F.col("problem") == "bad_json", bad).otherwise(F.lit(True)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.values import value_type
+from docloom.session import materialize
 
 
 def create_if_absent(docs: DataFrame, root: str, collection: str) -> str:
@@ -23,43 +24,37 @@ def _problem() -> Column:
     )
 
 
-def split_valid(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents fit to be written, and the others with their ``problem``."""
-    checked = docs.withColumn("problem", _problem())
-    return (
-        checked.where(F.col("problem").isNull()).drop("problem"),
-        checked.where(F.col("problem").isNotNull()),
-    )
-
-
 def append_validated(
-    docs: DataFrame, path: str, on_bad: str = "fail", keep_id: bool = False
+    docs: DataFrame, path: str, on_bad: str = "fail", keep_id: bool = False, mode: str = "append"
 ) -> DataFrame:
     """Append documents below ``path``, partitioned by collection; returns the rejected ones.
 
     Every document needs a non-empty ``_index`` and an object as ``_source``. The id is dropped,
     so writing twice duplicates; ``keep_id=True`` keeps it and writes every id of this call once.
-    ``on_bad="fail"`` stops at the first bad document, ``"reject"`` leaves it out.
+    ``on_bad="fail"`` raises if there is a bad document and writes nothing, ``"reject"`` leaves it
+    out. Documents are checked once, so the rejected rows are those that were not written.
     """
-    good, bad = split_valid(docs)
-    if on_bad == "fail":
-        good = docs.withColumn("problem", _problem()).withColumn(
-            "_index",
-            F.when(F.col("problem").isNotNull(), F.raise_error(F.col("problem")))
-            .otherwise(F.col("_index")),
-        ).drop("problem")
+    checked = materialize(docs.withColumn("problem", _problem()), "checked")
+    bad = checked.where(F.col("problem").isNotNull())
+    if on_bad == "fail" and (first := bad.first()) is not None:
+        raise ValueError(f"document not fit to be written: {first['problem']}")
+    good = checked.where(F.col("problem").isNull()).drop("problem")
     good = good.dropDuplicates(["_index", "_id"]) if keep_id else good.drop("_id")
-    good.write.mode("append").partitionBy("_index").parquet(path)
+    good.write.mode(mode).partitionBy("_index").parquet(path)
     return bad
 
 
 def load_collection(
     generated: DataFrame, files: list[DataFrame], root: str, collection: str, on_bad: str = "fail"
-) -> str:
-    """Create a collection with one generated document per kind, then append its files."""
+) -> tuple[str, DataFrame]:
+    """Create a collection with one generated document per kind, then append its files.
+
+    Returns its folder and the documents that were rejected, generated ones included; with
+    ``on_bad="fail"`` any of them raises.
+    """
     path = f"{root}/{collection.lower()}"
-    valid, _ = split_valid(generated)
-    valid.drop("_id").write.mode("errorifexists").partitionBy("_index").parquet(path)
+    columns = ["_index", "_id", "_source"]
+    rejected = append_validated(generated.select(columns), path, on_bad, mode="errorifexists")
     for docs in files:
-        append_validated(docs, path, on_bad)
-    return path
+        rejected = rejected.unionByName(append_validated(docs.select(columns), path, on_bad))
+    return path, rejected

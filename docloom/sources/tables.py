@@ -5,15 +5,5 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when a scan has fewer partitions than there are cores.
-
-    A small file with one row group is one task, however many cores wait for the parsing behind
-    it. A table with more splits than cores, as any large one, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

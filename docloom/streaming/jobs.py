@@ -6,14 +6,24 @@ is "all that is there, then stop" unless a refresh interval is given.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from docloom.functions.values import label_text
 from docloom.operators.profile import field_stats, fields, percent, stats_type
+from docloom.session import materialize
 from docloom.sources.documents import checked_lines
 
+# Batches after which all partials are merged into one.
+COMPACT = 50
+PARTIAL = ("_index", "key", "cnt", "last_seq", "last_code", "any_string")
+Merge = Callable[[DataFrame], DataFrame]
+
 
 def triggered(writer: DataStreamWriter, refresh_interval: str | None) -> DataStreamWriter:
     """``None`` and negative intervals drain what is there; otherwise refresh at that pace."""
@@ -25,7 +35,7 @@ def triggered(writer: DataStreamWriter, refresh_interval: str | None) -> DataStr
 def line_stream(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
     """New lines of a folder, checked and parsed."""
     lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(folder)
-    return checked_lines(lines.where(F.length(F.trim("value")) > 0))
+    return checked_lines(lines)
 
 
 def stream_ingest(
@@ -53,24 +63,67 @@ def stream_ingest(
     ]
 
 
+def _commit(spark: SparkSession, rows: DataFrame, out: str, batch_id: int, merge: Merge) -> None:
+    """Write the partial of a batch, then the line that makes it count.
+
+    A partial goes to a folder of its own at every attempt, and readers take only folders that a
+    line names, one per batch, so they never see half a partial and a replay changes nothing. Every
+    ``COMPACT`` batches all that counts is merged into one partial, which replaces what it covers.
+    """
+    part = f"parts/batch={batch_id}-{uuid.uuid4().hex}"
+    covers = batch_id
+    if batch_id % COMPACT == COMPACT - 1:
+        found = committed(spark, out)
+        rows = merge(rows if found is None else found.unionByName(rows))
+        covers = 0
+    rows.write.parquet(f"{out}/{part}")
+    line = spark.createDataFrame([(covers, batch_id, part)], "low long, high long, part string")
+    line.coalesce(1).write.mode("append").parquet(f"{out}/commits")
+
+
+def committed(spark: SparkSession, out: str) -> DataFrame | None:
+    """Partials that count: the last merged one and one of each batch after it; None before any.
+
+    The driver sees the names of at most ``COMPACT`` partials.
+    """
+    try:
+        lines = spark.read.schema("low long, high long, part string").parquet(f"{out}/commits")
+    except AnalysisException:
+        return None
+    merged = lines.where("low < high").select(F.max("high")).first()[0]
+    floor = -1 if merged is None else merged
+    one = lines.where(F.col("high") > floor).groupBy("high").agg(F.min("part").alias("part"))
+    names = [r["part"] for r in one.collect()]
+    if merged is not None:
+        last = lines.where((F.col("high") == merged) & (F.col("low") < F.col("high")))
+        names.append(last.select(F.min("part")).first()[0])
+    return spark.read.parquet(*[f"{out}/{name}" for name in sorted(names)]) if names else None
+
+
+def _merged_profile(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("_index", "key").agg(
+        F.sum("cnt").alias("cnt"),
+        F.max_by("last_code", "last_seq").alias("last_code"),
+        F.max("last_seq").alias("last_seq"),
+        F.max("any_string").alias("any_string"),
+    )
+
+
 def stream_profile(
     spark: SparkSession, folder: str, out: str, max_files: int = 1000,
     refresh_interval: str | None = None,
 ) -> StreamingQuery:
     """Write a partial field profile per batch; ``current_profile`` merges them.
 
-    A batch overwrites the folder of its own number, so a replay changes nothing.
+    Fields and totals are rows of one table, so that they are written together; a total has no key.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Both writes below read the batch; kept, its lines are parsed once.
         docs = batch.select("_index", "seq", F.to_json("_source").alias("raw")).persist()
-        field_stats(fields(docs)).drop("type").write.mode("overwrite").parquet(
-            f"{out}/fields/batch={batch_id}"
-        )
-        docs.groupBy("_index").agg(F.count(F.lit(1)).alias("total")).write.mode(
-            "overwrite"
-        ).parquet(f"{out}/totals/batch={batch_id}")
+        totals = docs.groupBy("_index").agg(F.count(F.lit(1)).alias("cnt"))
+        found = field_stats(fields(docs)).select(*PARTIAL)
+        rows = found.unionByName(totals, allowMissingColumns=True)
+        _commit(spark, rows, out, batch_id, lambda parts: _merged_profile(parts).select(*PARTIAL))
         docs.unpersist()
 
     valid = line_stream(spark, folder, max_files).where(F.col("problem").isNull())
@@ -81,17 +134,10 @@ def stream_profile(
 
 
 def current_profile(spark: SparkSession, out: str) -> DataFrame:
-    """Presence, type and probability per field over all batches so far."""
-    merged = (
-        spark.read.parquet(f"{out}/fields")
-        .groupBy("_index", "key")
-        .agg(
-            F.sum("cnt").alias("cnt"), F.max("last").alias("last"),
-            F.max("any_string").alias("any_string"),
-        )
-    )
-    totals = spark.read.parquet(f"{out}/totals").groupBy("_index").agg(F.sum("total").alias("total"))
-    return merged.join(totals, "_index").select(
+    """Presence, type and probability per field over all committed batches."""
+    merged = materialize(_merged_profile(committed(spark, out)), "stream-profile")
+    totals = merged.where(F.col("key").isNull()).select("_index", F.col("cnt").alias("total"))
+    return merged.where(F.col("key").isNotNull()).join(totals, "_index").select(
         "_index", "key", "cnt", stats_type().alias("type"),
         percent(F.col("cnt"), F.col("total")).alias("probability"),
     )
@@ -101,30 +147,28 @@ def stream_kind_counts(
     spark: SparkSession, folder: str, out: str, kind_field: str, max_files: int = 1000,
     refresh_interval: str | None = None,
 ) -> StreamingQuery:
-    """Documents per collection and kind as a running aggregate.
+    """Documents per collection and kind, a partial count per batch; ``current_counts`` sums them."""
 
-    Every trigger writes the whole result into the folder of its number; the state is one row
-    per kind.
-    """
+    def summed(parts: DataFrame) -> DataFrame:
+        return parts.groupBy("_index", "kind").agg(F.sum("documents").alias("documents"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/counts/batch={batch_id}")
+        value = F.try_element_at(
+            F.try_variant_get("_source", "$", "map<string,variant>"), F.lit(kind_field)
+        )
+        kinds = batch.select("_index", value.alias("_value"))
+        rows = kinds.groupBy("_index", label_text(F.col("_value")).alias("kind")).agg(
+            F.count(F.lit(1)).alias("documents")
+        )
+        _commit(spark, rows, out, batch_id, summed)
 
     valid = line_stream(spark, folder, max_files).where(F.col("problem").isNull())
-    value = F.try_variant_get("_source", f"$.{kind_field}", "variant")
-    counts = valid.groupBy("_index", label_text(value).alias("kind")).agg(
-        F.count(F.lit(1)).alias("documents")
-    )
     return triggered(
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(write)
-        .option("checkpointLocation", f"{out}/_checkpoint"),
+        valid.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/_checkpoint"),
         refresh_interval,
     ).start()
 
 
 def current_counts(spark: SparkSession, out: str) -> DataFrame:
-    """The counts of the latest trigger."""
-    counts = spark.read.parquet(f"{out}/counts")
-    latest = counts.select(F.max("batch")).scalar()
-    return counts.where(F.col("batch") == latest).drop("batch")
+    """The counts over all committed batches."""
+    return committed(spark, out).groupBy("_index", "kind").agg(F.sum("documents").alias("documents"))

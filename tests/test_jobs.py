@@ -1,10 +1,9 @@
-"""Sinks, streams across restarts, and the lookup join beyond its broadcast bound."""
+"""Sinks, and streams across restarts."""
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
-from docloom.session import lookup_join, scratch_path
+from docloom.session import scratch_path
 from docloom.sources import documents as D
 from docloom.sources import sinks
 from docloom.streaming import jobs as J
@@ -17,6 +16,8 @@ LINES = [
     '{"_id": "3", "seq": 3, "_source": {}}',
     '{"_index": "c", "_source": [1]}',
     "{broken",
+    "",
+    '{"_index": "c", "_id": "4", "seq": 4, "_source": {"a": 1}}] junk',
 ]
 
 
@@ -32,7 +33,10 @@ def test_bad_line_ends_the_scan(spark):
         D.ndjson_scan(spark, folder).collect()
     found = D.ndjson_scan(spark, folder, mode="quarantine").select("problem").collect()
     assert sorted(str(r["problem"]) for r in found) == [
-        "None", "None", "bad_json", "bad_source", "no_index"]
+        "None", "None", "bad_json", "bad_json", "bad_json", "bad_source", "no_index"]
+    for narrow in (D.ndjson_scan(spark, folder).select("_index"), D.ndjson_scan(spark, folder).groupBy()):
+        with pytest.raises(Exception, match="bad line"):
+            narrow.count() if hasattr(narrow, "columns") else narrow.count().collect()
 
 
 def test_create_twice_raises(spark):
@@ -65,16 +69,36 @@ def test_ingest_does_not_repeat_after_a_restart(spark):
         for job in J.stream_ingest(spark, folder, out):
             job.awaitTermination()
     assert spark.read.parquet(f"{out}/valid").count() == 3
-    assert spark.read.parquet(f"{out}/quarantine").count() == 3
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_join_beyond_the_bound(spark, how):
-    facts = spark.range(1000).withColumn("k", F.when(F.col("id") < 400, 1).otherwise(F.col("id") % 9))
-    lookup = spark.createDataFrame([(1, "x"), (2, "y"), (50, "z")], "k long, v string")
-    wide = lookup_join(facts, lookup, ["k"], how)
-    shuffled = lookup_join(facts, lookup, ["k"], how, max_rows=1)
-    columns = sorted(wide.columns)
-    assert sorted(shuffled.columns) == columns
-    assert sorted(map(str, shuffled.select(columns).collect())) == sorted(
-        map(str, wide.select(columns).collect()))
+    assert spark.read.parquet(f"{out}/quarantine").count() == 5
+
+
+def test_bad_generated_documents_are_not_lost(spark):
+    docs = D.envelope(docs_of(spark, ["{}", "[1]"]))
+    root = scratch_path(spark, "t")
+    with pytest.raises(ValueError, match="bad_source"):
+        sinks.load_collection(docs, [], root, "A")
+    path, rejected = sinks.load_collection(docs, [docs], root, "B", on_bad="reject")
+    assert rejected.count() == 2 and spark.read.parquet(path).count() == 2
+
+
+def test_partials_count_once_and_whole(spark, monkeypatch):
+    monkeypatch.setattr(J, "COMPACT", 3)
+    folder, out = scratch_path(spark, "t"), scratch_path(spark, "t")
+    for batch in range(8):
+        write(spark, folder, [LINES[0].replace('"type": "a"', f'"type": "a", "n{batch}": 1')])
+        J.stream_profile(spark, folder, out).awaitTermination()
+        J.stream_kind_counts(spark, folder, f"{out}-kinds", "type").awaitTermination()
+        # A partial that no line names does not count.
+        J.committed(spark, out).write.parquet(f"{out}/parts/batch={batch}-torn")
+        found = {r["key"]: (r["cnt"], r["probability"]) for r in J.current_profile(spark, out).collect()}
+        assert found["type"] == (batch + 1, 100) and found[f"n{batch}"][0] == 1
+        counts = J.current_counts(spark, f"{out}-kinds").collect()
+        assert [(r["kind"], r["documents"]) for r in counts] == [("a", batch + 1)]
+    assert len(J.committed(spark, out).inputFiles()) < 8 * 8
+
+
+def test_kind_field_with_a_dot_names_one_key(spark):
+    folder, out = scratch_path(spark, "t"), scratch_path(spark, "t")
+    write(spark, folder, ['{"_index": "c", "seq": 1, "_source": {"a.b": "x", "a": {"b": "y"}}}'])
+    J.stream_kind_counts(spark, folder, out, "a.b").awaitTermination()
+    assert J.current_counts(spark, out).first()["kind"] == "x"

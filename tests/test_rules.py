@@ -47,16 +47,64 @@ def test_geo_shape_subtype(spark):
 
 
 def test_label_text(spark):
-    values = ["1", "1.50", "true", "null", '"x"', '{"a": 1}', '[1, [2, null], "x"]', "1e2"]
+    values = ["1", "1.50", "true", "null", '"x"', '{"a": 1}', '[1, [2, null], "x"]', "1e2", "[[[[[1]]]]]",
+              '[[], [[{"a": [1]}], [[2, "[3"]]], null]', "[]"]
     assert per_value(spark, values, V.label_text) == [
-        "1", "1.5", "true", "null", "x", "[object Object]", "1,2,,x", "100"]
+        "1", "1.5", "true", "null", "x", "[object Object]", "1,2,,x", "100", "1",
+        ",[object Object],2,[3,", ""]
+
+
+def test_one_number_has_one_text(spark):
+    values = ["1e20", "100000000000000000000", "9007199254740993", "-0.0", "1e21", "1000000000000000000000",
+              "1.5e25", "123456789012345680000"]
+    assert per_value(spark, values, V.number_text) == [
+        "100000000000000000000", "100000000000000000000", "9007199254740992", "0", "1e+21", "1e+21",
+        "1.5e+25", "123456789012345680000"]
 
 
 def test_parse_document_rejects_what_is_left_over(spark):
-    texts = ['{"a": 1}', '{"a": 1} x', '{"a": 1}, {"b": 2}', '{"a": 1, "a": 2}', "", "{"]
+    texts = ['{"a": 1}', '{"a": 1} x', '{"a": 1}, {"b": 2}', '{"a": 1, "a": 2}', "", "{", '{"a": 1}] junk',
+             "1], [2", " ", "[1, 2]"]
     df = spark.createDataFrame(list(enumerate(texts)), "i long, raw string")
     rows = df.select("i", V.parse_document(F.col("raw")).isNotNull().alias("ok")).orderBy("i")
-    assert [r["ok"] for r in rows.collect()] == [True, False, False, False, False, False]
+    assert [r["ok"] for r in rows.collect()] == [True] + [False] * 8 + [True]
+
+
+def test_rejected_documents_are_in_no_total(spark):
+    docs = docs_of(spark, ['{"a": 1}', '{"a": 1, "a": 2}', '{"a": 1} x', "{broken", "[1]", '{"b": 1, "a": 2}'])
+    found = {r["key"]: (r["cnt"], r["probability"]) for r in P.field_probability(docs).collect()}
+    assert found == {"a": (2, 100), "b": (1, 50)}
+
+
+def test_any_seq_will_do(spark):
+    rows = [("c", str(i), s, '{"k": "x", "n": %d}' % i) for i, s in enumerate([2**63 - 1, 2**44, -(2**63), 0])]
+    docs = spark.createDataFrame(rows, "_index string, _id string, seq long, raw string")
+    assert {r["name"] for r in P.collection_profile(docs).collect()} == {"k", "n", "x"}
+    firsts = {r["seq"] for r in D.scan_limit(docs, "c", 2).collect()}
+    assert firsts == {-(2**63), 0}
+
+
+def test_repeated_seq_and_one_outlier(spark, monkeypatch):
+    monkeypatch.setattr(D, "RANKED_ROWS", 2)
+    monkeypatch.setattr(D, "HISTOGRAM_BUCKETS", 8)
+    seqs = [1, 2, 2, 2, 2, 3, 2**62]
+    rows = [("c", str(i), s, "{}") for i, s in enumerate(seqs)] + [("c", "4", 2, "{}")]
+    docs = spark.createDataFrame(rows, "_index string, _id string, seq long, raw string")
+    want = sorted(((s, i) for _, i, s, _ in rows))
+    for size in range(len(rows) + 2):
+        got = sorted((r["seq"], r["_id"]) for r in D.scan_limit(docs, "c", size).collect())
+        assert got == want[:size]
+
+
+def test_malformed_ends_make_a_range_malformed(spark):
+    docs = docs_of(spark, ['{"r": {"gte": "bad", "lte": "bad"}}', '{"r": {"gte": 1}}', '{"r": {"gte": 1, "lte": null}}',
+                           '{"r": {"gte": 1.5, "lte": "9"}}', '{"r": 5}', "{}"])
+    rows = M.apply_mapping(docs, [M.Field("r", "$.r", "long_range")], "seq").orderBy("seq").collect()
+    assert [r["_malformed"] for r in rows] == [["r"], [], [], [], ["r"], []]
+    strict = M.apply_mapping(docs, [M.Field("r", "$.r", "long_range", coerce=False)], "seq").orderBy("seq").collect()
+    assert [bool(r["_malformed"]) for r in strict] == [True, False, False, True, True, False]
+    with pytest.raises(ValueError, match="unknown type"):
+        M.apply_mapping(docs, [M.Field("r", "$.r", "no_such_type")])
 
 
 def test_presence_counts_null_but_not_missing(spark):
@@ -119,6 +167,7 @@ def test_sample_size(spark):
 @pytest.mark.parametrize("buckets", [4, 65_536])
 def test_first_documents_for_any_size(spark, monkeypatch, buckets):
     monkeypatch.setattr(D, "HISTOGRAM_BUCKETS", buckets)
+    monkeypatch.setattr(D, "RANKED_ROWS", 5)
     places = {"a": [i * i * 1000 for i in range(300)], "b": list(range(50)), "d": [7]}
     rows = [(k, str(s), s, "{}") for k, seqs in places.items() for s in seqs]
     docs = spark.createDataFrame(rows, "_index string, _id string, seq long, raw string")

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.rows import explode_rows
+from docloom.functions.analysis import standard_lower
+from docloom.functions.rows import explode_rows, let
 from docloom.functions.values import (
     field_path, geo_point_subtype, nodes, number_mode, parse_document, steps, value_type,
 )
@@ -45,6 +46,17 @@ COLUMN_TYPES = {
     "sparse_vector": "map<string,float>",
     "rank_features": "map<string,float>",
     "rank_feature": "float",
+    "null": "bigint",
+    "object": "variant",
+    "nested": "array<variant>",
+    "flattened": "map<string,string>",
+    "geo_point": "struct<lat:double,lon:double>",
+    "geo_shape": "variant",
+    "completion": "array<struct<input:string,weight:bigint>>",
+    "token_count": "int",
+    "join": "struct<name:string,parent:string>",
+    "alias": "variant",
+    "murmur3": "bigint",
 }
 # Ranges but for dates, and the type of their ends.
 RANGE_ENDS = {
@@ -58,7 +70,10 @@ TEXT_TYPES = ("keyword", "text", "ip")
 
 @dataclass(frozen=True)
 class Field:
-    """One mapped field. ``path`` starts at the body, such as ``$.info.seg``."""
+    """One mapped field. ``path`` starts at the body, such as ``$.info.seg``.
+
+    ``many`` makes the column an array: any field may hold one value or several.
+    """
 
     name: str
     path: str
@@ -69,6 +84,13 @@ class Field:
     ignore_above: int | None = None
     scaling_factor: float | None = None
     format: str = "yyyy/MM/dd"
+    many: bool = False
+
+    @property
+    def column_type(self) -> str:
+        if self.type not in COLUMN_TYPES:
+            raise ValueError(f"field {self.name}: unknown type {self.type}")
+        return f"array<{COLUMN_TYPES[self.type]}>" if self.many else COLUMN_TYPES[self.type]
 
 
 def to_whole(v: Column, spark_type: str, coerce: bool = True) -> Column:
@@ -114,10 +136,46 @@ def to_boolean(v: Column) -> Column:
 
 
 def typed(v: Column, field: Field) -> Column:
-    """The value in its declared type; NULL when missing, null, or malformed."""
-    if field.type not in COLUMN_TYPES:
-        raise ValueError(f"field {field.name}: unknown type {field.type}")
-    target = COLUMN_TYPES[field.type]
+    """The value in its declared type; NULL when missing, null, or malformed.
+
+    A field of many values is malformed if one of them is; nulls among them are left out.
+    """
+    target = field.column_type
+    if field.many:
+        one = replace(field, many=False)
+        given = F.filter(
+            F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)),
+            lambda e: value_type(e) != "null",
+        )
+        read = F.transform(given, lambda e: typed(e, one))
+        good = F.forall(read, lambda x: x.isNotNull())
+        return F.when(v.isNotNull() & (value_type(v) != "null") & good, read)
+    if field.type == "null":
+        return to_whole(v, target, field.coerce)
+    if field.type == "object":
+        return F.when(value_type(v) == "object", v)
+    if field.type in ("geo_shape", "alias"):
+        return F.when(value_type(v) != "null", v)
+    if field.type == "nested":
+        items = F.coalesce(F.try_variant_get(v, "$", target), F.array(v))
+        return F.when(F.forall(items, lambda e: value_type(e) == "object"), items)
+    if field.type == "flattened":
+        return F.when(value_type(v) == "object", _flat(v))
+    if field.type == "geo_point":
+        return geo_point(v, geo_point_subtype(v))
+    if field.type == "completion":
+        return _completion(v, target)
+    if field.type == "token_count":
+        return F.size(standard_lower(to_text(v)))
+    if field.type == "join":
+        named = F.struct(
+            F.try_variant_get(v, "$.name", "string").alias("name"),
+            F.try_variant_get(v, "$.parent", "string").alias("parent"),
+        )
+        plain = F.struct(to_text(v).alias("name"), F.lit(None).cast("string").alias("parent"))
+        return F.when(value_type(v) == "string", plain).when(named["name"].isNotNull(), named)
+    if field.type == "murmur3":
+        return F.hash(to_text(v)).cast(target)
     if field.type in WHOLE_TYPES:
         return to_whole(v, target, field.coerce)
     if field.type in FRACTION_TYPES:
@@ -144,15 +202,52 @@ def typed(v: Column, field: Field) -> Column:
     return F.try_variant_get(v, "$", target)
 
 
+def _flat(v: Column) -> Column:
+    """Path to text of every leaf of an object; nulls are left out."""
+    leaves = F.transform(
+        F.filter(nodes(v, F.lit("")), lambda n: ~value_type(n["value"]).isin("object", "array", "null")),
+        lambda n: F.struct(
+            F.regexp_replace(n["path"], r"^\.", ""), F.try_variant_get(n["value"], "$", "string")
+        ),
+    )
+    return F.map_from_entries(leaves)
+
+
+def _completion(v: Column, target: str) -> Column:
+    """Inputs with their weight: text, an object whose input is one text or several, or an array."""
+    whole = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+
+    def entries(e: Column) -> Column:
+        given = F.try_variant_get(e, "$.input", "variant")
+        inputs = F.coalesce(F.try_variant_get(given, "$", "array<variant>"), F.array(given))
+        weight = F.try_variant_get(e, "$.weight", "bigint")
+        several = F.transform(inputs, lambda i: F.struct(to_text(i).alias("input"), weight.alias("weight")))
+        single = F.array(F.struct(to_text(e).alias("input"), F.lit(None).cast("bigint").alias("weight")))
+        return F.when(value_type(e) == "object", several).otherwise(single)
+
+    found = F.flatten(F.transform(whole, entries))
+    good = F.forall(found, lambda e: e["input"].isNotNull())
+    return F.when((value_type(v) != "null") & good, found.cast(target))
+
+
 def range_of(v: Column, read: Callable[[Column], Column]) -> Column:
     """Range from an object with ``gte`` and ``lte``. An end that is missing or null is open; one
     that is there and cannot be read makes the range malformed, so NULL."""
-    ends = {end: F.try_variant_get(v, f"$.{end}", "variant") for end in ("gte", "lte")}
-    good = value_type(v) == "object"
-    for value in ends.values():
-        there = value.isNotNull() & (value_type(value) != "null")
-        good = good & (~there | read(value).isNotNull())
-    return F.when(good, F.struct(*[read(value).alias(end) for end, value in ends.items()]))
+    def end(name: str) -> Column:
+        there = lambda x: x.isNotNull() & (value_type(x) != "null")
+        return let(
+            F.try_variant_get(v, f"$.{name}", "variant"),
+            lambda x: F.struct(F.when(there(x), read(x)).alias("value"), there(x).alias("there")),
+        )
+
+    def good(e: Column) -> Column:
+        return ~e["there"] | e["value"].isNotNull()
+
+    ends = F.struct(end("gte").alias("gte"), end("lte").alias("lte"), value_type(v).alias("kind"))
+    return let(ends, lambda r: F.when(
+        (r["kind"] == "object") & good(r["gte"]) & good(r["lte"]),
+        F.struct(r["gte"]["value"].alias("gte"), r["lte"]["value"].alias("lte")),
+    ))
 
 
 def apply_mapping(docs: DataFrame, mapping: list[Field], *keep: str) -> DataFrame:
@@ -168,13 +263,18 @@ def apply_mapping(docs: DataFrame, mapping: list[Field], *keep: str) -> DataFram
         "*", *[typed(F.col(f"_v_{f.name}"), f).alias(f"_t_{f.name}") for f in mapping]
     )
 
+    def _constant(f: Field) -> Column:
+        one = F.lit(f.null_value).cast(COLUMN_TYPES[f.type])
+        return F.array(one) if f.many else one
+
     def column(f: Field) -> Column:
         value = F.col(f"_t_{f.name}")
         if f.null_value is not None:
             is_null = value_type(F.col(f"_v_{f.name}")) == "null"
-            value = F.when(is_null, F.lit(f.null_value).cast(COLUMN_TYPES[f.type])).otherwise(value)
+            value = F.when(is_null, _constant(f)).otherwise(value)
         if f.ignore_above is not None:
-            value = F.when(F.length(value) <= f.ignore_above, value)
+            short = lambda x: F.length(x) <= f.ignore_above
+            value = F.filter(value, short) if f.many else F.when(short(value), value)
         return value.alias(f.name)
 
     def bad(ignored: bool) -> Column:
@@ -316,7 +416,12 @@ def geo_normalize(rows: DataFrame, value: str, name: str) -> DataFrame:
 
     The encoding is found once per row, as a column of its own.
     """
-    v, subtype = F.col(value), F.col("_subtype")
+    found = rows.withColumn("_subtype", geo_point_subtype(F.col(value)))
+    return found.withColumn(name, geo_point(F.col(value), F.col("_subtype"))).drop("_subtype")
+
+
+def geo_point(v: Column, subtype: Column) -> Column:
+    """``struct<lat, lon>`` of a point given by text, array or object; NULL for other encodings."""
     pair = F.split(F.try_variant_get(v, "$", "string"), ",")
 
     def coordinate(place: int, item: str, member: str) -> Column:
@@ -329,9 +434,8 @@ def geo_normalize(rows: DataFrame, value: str, name: str) -> DataFrame:
     point = F.struct(
         coordinate(0, "$[1]", "$.lat").alias("lat"), coordinate(1, "$[0]", "$.lon").alias("lon")
     )
-    found = rows.withColumn("_subtype", geo_point_subtype(v))
     known = subtype.isin("string", "geoJSON", "object")
-    return found.withColumn(name, F.when(known, point)).drop("_subtype")
+    return F.when(known & point["lat"].isNotNull() & point["lon"].isNotNull(), point)
 
 
 def keyword_normalizer(x: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.values import (
-    ancestors, document_nodes, field_path, is_member, leads_arrays, parse_document,
+    ancestors, document_nodes, field_path, is_member, leads_arrays, parse_document, value_type,
 )
 from docloom.session import materialize
 
@@ -223,19 +225,50 @@ def new_fields(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def project_kind(docs: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
-    """Typed columns ``name -> (path, type)`` of one kind's documents, beside ``seq``."""
-    parsed = docs.withColumn("_body", parse_document(F.col("raw")))
+def table_columns(merged: DataFrame) -> list[tuple[str, str, str]]:
+    """(column, path, type) of a merged schema, by path.
+
+    The schema reaches the driver, as that of any table does. Members are joined by underscores;
+    of two paths that give one name the second gets a number.
+    """
+    columns, taken = [], set()
+    for row in merged.select("path", "type").orderBy("path").collect():
+        name = base = re.sub(r"[^\w]+", "_", row["path"].removeprefix(ROOT)).strip("_") or "value"
+        number = 1
+        while name.lower() in taken:
+            number += 1
+            name = f"{base}_{number}"
+        taken.add(name.lower())
+        columns.append((name, "$" + row["path"].removeprefix(ROOT), row["type"]))
+    return columns
+
+
+def kind_union(kinded: DataFrame, merged: DataFrame) -> DataFrame:
+    """All kinds of a collection as one table, in one scan: ``_index``, ``seq``, ``_kind``, and one
+    column per path of the merged schema.
+
+    Scalars and arrays come as text, arrays as JSON. Where the schema has an object, the column
+    holds the value of documents that have something else there. A member that a document lacks is
+    NULL; no document is left out.
+    """
+    parsed = kinded.withColumn("_body", parse_document(F.col("raw")))
+
+    def column(path: str, type_: str) -> Column:
+        value = F.try_variant_get("_body", path, "variant")
+        kind = value_type(value)
+        text = F.when(kind == "array", F.to_json(value)).when(
+            kind != "object", F.try_variant_get("_body", path, "string")
+        )
+        return text if type_ == "object" else text.when(kind == "object", F.to_json(value))
+
     return parsed.select(
-        "seq",
-        *[F.try_variant_get("_body", path, type_).alias(name)
-          for name, (path, type_) in columns.items()],
+        "_index", "seq", F.col("kind").alias("_kind"),
+        *[column(path, type_).alias(name) for name, path, type_ in table_columns(merged)],
     )
 
 
-def kind_union(parts: list[DataFrame]) -> DataFrame:
-    """Several kinds as one collection; a column a kind lacks is NULL there."""
-    head, *rest = parts
-    for part in rest:
-        head = head.unionByName(part, allowMissingColumns=True)
-    return head
+def write_by_kind(kinded: DataFrame, path: str) -> None:
+    """Documents as Parquet folders, one partition per collection and kind."""
+    kinded.select("_index", "kind", "_id", "seq", "raw").write.mode("errorifexists").partitionBy(
+        "_index", "kind"
+    ).parquet(path)

@@ -213,3 +213,36 @@ def field_order(spark, sf):
 )
 def collection_profile(spark, sf):
     return P.collection_profile(X.collections(spark, sf))
+
+
+# Fields and kinds of the documents that the sample takes.
+_SAMPLED = X.FIELDS_SQL.replace(
+    "fields AS (SELECT * FROM event_fields UNION ALL SELECT * FROM mixed_fields)",
+    """every_field AS (SELECT * FROM event_fields UNION ALL SELECT * FROM mixed_fields),
+  places AS (
+    SELECT _index, seq, row_number() OVER (PARTITION BY _index ORDER BY seq) AS rn,
+           count(*) OVER (PARTITION BY _index) AS n
+    FROM (SELECT DISTINCT _index, seq FROM every_field)),
+  taken AS (SELECT _index, seq FROM places WHERE rn <= least(ceil(n * 12.5 / 100), 1200)),
+  fields AS (SELECT * FROM every_field JOIN taken USING (_index, seq))""",
+)
+_SAMPLED_PROFILE = _PROFILE.replace(X.FIELDS_SQL, _SAMPLED)
+
+
+@query(
+    "sampled_profile",
+    _SAMPLED_PROFILE + """,
+    chosen AS (
+      SELECT _index, arg_max(key, probability * 1000 + CAST(key = 'type' AS INT) * 500 + place) AS kind_field
+      FROM marked WHERE suggested AND key <> 'id' GROUP BY 1),
+    kinds AS (
+      SELECT 'mixed' AS _index, kind, seq FROM mixed_rows WHERE kind <> ''
+      UNION ALL SELECT 'events', event_type, seq FROM event_rows)
+    SELECT _index, 'kind_field' AS role, kind_field AS name, CAST(0 AS BIGINT) AS first_seq,
+      CAST(0 AS INT) AS first_pos FROM chosen
+    UNION ALL SELECT _index, CASE WHEN suggested THEN 'suggested' ELSE 'other' END, key,
+      first // 100, CAST(first % 100 AS INT) FROM marked
+    UNION ALL SELECT _index, 'kind', kind, min(seq), 0 FROM kinds JOIN taken USING (_index, seq) GROUP BY 1, 3""",
+)
+def sampled_profile(spark, sf):
+    return P.collection_profile(D.sampled_read(X.collections(spark, sf), **SAMPLE))

@@ -303,3 +303,77 @@ def sample_generate(spark, sf):
         "id": "long", "size": "byte", "price": "double", "active": "boolean", "name": "keyword",
     }
     return M.sample_generate(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", schema)
+
+
+# Documents that hold every further type, one value or several, and range ends that cannot be read.
+_KINDS_RAW = """concat('{"none": ', case when event_id % 2 = 0 then 'null' else cast(user_id as string) end,
+    ', "obj": ', case event_id % 3 when 0 then '[1]' else concat('{"a": {"b": ', user_id, '}}') end,
+    ', "items": ', case event_id % 3 when 0 then '[{"q": 1}, {"q": 2}]' when 1 then '{"q": 3}' else '[1]' end,
+    ', "point": ', case event_id % 3 when 0 then concat('"', event_id % 90, '.5,7.25"')
+        when 1 then concat('[7.25, ', event_id % 90, '.5]') else '"u4pru"' end,
+    ', "shape": "POINT (1 2)", "suggest": ',
+    case event_id % 3 when 0 then '"x"' when 1 then '{"input": ["x", "y"], "weight": 2}'
+        else '[{"input": "z", "weight": 5}]' end,
+    ', "words": "', event_type, ' two  three", "rel": ',
+    case event_id % 2 when 0 then '"q"' else concat('{"name": "a", "parent": "', user_id, '"}') end,
+    ', "tags": ', case event_id % 4 when 0 then concat('["', event_type, '", "b"]') when 1 then '"one"'
+        when 2 then '["a", {"c": 1}]' else 'null' end,
+    ', "nums": [1, "', user_id, '", null], "span": ',
+    case event_id % 3 when 0 then '{"gte": "bad", "lte": 9}' when 1 then '{"gte": 2.5}'
+        else concat('{"gte": 1, "lte": "', user_id, '"}') end, '}')"""
+
+
+@query(
+    "typed_kinds",
+    """SELECT event_id AS seq, CASE WHEN event_id % 2 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END AS none,
+      CASE WHEN event_id % 3 = 0 THEN '' ELSE '{"a":{"b":' || user_id || '}}' END AS obj,
+      CASE WHEN event_id % 3 = 0 THEN '' ELSE 'a.b=' || user_id END AS flat,
+      CASE event_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE -1 END AS items,
+      CASE WHEN event_id % 3 = 2 THEN '' ELSE (event_id % 90) || '.5/7.25' END AS point,
+      '"POINT (1 2)"' AS shape,
+      CASE event_id % 3 WHEN 0 THEN 'x:' WHEN 1 THEN 'x:2,y:2' ELSE 'z:5' END AS suggest,
+      len(list_filter(regexp_split_to_array(lower(event_type || ' two  three'), '[^\\p{L}\\p{N}]+'), lambda t: t <> ''))
+        AS words,
+      CASE event_id % 2 WHEN 0 THEN 'q/' ELSE 'a/' || user_id END AS rel,
+      CASE event_id % 4 WHEN 0 THEN event_type || ',b' WHEN 1 THEN 'one' ELSE '' END AS tags,
+      '1,' || user_id AS nums,
+      CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN '2-' ELSE '1-' || user_id END AS span,
+      array_to_string(list_filter([
+        CASE WHEN event_id % 3 = 0 THEN 'obj' END, CASE WHEN event_id % 3 = 0 THEN 'flat' END,
+        CASE WHEN event_id % 3 = 2 THEN 'items' END, CASE WHEN event_id % 3 = 2 THEN 'point' END,
+        CASE WHEN event_id % 4 = 2 THEN 'tags' END, CASE WHEN event_id % 3 = 0 THEN 'span' END],
+        lambda t: t IS NOT NULL), ',') AS malformed
+    FROM events""",
+)
+def typed_kinds(spark, sf):
+    docs = table(spark, sf, "events").select(
+        F.col("event_id").cast("bigint").alias("seq"), F.expr(_KINDS_RAW).alias("raw")
+    )
+    mapped = M.apply_mapping(docs, [
+        M.Field("none", "$.none", "null"), M.Field("obj", "$.obj", "object"),
+        M.Field("flat", "$.obj", "flattened"), M.Field("items", "$.items", "nested"),
+        M.Field("point", "$.point", "geo_point"), M.Field("shape", "$.shape", "geo_shape"),
+        M.Field("suggest", "$.suggest", "completion"), M.Field("words", "$.words", "token_count"),
+        M.Field("rel", "$.rel", "join"), M.Field("tags", "$.tags", "keyword", many=True),
+        M.Field("nums", "$.nums", "long", many=True), M.Field("span", "$.span", "long_range"),
+    ], "seq")
+
+    def text(value):
+        return F.coalesce(value.cast("string"), F.lit(""))
+
+    def pair(column, one, two, sign):
+        shown = F.concat(text(F.col(column)[one]), F.lit(sign), text(F.col(column)[two]))
+        return F.when(F.col(column).isNull(), "").otherwise(shown).alias(column)
+
+    flat = F.transform(F.map_entries("flat"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    inputs = F.transform("suggest", lambda e: F.concat(e["input"], F.lit(":"), text(e["weight"])))
+    return mapped.select(
+        "seq", text(F.col("none")).alias("none"), text(F.to_json("obj")).alias("obj"),
+        text(F.array_join(flat, ",")).alias("flat"),
+        F.coalesce(F.size("items"), F.lit(-1)).cast("bigint").alias("items"),
+        pair("point", "lat", "lon", "/"), F.to_json("shape").alias("shape"),
+        F.array_join(inputs, ",").alias("suggest"), F.col("words").cast("bigint").alias("words"),
+        pair("rel", "name", "parent", "/"), text(F.array_join("tags", ",")).alias("tags"),
+        F.array_join(F.col("nums").cast("array<string>"), ",").alias("nums"),
+        pair("span", "gte", "lte", "-"), F.array_join("_malformed", ",").alias("malformed"),
+    )

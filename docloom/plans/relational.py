@@ -137,12 +137,11 @@ def has_child(spark, sf):
 
 @query(
     "childless",
-    """SELECT c_custkey FROM customer WHERE c_custkey NOT IN (
-         SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')""",
+    "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
 )
 def childless(spark, sf):
-    urgent = _orders(spark, sf).where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'")
-    return R.childless(_customers(spark, sf), urgent, "c_custkey", "o_custkey").select("c_custkey")
+    orders = _orders(spark, sf).select("o_orderkey")
+    return R.childless(orders, table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
 
 
 @query(
@@ -160,16 +159,15 @@ def has_parent(spark, sf):
 
 @query(
     "children_rollup",
-    """SELECT c_custkey, count(o_orderkey) AS children,
-         CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18, 2))), 0) AS DOUBLE) AS total
-       FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') o
-         ON c_custkey = o_custkey GROUP BY 1""",
+    """SELECT o_orderkey, count(l_orderkey) AS children,
+         CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(18, 2))), 0) AS DOUBLE) AS total
+       FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""",
 )
 def children_rollup(spark, sf):
-    pending = _orders(spark, sf).where("o_orderstatus = 'P'")
-    total = {"total": F.col("o_totalprice").cast("decimal(18,2)")}
+    total = {"total": F.col("l_extendedprice").cast("decimal(18,2)")}
     rolled = R.children_rollup(
-        _customers(spark, sf).select("c_custkey"), pending, "c_custkey", "o_custkey", total
+        _orders(spark, sf).select("o_orderkey"), table(spark, sf, "lineitem"), "o_orderkey",
+        "l_orderkey", total,
     )
     return rolled.withColumn("total", F.col("total").cast("double"))
 
@@ -177,13 +175,12 @@ def children_rollup(spark, sf):
 @query(
     "multi_level",
     """SELECT c_custkey, o_orderkey, l_linenumber, l_quantity FROM customer
-       JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey
-       WHERE c_mktsegment = 'BUILDING'""",
+       JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey""",
 )
 def multi_level(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     joined = R.multi_level([
-        (_customers(spark, sf).where("c_mktsegment = 'BUILDING'"), None, None),
+        (_customers(spark, sf), None, None),
         (_orders(spark, sf).select("o_orderkey", "o_custkey"), "c_custkey", "o_custkey"),
         (lines, "o_orderkey", "l_orderkey"),
     ])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docloom.operators import profile as P
 from docloom.operators import schema as S
 from docloom.plans.registry import query
+from docloom.session import scratch_path
 from docloom.sources import fixtures as X
 
 # Every node of the mixed collection below the root, with what it was set to and when.
@@ -160,19 +161,33 @@ def new_fields(spark, sf):
 @query(
     "kind_union",
     "WITH " + X.MIXED_ROWS_SQL + """
-    SELECT seq, kind, CAST(id AS BIGINT) AS id, name, CAST(nation AS VARCHAR) AS nation, seg,
-           CAST(cust AS VARCHAR) AS cust, status
-    FROM mixed_rows WHERE kind IN ('customer', 'order', 'supplier')""",
+    SELECT 'mixed' AS _index, seq, kind AS _kind,
+      CASE seq % 50 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN NULL ELSE origin END AS kind,
+      CAST(id AS VARCHAR) AS id, name, CAST(cust AS VARCHAR) AS cust, status,
+      CAST(NULL AS VARCHAR) AS info, priority AS info_ref, CAST(nation AS VARCHAR) AS info_ref_nation,
+      CAST(NULL AS VARCHAR) AS info_ref_acct, seg AS info_seg,
+      CASE WHEN origin = 'customer'
+           THEN '["n' || nation || '"' || CASE WHEN id % 2 = 0 THEN ',"even"' ELSE '' END || ']'
+           WHEN origin = 'supplier' AND id % 2 = 0 THEN '["s"]' WHEN origin = 'supplier' THEN '[]' END AS tags
+    FROM mixed_rows""",
 )
 def kind_union(spark, sf):
-    docs = X.mixed_docs(spark, sf).withColumn("kind", F.get_json_object("raw", "$.kind"))
-    common = {"kind": ("$.kind", "string"), "id": ("$.id", "bigint")}
-    named = {"name": ("$.name", "string"), "nation": ("$.info.ref.nation", "string")}
-    columns = {
-        "customer": {**common, **named, "seg": ("$.info.seg", "string")},
-        "order": {**common, "cust": ("$.cust", "string"), "status": ("$.status", "string")},
-        "supplier": {**common, **named},
-    }
-    return S.kind_union(
-        [S.project_kind(docs.where(F.col("kind") == k), c) for k, c in columns.items()]
+    kinded = _mixed(spark, sf)
+    return S.kind_union(kinded, S.schema_merge(S.observed_schema(kinded)))
+
+
+@query(
+    "write_by_kind",
+    "WITH " + X.MIXED_ROWS_SQL + """
+    SELECT 'mixed' AS _index, kind, count(*) AS documents, CAST(sum(seq) AS BIGINT) AS seq_sum
+    FROM mixed_rows GROUP BY 2""",
+)
+def write_by_kind(spark, sf):
+    path = scratch_path(spark, "by-kind")
+    S.write_by_kind(_mixed(spark, sf), path)
+    # A partition without a name reads as null.
+    kind = F.coalesce("kind", F.lit(""))
+    stored = spark.read.schema("_id string, seq long, raw string, _index string, kind string").parquet(path)
+    return stored.groupBy("_index", kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("seq").alias("seq_sum")
     )

@@ -35,13 +35,9 @@ def _register_corpus(name, source, key, text, analyzer, tokens_sql):
         return T.corpus_terms(docs, key, text, analyzer)
 
 
-# Our own short stop word lists, one per language of the corpus.
-STOP = {
-    "en": ["a", "and", "by", "for", "in", "is", "of", "on", "that", "the", "to", "was", "with"],
-    "fr": ["de", "des", "du", "en", "et", "la", "le", "les", "pas", "que", "qui", "un", "une"],
-    "de": ["das", "der", "die", "ein", "ist", "mit", "nicht", "und", "von", "zu"],
-    "es": ["con", "de", "del", "el", "en", "es", "la", "los", "no", "para", "por", "que", "y"],
-}
+# The languages of the corpus and the names of their stop word lists.
+NAMES = {"en": "english", "fr": "french", "de": "german", "es": "spanish"}
+STOP = {lang: A.NAMED_STOP_WORDS[name] for lang, name in NAMES.items()}
 
 
 def _sql_list(words) -> str:
@@ -219,12 +215,24 @@ def an_language(spark, sf):
     return terms.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("an_language_named")
+@query(
+    "an_language_named",
+    f"""WITH found AS (SELECT doc_id, lang, unnest({_WORDS_SQL}) AS term FROM documents)
+    SELECT doc_id, count(*) AS terms, count(DISTINCT term) AS words FROM found
+    WHERE term <> '' AND NOT CASE lang {_LANGUAGE_CASE} ELSE false END GROUP BY 1""",
+)
 def an_language_named(spark, sf):
-    """English texts without the session's own English stop word list."""
-    docs = table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "text")
-    words = A.stop_words(named="english")
-    return T.corpus_terms(docs, "doc_id", "text", lambda x: A.language(x, words))
+    """Words of every document without the list named after its language."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    found = A.standard_lower(F.col("text"))
+    for lang, name in NAMES.items():
+        words = A.stop_words(named=name)
+        found = F.when(F.col("lang") == lang, A.language(F.col("text"), words)).otherwise(found)
+    counted = docs.select("doc_id", found.alias("found")).select(
+        "doc_id", F.size("found").cast("bigint").alias("terms"),
+        F.size(F.array_distinct("found")).cast("bigint").alias("words"),
+    )
+    return counted.where("terms > 0")
 
 
 _FOUND = f"""WITH found AS (
@@ -258,6 +266,16 @@ def postings(spark, sf):
     return rows.withColumn("positions", positions)
 
 
+@query("postings_docs", _FOUND + " SELECT DISTINCT term, doc_id FROM found")
+def postings_docs(spark, sf):
+    return T.postings(_documents(spark, sf), "doc_id", "text", A.standard_lower, "docs")
+
+
+@query("postings_freqs", _FOUND + " SELECT term, doc_id, CAST(freq AS INT) AS freq FROM freqs")
+def postings_freqs(spark, sf):
+    return T.postings(_documents(spark, sf), "doc_id", "text", A.standard_lower, "freqs")
+
+
 @query(
     "term_vector",
     _FOUND + """ SELECT doc_id, string_agg(term || '=' || freq, ' ' ORDER BY term) AS vector

@@ -8,9 +8,11 @@ the first n - c + k tokens of each, where c is the overlap that a set of n needs
   light pairs meet in equal subsets.
 * Pairs with a heavy set meet in the inverted lists of single prefix tokens.
 
-The boundary is the one of least estimated cost. Sets that share one of their lowest hashes with a
-center are linked first, so that the lists only bring together sets that are not yet connected:
-large groups of near copies are not expanded into pairs. An upper bound of the overlap from counts
+The boundary is the one of least estimated cost. A pair needs its token inside the prefix that its
+two sizes allow, which the token's rank in each set tells. Sets that have the token of a list
+early, thus few rare tokens, are its centers; sets are compared with some centers first, so that
+the lists then only bring together sets that are not yet connected: large groups of near copies are
+not expanded into pairs. An upper bound of the overlap from counts
 per hash range drops most candidates, and the sets of the others are compared exactly.
 """
 
@@ -32,8 +34,10 @@ from docloom.llm.words import Words, encode, mix, pieces, shingle_sets
 SHINGLE = 5
 # Similarity as a fraction of whole numbers, so that comparisons are exact.
 UPPER, LOWER = 4, 5
-# Lowest hashes of a set that look for a center.
+# Lowest hashes of a set that estimate the length of lists.
 MINIMA = 4
+# Lists in which a set is compared with centers first, and centers of a long list.
+CENTERS, CLASSES = 3, 8
 # Frequent tokens that go last: at most so many, each counted so often or more in some batches.
 FREQUENT, OFTEN, PER_BATCH = 100_000, 16, 32_768
 # Parts that the list of a frequent token is dealt to.
@@ -43,7 +47,9 @@ LIGHT, CANDIDATE = 30, 5.0
 # Bits of the filter that tells which texts to read again; its size is fixed.
 FILTER_BITS = 1 << 23
 BATCH = 8 << 20
-_TWO = np.int64(1 << 40)
+# An entry packs the size of its set, the rank of its token, and whether it is a subset of two.
+_RANK, _TWO = 31, 62
+_LOW = (1 << 31) - 1
 
 
 def least_overlap(n):
@@ -124,11 +130,7 @@ def _summaries(rows: DataFrame) -> DataFrame:
                 pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), pa.array(minima, pa.list_(pa.int64())),
                 pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64()),
             ], [c.split()[0] for c in _SUMMARY.split(", ")])
-            # Only low hashes can come into a prefix.
-            owner = np.repeat(np.arange(count), sizes)
-            rank = np.arange(len(tokens)) - np.repeat(edges[:-1], sizes)
-            low = tokens[(rank <= 2 * (sizes - least_overlap(sizes) + 1)[owner]) & ~repeated[owner]]
-            every, counts = np.unique(low, return_counts=True)
+            every, counts = np.unique(tokens[np.repeat(~repeated, sizes)], return_counts=True)
             every, counts = every[counts > 1], counts[counts > 1]
             top = np.lexsort((every, -counts))[:PER_BATCH]
             if len(top):
@@ -163,7 +165,10 @@ def choose_boundary(sizes: dict[int, int], length: float) -> int:
 
 
 def _entries(tokens: np.ndarray, edges: np.ndarray, frequent: np.ndarray, boundary: int):
-    """(set place, hash, subset of two) of the prefix tokens and subsets of each set."""
+    """(set place, hash, rank, subset of two) of the prefix tokens and subsets of each set.
+
+    The rank of a subset is that of its later token less one: the prefix for two tokens is one longer.
+    """
     sizes = np.diff(edges)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     at = np.minimum(np.searchsorted(frequent, tokens), max(len(frequent) - 1, 0))
@@ -177,22 +182,24 @@ def _entries(tokens: np.ndarray, edges: np.ndarray, frequent: np.ndarray, bounda
     # Light sets far below the boundary have no heavy partner.
     scanned = (sizes > 1) & (sizes * LOWER > boundary * UPPER)
     single = np.flatnonzero((rank <= spare[owner]) & scanned[owner])
-    out = [(owner[single], tokens[single], np.zeros(len(single), np.bool_))]
+    out = [(owner[single], tokens[single], rank[single], np.zeros(len(single), np.bool_))]
     for i in np.flatnonzero((sizes > 1) & (sizes <= boundary)):
         part = slice(edges[i], edges[i + 1])
-        lead = np.sort(tokens[part][rank[part] <= spare[i] + 1])
+        use = rank[part] <= spare[i] + 1
+        lead, place = tokens[part][use], rank[part][use]
         one, two = np.triu_indices(len(lead), 1)
         pair = mix(mix(lead[one]) + lead[two])
-        out.append((np.full(len(pair), i), pair, np.ones(len(pair), np.bool_)))
+        later = np.maximum(place[one], place[two]) - 1
+        out.append((np.full(len(pair), i), pair, later, np.ones(len(pair), np.bool_)))
     return [np.concatenate(p) for p in zip(*out)]
 
 
 _RUNS = "bucket long, hashes binary, keys binary, sizes binary"
-_LISTS = "token long, key long, n int, two boolean"
+_LISTS = "token long, key long, n int, rank int, two boolean"
 
 
 def _lists(rows: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
-    """(token, key, n, two) entries of the lists that hold more than one set."""
+    """(token, key, n, rank, two) entries of the lists that hold more than one set."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = 4 * parts
@@ -201,11 +208,12 @@ def _lists(rows: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
     def split(batches):
         often = shared.value
         for _, tokens, edges, digests, _ in _sets(batches, True):
-            place, hashes, two = _entries(tokens, edges, often, boundary)
+            place, hashes, rank, two = _entries(tokens, edges, often, boundary)
             if not len(place):
                 continue
             keys = np.fromiter(map(_key, digests), np.int64, len(digests))[place]
-            sizes = np.diff(edges)[place].astype(np.int64) + np.where(two, _TWO, 0)
+            sizes = np.diff(edges)[place].astype(np.int64)
+            sizes |= (rank.astype(np.int64) << _RANK) | (two.astype(np.int64) << _TWO)
             route = hashes.copy()
             if len(often):
                 at = np.minimum(np.searchsorted(often, hashes), len(often) - 1)
@@ -245,11 +253,12 @@ def _lists(rows: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
         hashes, keys, sizes = hashes[keep], keys[keep], sizes[keep]
         for i in range(0, len(hashes), 50_000):
             part = slice(i, i + 50_000)
-            two = sizes[part] >= _TWO
+            packed = sizes[part]
             yield pa.RecordBatch.from_arrays([
                 pa.array(hashes[part].view(np.int64)), pa.array(keys[part]),
-                pa.array((sizes[part] % _TWO).astype(np.int32)), pa.array(two),
-            ], ["token", "key", "n", "two"])
+                pa.array((packed & _LOW).astype(np.int32)),
+                pa.array(((packed >> _RANK) & _LOW).astype(np.int32)), pa.array((packed >> _TWO) > 0),
+            ], ["token", "key", "n", "rank", "two"])
 
     runs = rows.mapInArrow(split, _RUNS)
     return runs.repartition(parts, "bucket").mapInArrow(meet, _LISTS)
@@ -355,20 +364,32 @@ def similar(docs: DataFrame) -> DataFrame:
     ).first()
     boundary = choose_boundary(sizes, max(1.0, seen["n"] / max(1, seen["d"])))
 
-    first = _verified(_centers(reps), reps, rows)
-    linked = stored(components(first), "jaccard-linked")
-    lists = _lists(rows, frequent, boundary)
-    pairs = _unlinked(lists, reps, linked, boundary)
+    lists = stored(
+        _lists(rows, frequent, boundary)
+        .join(reps.select(F.col("set_key").alias("key"), "node"), "key")
+        .select("token", "two", "node", "n", "rank"), "jaccard-lists",
+    )
+    first = _verified(_centers(lists), reps, rows)
+    linked = components(first)
+    pairs = _unlinked(lists, linked, boundary)
     more = _verified(pairs, reps, rows)
-    final = components(first.unionByName(more))
+    # The later links join components, so only those are searched again.
+    part = lambda x: linked.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+    between = more.join(part("a"), "a", "left").join(part("b"), "b", "left").select(
+        F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")
+    )
+    joined = components(between).select(F.col("node").alias("_part"), F.col("component").alias("_whole"))
     named = stored(
-        reps.select("node", "digest", "doc_id").join(final, "node", "left").select(
-            "digest", "doc_id", F.coalesce("component", "node").alias("component")
-        ), "jaccard-named",
+        reps.select("node", "digest", "doc_id").join(linked, "node", "left")
+        .withColumn("_first", F.coalesce("component", "node"))
+        .join(joined, F.col("_first") == F.col("_part"), "left")
+        .select("digest", "doc_id", F.coalesce("_whole", "_first").alias("component")),
+        "jaccard-named",
     )
     names = stored(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "jaccard-names")
-    result = stored(named.join(names, "component").select(
-        "digest", F.col("component").alias("part"), "component_id"), "jaccard-result")
+    result = named.join(names, "component").select(
+        "digest", F.col("component").alias("part"), "component_id"
+    )
     texts = summary.where("kind = 0").select("doc_id", "row", F.col("n").alias("n_shingles"), "digest")
     return texts.join(result, "digest", "left").select(
         "doc_id", "row", "part", F.col("n_shingles").cast("long").alias("n_shingles"),
@@ -396,26 +417,42 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     return single.unionByName(packed.where("_empty").select("_row")).select("_row.*")
 
 
-def _centers(reps: DataFrame) -> DataFrame:
-    """Pairs of each set with the first and the last of those that share a lowest hash with it."""
-    low = reps.select("node", F.explode("minima").alias("m"))
+def _possible(boundary: int | None = None):
+    """Whether entries a and b of one list may be a similar pair: by size, and by rank."""
+    n_a, n_b = F.col("a.n"), F.col("b.n")
+    ratio = F.least(n_a, n_b) * LOWER >= F.greatest(n_a, n_b) * UPPER
+    needed = F.ceil((n_a + n_b) * UPPER / (LOWER + UPPER))
+    inside = (F.col("a.rank") + needed <= n_a) & (F.col("b.rank") + needed <= n_b)
+    use = F.lit(True) if boundary is None else F.col("a.two") | (F.greatest(n_a, n_b) > boundary)
+    return ratio & inside & use
+
+
+def _centers(lists: DataFrame) -> DataFrame:
+    """Pairs of each set with the centers of its longest lists."""
+    key = ["token", "two"]
+    lengths = stored(lists.groupBy(*key).agg(F.count(F.lit(1)).alias("length")), "jaccard-lengths")
+    # The set with the token first is the center of its class; a long list has one in each class.
     ends = stored(
-        low.groupBy("m").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi"),
-        "jaccard-centers",
+        lists.groupBy(*key, F.pmod(F.xxhash64("node"), F.lit(CLASSES)).alias("class"))
+        .agg(F.min(F.struct("rank", "n", "node")).alias("c")).select(*key, "c.*"), "jaccard-centers",
+    )
+    # A set has no more entries than its prefix; its longest lists are those it is compared in.
+    every = lists.join(lengths, key).groupBy("node").agg(
+        F.collect_list(F.struct("length", "token", "two", "rank", "n")).alias("all")
     )
-    near = low.join(ends, "m").select("node", F.explode(F.array("lo", "hi")).alias("center"))
-    return near.where("node != center").select(
-        F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")
+    near = every.select("node", F.explode(F.slice(F.sort_array("all", asc=False), 1, CENTERS)).alias("e"))
+    a, b = near.select("node", "e.*").alias("a"), ends.alias("b")
+    same = (F.col("a.token") == F.col("b.token")) & (F.col("a.two") == F.col("b.two"))
+    return a.join(b, same & (F.col("a.node") != F.col("b.node")) & _possible()).select(
+        F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
     ).distinct()
 
 
-def _unlinked(lists: DataFrame, reps: DataFrame, linked: DataFrame, boundary: int) -> DataFrame:
+def _unlinked(lists: DataFrame, linked: DataFrame, boundary: int) -> DataFrame:
     """Pairs (a, b) of sets in one list that are not connected yet."""
     placed = stored(
-        lists.join(reps.select(F.col("set_key").alias("key"), "node"), "key")
-        .join(linked, "node", "left")
-        .select("token", "node", "n", "two", F.coalesce("component", "node").alias("part")),
-        "jaccard-lists",
+        lists.join(linked, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component"),
+        "jaccard-parts",
     )
     mixed = stored(
         placed.groupBy("token", "two").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
@@ -423,10 +460,8 @@ def _unlinked(lists: DataFrame, reps: DataFrame, linked: DataFrame, boundary: in
     )
     open_ = stored(placed.join(mixed, ["token", "two"], "left_semi"), "jaccard-open")
     a, b = open_.alias("a"), open_.alias("b")
-    size = F.least("a.n", "b.n") * LOWER >= F.greatest("a.n", "b.n") * UPPER
-    use = F.col("a.two") | (F.greatest("a.n", "b.n") > boundary)
     same = (F.col("a.token") == F.col("b.token")) & (F.col("a.two") == F.col("b.two"))
-    return a.join(b, same & (F.col("a.part") < F.col("b.part")) & size & use).select(
+    return a.join(b, same & (F.col("a.part") < F.col("b.part")) & _possible(boundary)).select(
         F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
     ).distinct()
 

@@ -22,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.store import small_batches
 from docloom.llm.words import pieces
 
 ENDING = "</w>"
 # Words kept by a task before its table starts anew.
-TABLE_WORDS = 250_000
+TABLE_WORDS = 120_000
 # Above every rank.
 NEVER = np.iinfo(np.int64).max
 # Letters and digits among the code points below 256, and the white space there.
@@ -91,13 +92,12 @@ class Vocabulary:
         for n, at, size in zip(names, first.tolist(), sizes.tolist()):
             if n in twice or size != 1 or tokens[at] != self.ids[n]:
                 (self.final if n.endswith(ENDING) else self.plain).pop(n.removesuffix(ENDING), None)
-        # Proposals walk a tree of characters; "" leads to the token that ends at a node.
-        self.tree: dict = {}
+        # Proposals read on while a token begins so; a prefix that is no token leads to -1.
+        self.prefixes: dict[str, int] = {}
         for n, i in self.plain.items():
-            node = self.tree
-            for c in n:
-                node = node.setdefault(c, {})
-            node[""] = i
+            for end in range(1, len(n)):
+                self.prefixes.setdefault(n[:end], -1)
+            self.prefixes[n] = i
 
     @classmethod
     def of(cls, tables: dict) -> Vocabulary:
@@ -163,19 +163,19 @@ class Vocabulary:
 
     def proposed(self, word: str) -> list[int]:
         """Tokens of a word by greedy longest match."""
-        tree, final, longest = self.tree, self.final, self.longest
+        prefixes, final, longest = self.prefixes, self.final, self.longest
         found, at, size = [], 0, len(word)
         while True:
             if size - at <= longest and (i := final.get(word[at:])) is not None:
                 found.append(i)
                 return found
-            node, end = tree, at
-            for place in range(at, size - 1):
-                node = node.get(word[place])
-                if node is None:
+            end = at
+            for place in range(at + 1, size):
+                i = prefixes.get(word[at:place])
+                if i is None:
                     break
-                if "" in node:
-                    token, end = node[""], place + 1
+                if i >= 0:
+                    token, end = i, place
             found.append(token)
             at = end
 
@@ -217,8 +217,8 @@ class Encoder:
 
     def _clear(self):
         self.index: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.start, self.count = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        self.flat, self.used = np.zeros(1 << 19, np.uint32), 0
+        self.start, self.count = np.zeros(1 << 17, np.int64), np.zeros(1 << 17, np.int64)
 
     def _words(self, text: str) -> list[str]:
         """Pieces of a normalized text; a special token is a piece of its own."""
@@ -313,6 +313,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     ``path`` names the vocabulary file, read on the driver; its tables have a fixed, small size. A
     null text has no tokens. Other columns pass through; a column called like ``ids`` is replaced.
     """
+    small_batches(docs.sparkSession)
     tables = docs.sparkSession.sparkContext.broadcast(vars(_vocabulary(path)))
     kept = docs.drop(ids)
 
@@ -320,7 +321,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         encoder = Encoder(Vocabulary.of(tables.value))
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            for begin, end in pieces(texts, 2 << 20):
+            for begin, end in pieces(texts, 1 << 20):
                 found = [f.astype("<u4").tobytes() for f in encoder.encode(texts[begin:end])]
                 part = batch.slice(begin, end - begin)
                 yield part.append_column(ids, pa.array(found, pa.binary()))
@@ -334,6 +335,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     The vocabulary states no decoder, so special tokens and word endings stay as they are. Null
     ids are no tokens. Other columns pass through; a column called like ``text`` is replaced.
     """
+    small_batches(encoded.sparkSession)
     tables = encoded.sparkSession.sparkContext.broadcast(_vocabulary(path).names)
     kept = encoded.drop(text)
 
@@ -341,7 +343,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
         name = tables.value.__getitem__
         for batch in batches:
             raw = batch.column(ids).to_pylist()
-            for begin, end in pieces(raw, 4 << 20):
+            for begin, end in pieces(raw, 2 << 20):
                 lists = (np.frombuffer(r or b"", "<u4").tolist() for r in raw[begin:end])
                 found = [" ".join(map(name, i)) for i in lists]
                 part = batch.slice(begin, end - begin)

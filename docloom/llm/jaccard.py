@@ -46,7 +46,7 @@ SALTS = 32
 LIGHT, CANDIDATE = 30, 5.0
 # Bits of the filter that tells which texts to read again; its size is fixed.
 FILTER_BITS = 1 << 23
-BATCH = 8 << 20
+BATCH = 4 << 20
 # An entry packs the size of its set, the rank of its token, and whether it is a subset of two.
 _RANK, _TWO = 31, 62
 _LOW = (1 << 31) - 1
@@ -98,7 +98,7 @@ def _sets(batches, first_only: bool):
                 digests.append(hashlib.blake2b(part.tobytes(), digest_size=16).digest())
                 repeated[i] = digests[-1] in seen
                 seen.add(digests[-1])
-            if len(seen) > 1_000_000:
+            if len(seen) > 200_000:
                 seen.clear()
             if first_only and repeated.any():
                 sizes = np.diff(edges)

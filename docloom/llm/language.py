@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.llm.store import small_batches
 from docloom.llm.words import mix, pieces
 
 FEATURES = 1 << 18
@@ -28,7 +29,7 @@ SAMPLE_DOCS, SAMPLE_SPANS, SPAN = 600, 6, 16
 MAX_LANGUAGES = 256
 # Characters of a word that features see; a longer word is seen by both its ends.
 SEEN = 32
-TABLE_WORDS = 400_000
+TABLE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_²³¹¼-¾]+")
 
 
@@ -198,6 +199,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> dict:
     The sample is bounded by the parameters above: the documents of each language with the lowest
     hash, whole texts read, evenly spread spans taken. Without usable rows the model has no language.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     ranked = docs.where("lang is not null").select(
         "doc_id", "lang", F.xxhash64("doc_id", "lang").alias("_order")
@@ -299,6 +301,7 @@ def predict(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
     A null text, one without letters, or a model without languages gives ``und`` with score 0.
     Ties go to the first language by name.
     """
+    small_batches(docs.sparkSession)
     names, shared = model["names"], model["shared"]
     rows = docs.select(*keep, F.col("text").alias("_text"))
     schema = docs.select(*keep, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema

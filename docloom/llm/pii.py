@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.store import stored
+from docloom.llm.store import small_batches, stored
 from docloom.llm.words import mix, pieces
 
 KINDS = ("email", "ip", "card", "phone")
@@ -295,6 +295,7 @@ def joined(spans) -> str:
 def annotate(docs: DataFrame, weights: np.ndarray, *keep: str) -> DataFrame:
     """``keep`` columns, ``base`` and ``spans`` (kind:start:end, comma-joined) of every text."""
     rows = docs.select(*keep, F.col("text").alias("_text"))
+    small_batches(docs.sparkSession)
     schema = docs.select(*keep, F.lit("").alias("base"), F.lit("").alias("spans")).schema
 
     def run(batches):
@@ -322,6 +323,7 @@ def masked(text: str | None, weights: np.ndarray) -> str | None:
 def mask(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """``docs`` with ``text`` masked, all other columns as they are."""
 
+    small_batches(docs.sparkSession)
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()

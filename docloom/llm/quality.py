@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.store import small_batches
 from docloom.llm.words import Words, encode, pieces, shingle_sets
 
 # Bound of the fitted sample: that many positives and that many unlabelled texts.
@@ -91,6 +92,7 @@ def text_features(texts) -> np.ndarray:
 
 def _vectors(rows: DataFrame, make, column: str, kind: pa.DataType, spark_type: str) -> DataFrame:
     """``keep`` columns and what ``make`` gives for the texts of ``_text``."""
+    small_batches(rows.sparkSession)
     schema = rows.drop("_text").withColumn(column, F.lit(None).cast(spark_type)).schema
 
     def run(batches):

@@ -1,15 +1,28 @@
-"""Tables written once to the shared folder, so that lineage ends there."""
+"""Tables written once to the shared folder, so that lineage ends there, and batches in tasks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from docloom.session import scratch_path
 
 
+# Rows and bytes of the batches that go to Python workers, of which an executor runs several.
+BATCH_ROWS, BATCH_BYTES = 4000, "16m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bounds of Arrow batches, unless they are lower already."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back."""
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -154,14 +154,12 @@ def kind_schema(kinded: DataFrame, kinds: DataFrame, mapping: DataFrame) -> Data
         .where(leads_arrays(F.col("path")))
         .select("_index", "kind", field_path(F.col("path")).alias("path"))
         .distinct()
-        .withColumn("present", F.lit(True))
-    )
-    return (
-        listed.join(mapping, "_index")
-        .join(present, ["_index", "kind", "path"], "left")
-        .where(F.col("all_fields") | F.col("present"))
-        .select("_index", "kind", "path", "type")
     )
+    columns = ["_index", "kind", "path", "type"]
+    some = listed.where(~F.col("all_fields")).select("_index", "kind")
+    whole = listed.where("all_fields").join(mapping, "_index").select(columns)
+    found = present.join(mapping, ["_index", "path"]).join(some, ["_index", "kind"], "left_semi")
+    return found.select(columns).unionByName(whole)
 
 
 def drop_empty_kinds(kinds: DataFrame, kinded: DataFrame, schema: DataFrame,

@@ -212,12 +212,13 @@ def rank_classic(
     """Top ``k`` by cosine-normalized term weights tf * ln(N / df) (Salton, Buckley 1988)."""
     terms = list(dict.fromkeys(query))
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()
+    # The corpus is analyzed once.
+    found = materialize(doc_terms(docs, doc, text, analyzer), "doc-terms")
     weights = (
-        term_stats(docs, doc, text, analyzer)
-        .select("term", F.log(n / F.col("doc_freq")).alias("idf"))
+        inline_rows(found, F.col("terms"), ["term", "freq"], doc)
+        .groupBy("term").agg(F.log(n / F.count(F.lit(1))).alias("idf"))
     )
     # Norms are needed only where the query matches; other documents lose their terms.
-    found = doc_terms(docs, doc, text, analyzer)
     matches = F.exists("terms", lambda t: t["term"].isin(terms))
     matched = inline_rows(found, F.when(matches, F.col("terms")), ["term", "freq"], doc)
     weighted = matched.join(weights, "term").withColumn("w", F.col("freq") * F.col("idf"))

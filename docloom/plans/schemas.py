@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docloom.operators import profile as P
 from docloom.operators import schema as S
 from docloom.plans.registry import query
-from docloom.session import scratch_path
+from docloom.session import materialize, scratch_path
 from docloom.sources import fixtures as X
 
 # Every node of the mixed collection below the root, with what it was set to and when.
@@ -45,9 +45,13 @@ _EVENTS = (
 )
 
 
+def _kinded(docs):
+    """Documents with their kind, written once: what follows reads them several times."""
+    return materialize(P.with_kind(docs, P.chosen_kind_fields(docs)), "kinded")
+
+
 def _mixed(spark, sf):
-    docs = X.mixed_docs(spark, sf)
-    return P.with_kind(docs, P.chosen_kind_fields(docs))
+    return _kinded(X.mixed_docs(spark, sf))
 
 
 @query(
@@ -119,8 +123,7 @@ def kind_schema(spark, sf):
     WHERE coalesce(d.n, 0) > 0 OR coalesce(f.n, 0) > 0""",
 )
 def drop_empty_kinds(spark, sf):
-    docs = X.collections(spark, sf)
-    kinded = P.with_kind(docs, P.chosen_kind_fields(docs))
+    kinded = _kinded(X.collections(spark, sf))
     found = P.distinct_kinds(kinded).select("_index", "kind")
     ghosts = found.select("_index").distinct().withColumn("kind", F.lit("ghost"))
     listed = found.unionByName(ghosts)

@@ -38,8 +38,10 @@ UPPER, LOWER = 4, 5
 MINIMA = 4
 # Lists in which a set is compared with centers first, and centers of a long list.
 CENTERS, CLASSES = 3, 8
-# Frequent tokens that go last: at most so many, each counted so often or more in some batches.
-FREQUENT, OFTEN, PER_BATCH = 100_000, 16, 32_768
+# Frequent tokens that go last: at most so many, each counted so often or more where a task has it
+# twice; the tokens that a task counts together, and the most that it reports of them.
+FREQUENT, OFTEN = 400_000, 12
+COUNTED, PER_BATCH = 2_000_000, 65_536
 # Parts that the list of a frequent token is dealt to.
 SALTS = 32
 # Largest set that may count as light, and the cost of a candidate in entries.
@@ -116,7 +118,20 @@ _SUMMARY = (
 def _summaries(rows: DataFrame) -> DataFrame:
     """Kind 0: one row per text with its set's size, digest and sketches. Kind 1: token counts."""
 
+    def counted(held):
+        every, counts = np.unique(np.concatenate(held), return_counts=True)
+        every, counts = every[counts > 1], counts[counts > 1]
+        top = np.lexsort((every, -counts))[:PER_BATCH]
+        none = len(top)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.ones(none, np.int32)), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64()),
+            pa.nulls(none, pa.int32()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.binary()),
+            pa.nulls(none, pa.binary()), pa.nulls(none, pa.list_(pa.int64())),
+            pa.array(every[top].astype(np.int64)), pa.array(counts[top].astype(np.int64)),
+        ], [c.split()[0] for c in _SUMMARY.split(", ")])
+
     def run(batches):
+        held: list[np.ndarray] = []
         for part, tokens, edges, digests, repeated in _sets(batches, False):
             sizes = np.diff(edges)
             count = len(sizes)
@@ -130,17 +145,12 @@ def _summaries(rows: DataFrame) -> DataFrame:
                 pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), pa.array(minima, pa.list_(pa.int64())),
                 pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64()),
             ], [c.split()[0] for c in _SUMMARY.split(", ")])
-            every, counts = np.unique(tokens[np.repeat(~repeated, sizes)], return_counts=True)
-            every, counts = every[counts > 1], counts[counts > 1]
-            top = np.lexsort((every, -counts))[:PER_BATCH]
-            if len(top):
-                none = len(top)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.ones(none, np.int32)), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64()),
-                    pa.nulls(none, pa.int32()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.binary()), pa.nulls(none, pa.binary()),
-                    pa.nulls(none, pa.list_(pa.int64())),
-                    pa.array(every[top].astype(np.int64)), pa.array(counts[top].astype(np.int64)),
-                ], [c.split()[0] for c in _SUMMARY.split(", ")])
+            held.append(tokens[np.repeat(~repeated, sizes)])
+            if sum(map(len, held)) >= COUNTED:
+                yield counted(held)
+                held = []
+        if held:
+            yield counted(held)
 
     return rows.mapInArrow(run, _SUMMARY)
 

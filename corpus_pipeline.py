@@ -42,9 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number, and digests of the ids and of the decoded text."""
     rows = docs.select("doc_id", "lang", "source", "text")
-    path = bpe.default_path()
-    encoded = bpe.encode(rows, path).drop("text")
-    return bpe.decode(encoded, path).select(
+    return bpe.round_trip(rows, bpe.default_path()).select(
         "doc_id", "lang", "source",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",

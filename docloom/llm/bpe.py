@@ -352,6 +352,33 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     return kept.mapInArrow(run, kept.withColumn(text, F.lit("")).schema)
 
 
+def round_trip(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``docs`` without ``text``, with its ``ids`` and the text ``decoded`` from them.
+
+    The same as ``encode`` and ``decode`` one after the other, in one Python worker per task.
+    """
+    small_batches(docs.sparkSession)
+    tables = docs.sparkSession.sparkContext.broadcast(vars(_vocabulary(path)))
+    kept = docs.drop(ids, decoded)
+
+    def run(batches):
+        vocabulary = Vocabulary.of(tables.value)
+        encoder, name = Encoder(vocabulary), vocabulary.names.__getitem__
+        for batch in batches:
+            texts, rest = batch.column(text).to_pylist(), batch.drop_columns([text])
+            for begin, end in pieces(texts, 1 << 20):
+                found = encoder.encode(texts[begin:end])
+                raw = pa.array([f.astype("<u4").tobytes() for f in found], pa.binary())
+                back = pa.array([" ".join(map(name, f.tolist())) for f in found], pa.string())
+                part = rest.slice(begin, end - begin)
+                yield part.append_column(ids, raw).append_column(decoded, back)
+
+    schema = kept.drop(text).withColumn(ids, F.lit(b"")).withColumn(decoded, F.lit("")).schema
+    return kept.mapInArrow(run, schema)
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -361,8 +388,7 @@ def default_path() -> str:
 def digests(docs: DataFrame, path: str, *keep: str) -> DataFrame:
     """``keep``, number of tokens, and digests of the ids and of the decoded text."""
     rows = docs.select(*keep, F.col("text"))
-    encoded = encode(rows, path).drop("text")
-    return decode(encoded, path).select(
+    return round_trip(rows, path).select(
         *keep,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

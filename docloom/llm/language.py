@@ -3,7 +3,8 @@
 Every word has hashed features: its affixes, its character n-grams and itself as a lexicon entry.
 Learned weights score a word under each language, learned transitions score neighbours, and
 forward-backward gives the language probabilities of each word. A document gets the language with
-the largest sum over its words. The chain starts anew every ``CHAIN`` words.
+the largest sum over its words. A run of more than ``SEEN`` letters, as text without spaces has, is
+cut into words that share two letters, so that every n-gram of it counts. The chain starts anew every ``CHAIN`` words.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ UNKNOWN = "und"
 SAMPLE_DOCS, SAMPLE_SPANS, SPAN = 600, 6, 16
 # Languages that a model may tell apart.
 MAX_LANGUAGES = 256
-# Characters of a word that features see; a longer word is seen by both its ends.
+# Letters of a step of the chain; a longer run of letters is several steps.
 SEEN = 32
 TABLE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_²³¹¼-¾]+")
@@ -43,31 +44,48 @@ def words_of(text: str | None) -> list[str]:
     return found
 
 
+def parts(word: str) -> list[str]:
+    """A word in parts of at most ``SEEN`` letters and like size; neighbours share two letters."""
+    if len(word) <= SEEN:
+        return [word]
+    inner = len(word) - 2
+    count = -(-inner // (SEEN - 2))
+    edges = [i * inner // count for i in range(count + 1)]
+    return [word[a : b + 2] for a, b in zip(edges, edges[1:])]
+
+
+def steps_of(text: str | None) -> list[str]:
+    """Words of a text as steps of the chain, long ones in parts."""
+    words = words_of(text)
+    if not words or max(map(len, words)) <= SEEN:
+        return words
+    return [part for word in words for part in parts(word)]
+
+
 def features(words: list[str]) -> np.ndarray:
-    """Feature numbers of each word, one row per word, zero where there is none."""
-    cut = [w if len(w) <= SEEN else w[: SEEN // 2] + w[-SEEN // 2 :] for w in words]
-    sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-    wide = np.array(cut, dtype=f"U{SEEN}").view(np.uint32).reshape(len(cut), SEEN)
-    codes = np.zeros((len(cut), SEEN + 2), np.uint64)
+    """Feature numbers of each word of at most ``SEEN`` letters, one row per word, zero where there is none."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    wide = np.array(words, dtype=f"U{SEEN}").view(np.uint32).reshape(len(words), SEEN)
+    codes = np.zeros((len(words), SEEN + 2), np.uint64)
     codes[:, 1:-1] = wide
     codes[:, 0] = 1
-    codes[np.arange(len(cut)), sizes + 1] = 2
+    codes[np.arange(len(words)), sizes + 1] = 2
     out = []
 
     def add(kind: int, value: np.ndarray, there: np.ndarray) -> None:
         number = mix(value + np.uint64(kind * 0x1000003)) & np.uint64(FEATURES - 1)
         out.append(np.where(there, number.astype(np.int64) | 1, 0))
 
-    longest = int(sizes.max()) if len(cut) else 0
-    rows = np.arange(len(cut))
+    longest = int(sizes.max()) if len(words) else 0
+    rows = np.arange(len(words))
     step = np.uint64(0x100000001B3)
-    whole = np.zeros(len(cut), np.uint64)
+    whole = np.zeros(len(words), np.uint64)
     for i in range(1, longest + 1):
         whole = np.where(i <= sizes, mix(whole * step + codes[:, i]), whole)
         if i <= 3:
             add(i, whole, sizes >= i)
     add(4, whole, sizes > 0)
-    tail = np.zeros(len(cut), np.uint64)
+    tail = np.zeros(len(words), np.uint64)
     for i in range(3):
         tail = mix(tail * step + codes[rows, np.maximum(sizes - i, 0)])
         add(5 + i, tail, sizes > i)
@@ -184,7 +202,7 @@ def fit(spans: list[list[str]], labels: np.ndarray, count: int, epochs: int = 4,
 def _spans(texts, spans: int, size: int):
     """Up to ``spans`` stretches of words, spread evenly over each whole text."""
     for text in texts:
-        words = words_of(text)
+        words = steps_of(text)
         places = len(words) // size
         if places == 0:
             yield [words] if words else []
@@ -272,7 +290,7 @@ class Tagger:
 
     def tag(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of all words of all texts in order, and the number of words per text."""
-        lines = [words_of(t) for t in texts]
+        lines = [steps_of(t) for t in texts]
         sizes = np.fromiter(map(len, lines), np.int64, len(lines))
         ids = self._lookup(lines)
         if not len(ids):

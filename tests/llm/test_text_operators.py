@@ -111,6 +111,35 @@ def test_language_of_awkward_rows(spark, docs, empty):
     assert {r["lang_pred"] for r in language.predict(docs, nothing, ["doc_id"]).collect()} == {"und"}
 
 
+def test_long_words_are_read_whole(spark):
+    for size in (1, 32, 33, 62, 63, 64, 1000):
+        word = "".join(chr(0x4E00 + i) for i in range(size))
+        found = language.parts(word)
+        assert max(map(len, found)) <= language.SEEN
+        assert "".join(p[:-2] for p in found[:-1]) + found[-1] == word
+    model = language.train(spark.read.parquet(f"{MEDIUM}/documents.parquet"))
+    middle = "derdieunddasnichtmitsichdesauffüristimeinedemauch" * 40
+    text = "thethatwiththisf" + middle + "romwhichthethatt"
+    rows = [(1, text, None, None, 0), (2, "the that with this", None, None, 0)]
+    found = language.predict(documents(spark, rows), model, ["doc_id"]).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {1: "de", 2: "en"}
+
+
+def test_unspaced_texts_are_learned_from_their_middle(spark):
+    random = np.random.default_rng(12)
+    ends = "".join(chr(0x4E00 + i) for i in range(16))
+
+    def text(base):
+        return ends + "".join(chr(base + int(i)) for i in random.integers(0, 200, 400)) + ends
+
+    bases = {"one": 0x5000, "two": 0x6000}
+    rows = [(i, text(bases[lang]), lang, None, 0) for i, lang in enumerate(["one", "two"] * 40)]
+    docs = documents(spark, rows)
+    model = language.train(docs.where("doc_id < 40"))
+    found = language.predict(docs.where("doc_id >= 40"), model, ["doc_id", "lang"]).collect()
+    assert len(found) == 40 and all(r["lang"] == r["lang_pred"] for r in found)
+
+
 # --- encoding
 
 

@@ -2,7 +2,8 @@
 
 Vectors get one more component that makes all lengths equal, so the largest inner product is the
 smallest angle, and each goes to the list of its nearest center. Centers are fitted on a bounded
-sample; every vector is indexed. A query probes a share of the lists. Inside a list vectors are
+sample; every vector is indexed. A query probes a share of the lists, nearest first, and goes on until
+they hold ``AMPLE`` times the rows it asks for or all are probed. Inside a list vectors are
 rotated and read in blocks of columns: after each block the partial distance estimates the whole
 one, and a candidate is given up if a hypothesis test rejects that it is as near as the query needs. Scores of what remains are exact, from the original vectors.
 """
@@ -24,6 +25,8 @@ from docloom.llm.vectors import matrix, rotation, usable
 SAMPLE, LISTS = 16_384, 1024
 # Share of the lists that a query probes, and how many of them set its first bound.
 PROBED, FIRST = 0.75, 2
+# Candidates that the probed lists hold at least, for each row that is asked for.
+AMPLE = 20
 # Columns of a block, and the level of the test.
 COLUMNS, LEVEL = 16, 1.6
 CHUNK_ROWS, CHUNK_QUERIES, TILE = 4096, 2048, 128
@@ -50,10 +53,10 @@ def fit_centers(rows: np.ndarray, lists: int, rounds: int = 12, seed: int = 5) -
 
 
 class Index:
-    """Centers for each size of vectors."""
+    """Centers for each size of vectors, and the rows that each list holds once they are counted."""
 
-    def __init__(self, centers: dict[int, np.ndarray], longest: dict[int, float]):
-        self.centers, self.longest = centers, longest
+    def __init__(self, centers: dict[int, np.ndarray], longest: dict[int, float], held: dict | None = None):
+        self.centers, self.longest, self.held = centers, longest, held or {}
 
     def _of(self, size: int) -> np.ndarray:
         return self.centers.get(size, np.eye(1, size + 1))
@@ -62,11 +65,16 @@ class Index:
         size = rows.shape[1]
         return (extended(rows, self.longest[size]) @ self._of(size).T).argmax(axis=1)
 
-    def probes(self, rows: np.ndarray, share: float, least: int) -> np.ndarray:
-        """Lists of each query, nearest first."""
-        centers = self._of(rows.shape[1])
-        count = min(len(centers), max(least, math.ceil(share * len(centers))))
-        return np.argsort(-(rows @ centers[:, :-1].T), axis=1, kind="stable")[:, :count]
+    def probes(self, rows: np.ndarray, share: float, least: int, needed: np.ndarray) -> tuple:
+        """Lists of each query, nearest first, and how many of them it probes to see ``needed`` rows."""
+        size = rows.shape[1]
+        centers = self._of(size)
+        order = np.argsort(-(rows @ centers[:, :-1].T), axis=1, kind="stable")
+        sizes = np.zeros(len(centers), np.int64)
+        for place, n in self.held.get(size, ()):
+            sizes[place] = n
+        short = (np.cumsum(sizes[order], axis=1) < needed[:, None]).sum(axis=1) + 1
+        return order, np.minimum(len(centers), np.maximum(short, max(least, math.ceil(share * len(centers)))))
 
 
 def scan(queries: np.ndarray, needed: np.ndarray, ids: np.ndarray, rows: np.ndarray, own: np.ndarray, k: int):
@@ -87,6 +95,7 @@ def scan(queries: np.ndarray, needed: np.ndarray, ids: np.ndarray, rows: np.ndar
         partial = q[part, : edges[1]] @ x[:, : edges[1]].T
         partial[own[part][:, None] == ids] = -np.inf
         need = needed[part].copy()
+        sure = np.zeros(partial.shape, bool)
         if len(ids) > k:
             # A first bound from the rows that lead after one block, scored exactly.
             lead = np.argpartition(-partial, min(2 * k, len(ids) - 1), axis=1)[:, : 2 * k]
@@ -94,8 +103,10 @@ def scan(queries: np.ndarray, needed: np.ndarray, ids: np.ndarray, rows: np.ndar
             exact[np.take_along_axis(partial, lead, 1) == -np.inf] = -np.inf
             kept = min(k, lead.shape[1])
             need = np.maximum(need, np.sort(exact, axis=1)[:, -kept])
+            # What is known to be near enough is not tested.
+            np.put_along_axis(sure, lead, exact >= need[:, None], axis=1)
         i, j = np.nonzero(partial > -np.inf)
-        got = partial[i, j]
+        got, sure = partial[i, j], sure[i, j]
         need = need - 1e-9 * np.maximum(1, np.abs(need))
         # Squared distance at which the inner product is just what the query needs.
         reach = np.maximum(head_q[top + i, -1] + head_x[j, -1] - 2 * need[i], 0)
@@ -104,8 +115,8 @@ def scan(queries: np.ndarray, needed: np.ndarray, ids: np.ndarray, rows: np.ndar
             # After a random rotation the gap over some columns estimates the whole distance; the
             # margin shrinks as columns come in and is gone when all are read.
             margin = (1 + LEVEL / math.sqrt(begin)) ** 2 if begin < size else 1.0
-            stay = gap * (size / begin) <= reach * margin + 1e-9 * (1 + head_x[j, -1])
-            i, j, got, reach = i[stay], j[stay], got[stay], reach[stay]
+            stay = sure | (gap * (size / begin) <= reach * margin + 1e-9 * (1 + head_x[j, -1]))
+            i, j, got, reach, sure = i[stay], j[stay], got[stay], reach[stay], sure[stay]
             if end is None or not len(i):
                 break
             got = got + (q[top + i, begin:end] * x[j, begin:end]).sum(axis=1)
@@ -174,32 +185,45 @@ def nearest(
                     pa.array(ids), pa.array([v.tobytes() for v in given], pa.binary()),
                 ], ["size", "list", "vec_id", "vector"])
 
+    listed = stored(rows.mapInArrow(assign, "size int, list int, vec_id long, vector binary"), "lists")
+    key = ["size", "list"]
+    counted = stored(listed.groupBy(*key).agg(F.count(F.lit(1)).alias("n")), "list-chunks")
+    chunks = counted.select(*key, F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks"))
+    held: dict[int, list] = {}
+    for row in counted.collect():
+        held.setdefault(row["size"], []).append((row["list"], row["n"]))
+    counts = rows.sparkSession.sparkContext.broadcast(held)
+    # Rows with the id of a query are no candidates and come on top of what its lists must hold.
+    own = listed.join(asked.select("vec_id").distinct(), "vec_id", "left_semi")
+    own = own.groupBy("size", "vec_id").agg(F.count(F.lit(1)).alias("own"))
+    asked = asked.withColumn("size", F.size("embedding")).join(own, ["size", "vec_id"], "left").select(
+        "vec_id", "embedding", F.coalesce("own", F.lit(0)).alias("own")
+    )
+
     def probe(batches):
-        model = Index(*shared.value)
+        model = Index(*shared.value, counts.value)
         for batch in batches:
+            same = batch.column("own").to_numpy()
+            sizes = batch.column("embedding").value_lengths().to_numpy()
             for size, ids, given in by_size(batch):
                 if size not in model.longest:
                     continue
+                needed = AMPLE * k + same[sizes == size]
                 for begin in range(0, len(ids), 256):
                     part = given[begin : begin + 256]
-                    found = model.probes(part, probed, FIRST)
-                    width = found.shape[1]
+                    found, width = model.probes(part, probed, FIRST, needed[begin : begin + 256])
+                    turn = np.arange(found.shape[1])
+                    used = turn < width[:, None]
                     raw = [v.tobytes() for v in part]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(found.size, size, np.int32)),
-                        pa.array(found.ravel().astype(np.int32)),
-                        pa.array(np.tile(np.arange(width, dtype=np.int32), len(part))),
+                        pa.array(np.full(used.sum(), size, np.int32)),
+                        pa.array(found[used].astype(np.int32)),
+                        pa.array(np.broadcast_to(turn, used.shape)[used].astype(np.int32)),
                         pa.array(np.repeat(ids[begin : begin + 256], width)),
-                        pa.array([v for v in raw for _ in range(width)], pa.binary()),
+                        pa.array([v for v, n in zip(raw, width) for _ in range(n)], pa.binary()),
                     ], ["size", "list", "turn", "query_id", "query"])
 
-    listed = stored(rows.mapInArrow(assign, "size int, list int, vec_id long, vector binary"), "lists")
     probes = asked.mapInArrow(probe, "size int, list int, turn int, query_id long, query binary")
-    key = ["size", "list"]
-    chunks = stored(
-        listed.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks")),
-        "list-chunks",
-    )
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         columns = ["query_id", "query", "vec_id", "score"]

@@ -351,6 +351,36 @@ def test_search_against_all_products(spark):
     assert search.nearest(df, queries.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("count", [5, 20, 30, 60])
+def test_search_of_few_rows_finds_all(spark, count):
+    """Also of a size that is rare in a larger table, with a query whose row is repeated."""
+    rows = [(r[0], list(map(float, r[1]))) for r in given(2000, "embeddings", "/root/testdata/sf0.1")]
+    few = [(100_000 + i, v) for i, (_, v) in enumerate(rows[:count])]
+    few += [few[0]] * 3
+    rare = [(i + 100_000, v[:24]) for i, v in few]
+    for table, asked in ((few, few), (rows + rare, rare)):
+        df = spark.createDataFrame(table, "vec_id long, embedding array<float>")
+        queries = df.where("vec_id >= 100000")
+        queries = queries.where(F.size("embedding") == len(asked[0][1]))
+        found = collections.defaultdict(list)
+        for r in search.nearest(df, queries).orderBy("query_id", "rank").collect():
+            found[r["query_id"]].append(r["vec_id"])
+        values = {i: np.array(v, np.float32).astype(float) for i, v in asked}
+        for i, q in values.items():
+            scores = sorted((-float((q * values[j]).sum()), j) for j, _ in asked if j != i)
+            assert found[i] == [j for _, j in scores[:20]]
+
+
+def test_leading_rows_are_not_tested_away():
+    random = np.random.default_rng(13)
+    # Rows differ from the query in the first block of turned columns alone, so it overstates their distance.
+    query = random.normal(size=(1, 64))
+    gap = np.where(np.arange(64) < 16, random.normal(size=(45, 64)), 0)
+    rows = query + gap @ search.rotation(64).T
+    i, j, _ = search.scan(query, np.full(1, -np.inf), np.arange(45), rows, np.full(1, -1), 20)
+    assert len(j) == 20
+
+
 def test_search_recall(spark):
     sf = "/root/testdata/sf0.1"
     rows = given(table="embeddings", sf=sf)

@@ -68,12 +68,13 @@ def _commit(spark: SparkSession, rows: DataFrame, out: str, batch_id: int, merge
 
     A partial goes to a folder of its own at every attempt, and readers take only folders that a
     line names, one per batch, so they never see half a partial and a replay changes nothing. Every
-    ``COMPACT`` batches all that counts is merged into one partial, which replaces what it covers.
+    ``COMPACT`` batches all that counts is merged into one partial, which replaces what it covers;
+    a replay merges what was there before the batch, so that it writes the same rows.
     """
     part = f"parts/batch={batch_id}-{uuid.uuid4().hex}"
     covers = batch_id
     if batch_id % COMPACT == COMPACT - 1:
-        found = committed(spark, out)
+        found = committed(spark, out, batch_id)
         rows = merge(rows if found is None else found.unionByName(rows))
         covers = 0
     rows.write.parquet(f"{out}/{part}")
@@ -81,15 +82,19 @@ def _commit(spark: SparkSession, rows: DataFrame, out: str, batch_id: int, merge
     line.coalesce(1).write.mode("append").parquet(f"{out}/commits")
 
 
-def committed(spark: SparkSession, out: str) -> DataFrame | None:
+def committed(spark: SparkSession, out: str, before: int | None = None) -> DataFrame | None:
     """Partials that count: the last merged one and one of each batch after it; None before any.
 
+    With ``before``, of the batches before that one alone.
+
     The driver sees the names of at most ``COMPACT`` partials.
     """
     try:
         lines = spark.read.schema("low long, high long, part string").parquet(f"{out}/commits")
     except AnalysisException:
         return None
+    if before is not None:
+        lines = lines.where(F.col("high") < before)
     merged = lines.where("low < high").select(F.max("high")).first()[0]
     floor = -1 if merged is None else merged
     one = lines.where(F.col("high") > floor).groupBy("high").agg(F.min("part").alias("part"))

@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from docloom.session import scratch_path
 from docloom.sources import documents as D
@@ -97,6 +98,19 @@ def test_partials_count_once_and_whole(spark, monkeypatch):
     assert len(J.committed(spark, out).inputFiles()) < 8 * 8
 
 
+def test_a_replayed_batch_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(J, "COMPACT", 3)
+    out = scratch_path(spark, "t")
+    rows = spark.createDataFrame([("c", "a", 1)], "_index string, kind string, documents long")
+    total = lambda parts: parts.groupBy("_index", "kind").agg(F.sum("documents").alias("documents"))
+    for batch in (0, 1, 1, 2, 2, 2, 3, 4, 5, 5):
+        J._commit(spark, rows, out, batch, total)
+        assert J.current_counts(spark, out).first()["documents"] == batch + 1
+        lines = spark.read.parquet(f"{out}/commits").where(F.col("high") == batch).collect()
+        held = [spark.read.parquet(f"{out}/{r['part']}").first()["documents"] for r in lines]
+        assert set(held) == {batch + 1 if batch % 3 == 2 else 1}
+
+
 def test_kind_field_with_a_dot_names_one_key(spark):
     folder, out = scratch_path(spark, "t"), scratch_path(spark, "t")
     write(spark, folder, ['{"_index": "c", "seq": 1, "_source": {"a.b": "x", "a": {"b": "y"}}}'])

@@ -10,13 +10,16 @@ from docloom.llm.store import stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; those with null text or without letters go."""
+    """Documents in some language, a null one as predicted; those with null text or without letters go."""
     model = language.train(docs.where(~language.held_out()))
     packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")
     found = language.predict(packed, model, ["_row"])
     # Without any labelled text there is nothing to tell languages by, and nothing goes.
-    kept = found.where(F.col("lang_pred") != language.UNKNOWN) if model["names"] else found
-    return kept.select("_row.*")
+    if not model["names"]:
+        return found.select("_row.*")
+    kept = found.where(F.col("lang_pred") != language.UNKNOWN)
+    named = F.col("_row").withField("lang", F.coalesce("_row.lang", "lang_pred"))
+    return kept.select(named.alias("_row")).select("_row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

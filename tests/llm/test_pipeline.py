@@ -36,6 +36,16 @@ def test_only_texts_without_letters_go(steps):
     assert kept == collections.Counter(key(r) for r in steps[0] if language.words_of(r["text"]))
 
 
+def test_a_missing_language_is_predicted(spark):
+    rows = [(*r[:2], None if r[0] % 5 == 0 else r[2], *r[3:5]) for r in given(200)]
+    docs = documents(spark, rows)
+    found = {r["doc_id"]: r for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    truth = {r[0]: r[2] for r in given(200)}
+    lost = [r[0] for r in rows if r[2] is None and r[0] in found]
+    assert len(lost) > 20 and all(found[i]["lang"] == truth[i] for i in found if i not in lost)
+    assert sum(found[i]["lang"] == truth[i] for i in lost) / len(lost) >= 0.9
+
+
 def test_one_of_each_group_stays(steps):
     rows = steps[1]
     sets = [shingles(r["text"]) for r in rows]

@@ -197,21 +197,23 @@ def fingerprint(x: Column, separator: str = " ", max_output_size: int = 255) ->
     return let(joined, lambda j: F.when(F.length(j) <= max_output_size, j).otherwise(""))
 
 
-# Our own short stop word lists by name.
+# Our own short stop word lists by name; the plain names are those of the Spark lists.
 NAMED_STOP_WORDS = {
-    "english": ["a", "and", "by", "for", "in", "is", "of", "on", "that", "the", "to", "was", "with"],
-    "french": ["de", "des", "du", "en", "et", "la", "le", "les", "pas", "que", "qui", "un", "une"],
-    "german": ["das", "der", "die", "ein", "ist", "mit", "nicht", "und", "von", "zu"],
-    "spanish": ["con", "de", "del", "el", "en", "es", "la", "los", "no", "para", "por", "que", "y"],
+    "english_short": ["a", "and", "by", "for", "in", "is", "of", "on", "that", "the", "to", "was", "with"],
+    "french_short": ["de", "des", "du", "en", "et", "la", "le", "les", "pas", "que", "qui", "un", "une"],
+    "german_short": ["das", "der", "die", "ein", "ist", "mit", "nicht", "und", "von", "zu"],
+    "spanish_short": ["con", "de", "del", "el", "en", "es", "la", "los", "no", "para", "por", "que", "y"],
 }
 
 
 def named_stop_words(language: str) -> list[str]:
-    """A stop word list by name: one of ours, or one that Spark ships for another language."""
+    """A stop word list by name: one of ours, or one that Spark ships."""
     if language in NAMED_STOP_WORDS:
         return NAMED_STOP_WORDS[language]
+    from pyspark import SparkContext
     from pyspark.ml.feature import StopWordsRemover
 
+    SparkContext.getOrCreate()  # the lists are read by the JVM
     return StopWordsRemover.loadDefaultStopWords(language)
 
 

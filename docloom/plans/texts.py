@@ -36,7 +36,7 @@ def _register_corpus(name, source, key, text, analyzer, tokens_sql):
 
 
 # The languages of the corpus and the names of their stop word lists.
-NAMES = {"en": "english", "fr": "french", "de": "german", "es": "spanish"}
+NAMES = {"en": "english_short", "fr": "french_short", "de": "german_short", "es": "spanish_short"}
 STOP = {lang: A.NAMED_STOP_WORDS[name] for lang, name in NAMES.items()}
 
 

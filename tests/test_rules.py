@@ -216,6 +216,13 @@ def test_tokenizers(spark):
     assert tokens(spark, "", A.standard) == []
 
 
+def test_plain_names_give_the_lists_of_spark(spark):
+    for name in ("english", "french", "german", "spanish"):
+        found = A.named_stop_words(name)
+        assert len(found) > 100 and A.named_stop_words(f"{name}_short") == A.NAMED_STOP_WORDS[f"{name}_short"]
+    assert {"ourselves", "the"} < set(A.named_stop_words("english"))
+
+
 def test_stop_word_precedence():
     assert A.stop_words(["a"], named="english", path_words=["p"]) == ["p"]
     assert "the" in A.stop_words(["a"], named="english")

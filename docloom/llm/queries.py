@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from docloom.llm import bpe, jaccard, language, mixing, neardup, pii, quality, repeats, search, warc
+from docloom.llm import (
+    alignment, bpe, jaccard, language, mixing, neardup, pii, quality, repeats, search, warc,
+)
 
 QUERIES = {
     "op1_quality": quality.quality_query,
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_repeats": repeats.repeats_query,
     "op9_pii": pii.pii_query,
     "op10_search": search.search_query,
+    "op11_alignment": alignment.alignment_query,
 }
 
 ORACLES = {

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from docloom.llm import (
-    alignment, bpe, jaccard, language, mixing, neardup, pii, quality, repeats, search, warc,
+    alignment, bpe, collocations, jaccard, language, mixing, neardup, pii, quality, repeats, search, warc,
 )
 
 QUERIES = {
@@ -18,9 +18,11 @@ QUERIES = {
     "op9_pii": pii.pii_query,
     "op10_search": search.search_query,
     "op11_alignment": alignment.alignment_query,
+    "op12_collocations": collocations.collocation_query,
 }
 
 ORACLES = {
     "op2_warc": warc.WARC_SQL,
     "op6_mixing": mixing.MIX_SQL,
+    "op12_collocations": collocations.COLLOCATION_SQL,
 }

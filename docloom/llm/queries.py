@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from docloom.llm import (
-    alignment, bpe, collocations, jaccard, language, mixing, neardup, pii, quality, repeats, search, warc,
+    alignment, bpe, collocations, extraction, jaccard, language, mixing, neardup, pii, quality, repeats,
+    search, warc,
 )
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op10_search": search.search_query,
     "op11_alignment": alignment.alignment_query,
     "op12_collocations": collocations.collocation_query,
+    "op13_extraction": extraction.extraction_query,
 }
 
 ORACLES = {

@@ -6,12 +6,13 @@ string, number, boolean, null, array, object.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.rows import explode_rows
+from docloom.session import materialize
 
 # Exclusive upper bounds of the integer widths (value class "number").
 BYTE_LIMIT = 127
@@ -246,6 +247,7 @@ def ancestors(path: Column, root: str) -> Column:
 def nodes(v: Column, root: Column, max_levels: int | None = None) -> Column:
     """Every node of a JSON value at any depth, itself first: ``array<struct<path, value>>``.
 
+    For columns that hold a small object whole; tables of nodes come from ``walk``.
     The number of rounds comes from the brackets in the value's own text, which is never less
     than its depth, so nothing is cut unless ``max_levels`` asks for it. Array functions run
     interpreted, so a node carries only what cannot be derived from it later, and ``v`` and
@@ -285,17 +287,84 @@ def nodes(v: Column, root: Column, max_levels: int | None = None) -> Column:
 NODES = "array<struct<path:string,value:variant>>"
 
 
-def document_nodes(docs: DataFrame, root: str, *keep: str) -> DataFrame:
-    """``keep`` and one row ``(path, type, value)`` per node below the root of each document.
+Keep = Callable[[Column, Column], Column]
+# Levels that one round of the walk opens; deeper values take further rounds.
+LEVELS = 4
+
+
+def walk(rows: DataFrame, value: Column, path: Column, *keep: str, values: Keep | None = None) -> DataFrame:
+    """``keep`` and one row ``(path, type, value)`` per node of a JSON value, itself included.
+
+    The tree is opened level by level, as a table: a lateral ``variant_explode`` a level turns the
+    containers among the rows into their members, so the cost is that of the nodes, however wide an
+    array is. A container is handed on by its first member, which saves a second look at it. After
+    ``LEVELS`` levels what is found is written, and only what is still closed goes on, so that a
+    value of any depth is opened whole. A NULL value has no nodes.
 
-    Text that is not one whole object has none. Top-level members are exploded first, in generated code; only containers among them are
-    walked through.
+    ``values`` says by path and type which nodes carry their value; the others have NULL.
     """
-    members = docs.select(*keep, F.explode_outer(parse_object(F.col("raw"))))
-    members = members.where(F.col("key").isNotNull())
-    found = explode_rows(
-        members, nodes(F.col("value"), _child_path(F.lit(root), F.col("key"))), "n", *keep
+    front = rows.select(F.struct(*keep).alias("_keep"), path.alias("_path"), value.alias("_value"))
+    found = None
+    while True:
+        level = materialize(_opened(front, values), "nodes")
+        nodes_ = level.where("NOT closed").select(*[F.col("_keep")[k].alias(k) for k in keep], "path", "type", "value")
+        found = nodes_ if found is None else found.unionByName(nodes_)
+        rest = level.where("closed")
+        if rest.isEmpty():
+            return found
+        front = rest.select("_keep", F.col("path").alias("_path"), F.col("value").alias("_value"))
+
+
+def _opened(front: DataFrame, values: Keep | None) -> DataFrame:
+    """Nodes of the next ``LEVELS`` levels; ``closed`` ones are containers that go on."""
+    tvf = front.sparkSession.tvf
+
+    def node(path: Column, type_: Column, value: Column) -> Column:
+        kept = F.lit(None).cast("variant") if values is None else F.when(values(path, type_), value)
+        return F.struct(path.alias("path"), type_.alias("type"), kept.alias("value"), F.lit(False).alias("closed"))
+
+    # Containers that a row stands for, being their first member.
+    none = F.array().cast("array<struct<path:string,type:string,value:variant,closed:boolean>>")
+    level = front.withColumn("_chain", none)
+    for _ in range(LEVELS):
+        opened = level.lateralJoin(tvf.variant_explode_outer(F.col("_value").outer()))
+        inside, member = F.col("pos").isNotNull(), F.col("key").isNotNull()
+        parent = node(F.col("_path"), F.when(member, "object").otherwise("array"), F.col("_value"))
+        child = F.when(member, _child_path(F.col("_path"), F.col("key"))).otherwise(
+            F.concat("_path", F.lit("["), F.col("pos").cast("string"), F.lit("]"))
+        )
+        level = opened.select(
+            "_keep",
+            F.when(inside, child).otherwise(F.col("_path")).alias("_path"),
+            F.when(inside, F.col("value")).otherwise(F.col("_value")).alias("_value"),
+            F.when(~inside, F.col("_chain"))
+            .when(F.col("pos") == 0, F.concat("_chain", F.array(parent))).otherwise(none).alias("_chain"),
+        )
+    last = level.withColumn("_type", value_type(F.col("_value")))
+    closed = F.col("_type").isin("object", "array") & ~F.to_json("_value").isin("{}", "[]")
+    whole = F.struct(
+        F.col("_path").alias("path"), F.col("_type").alias("type"), F.col("_value").alias("value"),
+        F.lit(True).alias("closed"),
     )
-    return found.select(
-        *keep, "n.path", value_type(F.col("n.value")).alias("type"), "n.value"
+    own = F.when(closed, whole).otherwise(node(F.col("_path"), F.col("_type"), F.col("_value")))
+    every = last.select("_keep", F.explode_outer(F.concat("_chain", F.array(own))).alias("_node"))
+    return every.where(F.col("_node.type").isNotNull()).select("_keep", "_node.*")
+
+
+def body_of(docs: DataFrame) -> Column:
+    """The documents' bodies: as parsed before (``_source``), else from their text."""
+    return F.col("_source") if "_source" in docs.columns else parse_document(F.col("raw"))
+
+
+def document_nodes(docs: DataFrame, root: str, *keep: str, values: Keep | None = None) -> DataFrame:
+    """``keep`` and one row ``(path, type, value)`` per node below the root of each document.
+
+    Text that is not one whole object has none. ``values`` as for ``walk``.
+    """
+    bodies = docs.select(F.struct(*keep).alias("_keep"), body_of(docs).alias("_value"))
+    members = bodies.lateralJoin(docs.sparkSession.tvf.variant_explode_outer(F.col("_value").outer()))
+    tops = members.where(F.col("key").isNotNull()).select(
+        *[F.col("_keep")[k].alias(k) for k in keep],
+        _child_path(F.lit(root), F.col("key")).alias("_top"), F.col("value").alias("_body"),
     )
+    return walk(tops, F.col("_body"), F.col("_top"), *keep, values=values)

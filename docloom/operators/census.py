@@ -98,7 +98,12 @@ def type_family(docs: DataFrame, declared: dict[str, str]) -> DataFrame:
     """
     pairs = [F.lit(x) for item in declared.items() for x in item]
     types = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
-    found = V.document_nodes(docs, "$", "_index")
+    # Only these families look into a container.
+    looked = [path for path, type_ in declared.items() if type_ in ("completion", "geo_point", "geo_shape")]
+    found = V.document_nodes(
+        docs, "$", "_index",
+        values=lambda path, type_: ~type_.isin("object", "array") | V.field_path(path).isin(*looked),
+    )
     rows = found.where(V.is_member(F.col("path"))).select(
         "_index", V.field_path(F.col("path")).alias("path"), "type", "value",
         F.try_variant_get("value", "$", "double").alias("number"),

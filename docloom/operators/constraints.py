@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.values import parse_object
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -73,8 +75,11 @@ def properties(
     name: str, raw: Column, least: int | None = None, most: int | None = None,
     only: Iterable[str] | None = None,
 ) -> Rule:
-    """Number of members of a JSON object, and the members allowed when others are not."""
-    keys = F.json_object_keys(raw)
+    """Number of members of a JSON object, and the members allowed when others are not.
+
+    Text that is not one whole object, or that gives a key twice, is not checked.
+    """
+    keys = F.map_keys(parse_object(raw))
     broken = _outside(F.size(keys), least, most)
     if only is not None:
         broken = broken | (F.size(F.array_except(keys, F.array(*map(F.lit, only)))) > 0)

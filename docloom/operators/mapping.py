@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.analysis import standard_lower
-from docloom.functions.rows import explode_rows, let
+from docloom.functions.rows import let
 from docloom.functions.values import (
-    field_path, geo_point_subtype, nodes, number_mode, parse_document, steps, value_type,
+    body_of, field_path, geo_point_subtype, nodes, number_mode, parse_document, steps, value_type, walk,
 )
 
 # Declared type and the Spark type of its column.
@@ -253,12 +253,14 @@ def range_of(v: Column, read: Callable[[Column], Column]) -> Column:
 def apply_mapping(docs: DataFrame, mapping: list[Field], *keep: str) -> DataFrame:
     """Typed columns beside ``keep``, with ``_ignored`` and ``_malformed`` field names.
 
-    A document with a non-empty ``_malformed`` belongs in quarantine. An explicit null takes
-    ``null_value``, a missing field does not; text longer than ``ignore_above`` becomes NULL.
+    A document with a non-empty ``_malformed`` belongs in quarantine; one whose text is not one whole
+    object has ``_source`` there. An explicit null takes ``null_value``, a missing field does not; text
+    longer than ``ignore_above`` becomes NULL. See ``observed_arrays`` for fields of several values.
     """
-    body = docs.withColumn("_body", parse_document(F.col("raw")))
+    body = docs.withColumn("_body", body_of(docs))
     raw = [F.try_variant_get("_body", f.path, "variant").alias(f"_v_{f.name}") for f in mapping]
-    values = body.select(*keep, *raw)
+    object_ = F.try_variant_get("_body", "$", "map<string,variant>").isNotNull()
+    values = body.select(*keep, *raw, object_.alias("_whole"))
     values = values.select(
         "*", *[typed(F.col(f"_v_{f.name}"), f).alias(f"_t_{f.name}") for f in mapping]
     )
@@ -286,6 +288,8 @@ def apply_mapping(docs: DataFrame, mapping: list[Field], *keep: str) -> DataFram
             for f in mapping
             if f.ignore_malformed == ignored
         ]
+        if not ignored:
+            names.append(F.when(~F.col("_whole"), "_source"))
         found = F.array(*names) if names else F.array().cast("array<string>")
         return F.filter(found, lambda name: name.isNotNull())
 
@@ -300,43 +304,63 @@ def is_quarantined() -> Column:
     return F.size("_malformed") > 0
 
 
-def unmapped_keys(raw: Column, mapped: list[str]) -> Column:
-    """Top-level keys outside the mapping, in text order."""
-    return F.array_except(F.json_object_keys(raw), F.array(*map(F.lit, mapped)))
+def observed_arrays(docs: DataFrame, mapping: list[Field]) -> list[Field]:
+    """The mapping with ``many`` set for every field that holds an array in some document.
+
+    A field may hold one value or several without saying so; one pass over the documents tells which
+    do. A flag per mapped field reaches the driver. Types that take arrays as one value keep their form.
+    """
+    own = ("geo_point", "geo_shape", "completion", "nested", "dense_vector", "alias")
+    asked = [f for f in mapping if not f.many and f.type not in own]
+    if not asked:
+        return mapping
+    body = docs.select(body_of(docs).alias("_body"))
+    flags = body.agg(*[
+        F.max(F.try_variant_get("_body", f.path, "array<variant>").isNotNull()).alias(f"f{i}")
+        for i, f in enumerate(asked)
+    ]).first()
+    several = {f.name for i, f in enumerate(asked) if flags[i]}
+    return [replace(f, many=True) if f.name in several else f for f in mapping]
 
 
 def dynamic_policy(docs: DataFrame, mapped: list[str], policy: str) -> DataFrame:
-    """Handle keys the mapping does not know.
+    """Handle keys the mapping does not know; ``unmapped`` lists them in text order.
 
     ``true`` adds them with an inferred type (``added``: key to class and width), ``runtime``
     keeps their values undecided (``runtime``: key to VARIANT), ``false`` ignores them, and
-    ``strict`` marks the document as ``rejected``.
+    ``strict`` marks the document as ``rejected``. Under every policy text that is not one whole object
+    is rejected, and has no unmapped keys (NULL).
     """
     if policy not in ("true", "runtime", "false", "strict"):
         raise ValueError(f"unknown policy {policy}")
-    unknown = docs.withColumn("unmapped", unmapped_keys(F.col("raw"), mapped))
-    if policy == "strict":
-        return unknown.withColumn("rejected", F.size("unmapped") > 0)
-    if policy == "false":
-        return unknown.withColumn("rejected", F.lit(False))
-    members = F.map_filter(
-        F.from_json("raw", "map<string,variant>"),
-        lambda key, _: F.array_contains(F.col("unmapped"), key),
-    )
-    if policy == "runtime":
-        return unknown.withColumn("runtime", members)
-    inferred = F.transform_values(
-        members,
-        lambda _, v: F.when(
-            value_type(v) == "number", number_mode(F.try_variant_get(v, "$", "double"))
-        ).otherwise(value_type(v)),
+    members = F.try_variant_get(body_of(docs), "$", "map<string,variant>")
+    keys = F.col("_keys") if "_keys" in docs.columns else F.json_object_keys("raw")
+    known = F.array(*map(F.lit, mapped)).cast("array<string>")
+    unknown = docs.withColumn("_members", members).withColumn(
+        "unmapped", F.when(F.col("_members").isNotNull(), F.array_except(keys, known))
     )
-    return unknown.withColumn("added", inferred)
+    rejected = F.col("_members").isNull()
+    if policy == "strict":
+        rejected = rejected | (F.size("unmapped") > 0)
+    unknown = unknown.withColumn("rejected", rejected)
+    if policy in ("true", "runtime"):
+        found = F.map_filter("_members", lambda key, _: F.array_contains(F.col("unmapped"), key))
+        if policy == "true":
+            found = F.transform_values(
+                found,
+                lambda _, v: F.when(
+                    value_type(v) == "number", number_mode(F.try_variant_get(v, "$", "double"))
+                ).otherwise(value_type(v)),
+            )
+        unknown = unknown.withColumn("added" if policy == "true" else "runtime", found)
+    return unknown.drop("_members")
 
 
 def enabled_false(docs: DataFrame, path: str, name: str) -> DataFrame:
-    """The object at ``path`` kept as text, neither typed nor checked."""
-    return docs.withColumn(name, F.get_json_object("raw", path))
+    """The object at ``path`` kept as text, neither typed nor checked; NULL where the document is not
+    one whole object."""
+    whole = F.try_variant_get(body_of(docs), "$", "map<string,variant>").isNotNull()
+    return docs.withColumn(name, F.when(whole, F.get_json_object("raw", path)))
 
 
 def copy_targets(paths: list[str], target: str) -> list[str]:
@@ -386,10 +410,11 @@ def flattened_leaves(
     An explicit null takes ``null_value`` or is left out, as is text longer than
     ``ignore_above``. A leaf nested deeper than ``depth_limit``, if one is given, raises.
     """
-    body = F.try_variant_get(parse_document(F.col("raw")), path, "variant")
+    body = F.try_variant_get(body_of(docs), path, "variant")
     bodies = docs.select(*keep, body.alias("body"))
-    found = explode_rows(bodies, nodes(F.col("body"), F.lit("$")), "n", *keep)
-    found = found.select(*keep, "n.path", "n.value", value_type(F.col("n.value")).alias("type"))
+    found = walk(
+        bodies, F.col("body"), F.lit("$"), *keep, values=lambda _, type_: ~type_.isin("object", "array")
+    )
     text = F.when(F.col("type") == "null", F.lit(null_value)).otherwise(
         F.try_variant_get("value", "$", "string")
     )

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.functions.values import label_text, number_text, parse_object, value_type
+from docloom.functions.values import body_of, label_text, number_text, value_type
 from docloom.session import materialize
+from docloom.sources.documents import parsed_once
 
 # Samples kept per field, and the presence (percent) a kind field needs.
 SAMPLES_PER_FIELD = 30
@@ -24,10 +25,29 @@ PREFERRED_KEY = "type"
 TYPES = ("string", "number", "boolean", "null", "array", "object")
 
 
-def whole_objects(docs: DataFrame) -> DataFrame:
-    """The documents whose text is one JSON object without duplicate keys; the others have no
-    fields, name no kind, and are in no total."""
-    return docs.where(parse_object(F.col("raw")).isNotNull())
+def _members(docs: DataFrame) -> tuple[Column, Column]:
+    """Members of the documents by key, NULL unless the body is one whole object, and its keys in order."""
+    members = F.try_variant_get(body_of(docs), "$", "map<string,variant>")
+    return members, F.col("_keys") if "_keys" in docs.columns else F.json_object_keys("raw")
+
+
+def document_fields(docs: DataFrame) -> DataFrame:
+    """One row per whole document and top-level key: ``(_index, seq, pos, key, value, type, first)``.
+
+    A document without any key has one row too, with a null key. ``first`` marks one row of each document,
+    so that rows of fields also count documents. Text that is not one whole object has no rows.
+    """
+    members, keys = _members(docs)
+    parsed = docs.select("_index", "seq", members.alias("members"), keys.alias("keys"))
+    places = F.when(F.col("members").isNotNull(), F.col("keys"))
+    opened = parsed.select("_index", "seq", "members", F.posexplode_outer(places).alias("pos", "key"))
+    # The condition needs what the explosion gives; one on the members alone would be moved below it
+    # and parse every document again.
+    there = opened.where(F.coalesce(F.col("pos"), F.size("members")) >= 0)
+    value = F.element_at("members", F.col("key"))
+    return there.select("_index", "seq", "pos", "key", value.alias("value")).select(
+        "*", value_type(F.col("value")).alias("type"), (F.coalesce("pos", F.lit(0)) == 0).alias("first")
+    )
 
 
 def fields(docs: DataFrame) -> DataFrame:
@@ -37,16 +57,7 @@ def fields(docs: DataFrame) -> DataFrame:
     keys are not, members are not descended into, and text that is not one whole object has no
     fields.
     """
-    keys = F.json_object_keys("raw")
-    parsed = docs.select("_index", "seq", parse_object(F.col("raw")).alias("members"), keys.alias("keys"))
-    places = F.when(F.col("members").isNotNull(), F.col("keys"))
-    return (
-        # The outer form parses once; a plain explode would add a filter that parses again.
-        parsed.select("_index", "seq", "members", F.posexplode_outer(places).alias("pos", "key"))
-        .where(F.col("key").isNotNull())
-        .select("_index", "seq", "pos", "key", F.element_at("members", F.col("key")).alias("value"))
-        .withColumn("type", value_type(F.col("value")))
-    )
+    return document_fields(docs).where(F.col("key").isNotNull()).drop("first")
 
 
 def _type_code(type_: Column) -> Column:
@@ -75,8 +86,8 @@ def stats_type() -> Column:
     return F.when(F.col("any_string") == 1, "string").otherwise(_type_name(F.col("last_code")))
 
 
-def field_stats(exploded: DataFrame) -> DataFrame:
-    """Count, first place, and type per field, from ``fields``.
+def field_stats(exploded: DataFrame, *more: Column) -> DataFrame:
+    """Count, first place, and type per field, from ``fields``, and ``more`` aggregates.
 
     Everything aggregates into number buffers, so the map side combines in a hash table: few
     keys, many rows. The first place is a pair of ``seq`` and position, any ``seq`` will do.
@@ -90,11 +101,9 @@ def field_stats(exploded: DataFrame) -> DataFrame:
             F.max("seq").alias("last_seq"),
             F.max_by(_type_code(F.col("type")), "seq").alias("last_code"),
             F.max(F.when(F.col("type") == "string", 1).otherwise(0)).alias("any_string"),
+            *more,
         )
-        .select(
-            "_index", "key", "cnt", "first_seq", "first_pos", "last_seq", "last_code", "any_string",
-            stats_type().alias("type"),
-        )
+        .withColumn("type", stats_type())
     )
 
 
@@ -114,10 +123,15 @@ def percent(count: Column, total: Column) -> Column:
 
 
 def field_profile(docs: DataFrame) -> DataFrame:
-    """Per field: count, type, presence in percent, and its order in the profile."""
-    totals = whole_objects(docs).groupBy("_index").agg(F.count(F.lit(1)).alias("total"))
+    """Per field: count, type, presence in percent, and its order in the profile.
+
+    One aggregate over the fields gives both the fields' counts and, from the first row of each
+    document, the totals; what is joined is a row per field.
+    """
+    stats = materialize(field_stats(document_fields(docs), F.count_if("first").alias("documents")), "field-stats")
+    totals = stats.groupBy("_index").agg(F.sum("documents").alias("total"))
     return (
-        field_stats(fields(docs))
+        stats.where(F.col("key").isNotNull())
         .join(totals, "_index")
         .select(
             "_index", "key", "cnt", "type",
@@ -212,22 +226,22 @@ def chosen_kind_fields(docs: DataFrame, **rules) -> DataFrame:
 
 
 def with_kind(docs: DataFrame, kind_fields: DataFrame) -> DataFrame:
-    """Add ``kind``: the text of the collection's kind field in each whole document.
+    """Whole documents, parsed, with ``kind``: the text of the collection's kind field.
 
     A missing field gives ``undefined``, null gives ``null``. Collections without a kind field
-    get their own name.
+    get their own name. Text that is not one whole object is left out; documents that were not parsed
+    before are, and are written.
     """
-    value = F.try_element_at(F.col("_members"), F.col("kind_field"))
+    value = F.try_element_at(F.try_variant_get("_source", "$", "map<string,variant>"), F.col("kind_field"))
+    whole = parsed_once(docs).where(F.col("_source").isNotNull())
     return (
-        docs.join(kind_fields, "_index")
-        .withColumn("_members", parse_object(F.col("raw")))
-        .where(F.col("_members").isNotNull())
+        whole.join(kind_fields, "_index")
         .withColumn("_value", value)
         .withColumn(
             "kind",
             F.when(F.col("kind_field") == "", F.col("_index")).otherwise(label_text(F.col("_value"))),
         )
-        .drop("_members", "_value")
+        .drop("_value")
     )
 
 
@@ -262,6 +276,7 @@ def collection_profile(docs: DataFrame, excluded: tuple[str, ...] = EXCLUDED_KEY
     fields, and ``kind`` names; the last two columns give their order of appearance. Rows, not lists: a
     field with a value per document can name the kind, and lists of those would not fit a task.
     """
+    docs = parsed_once(docs, "_index", "seq")
     profile = materialize(field_profile(docs))
     chosen = materialize(kind_field(profile, excluded).select("_index", "kind_field"))
     names = kind_candidates(profile).select(

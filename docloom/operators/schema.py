@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.values import (
-    ancestors, document_nodes, field_path, is_member, leads_arrays, parse_document, value_type,
+    ancestors, body_of, document_nodes, field_path, is_member, leads_arrays, value_type,
 )
 from docloom.session import materialize
 
@@ -110,11 +110,11 @@ def merged_template(kinded: DataFrame) -> DataFrame:
         )
     )
     deciders = alive.select("_index", F.col("last").alias("seq")).distinct()
-    deciding = kinded.select("_index", "_id", "seq", "kind", "raw").join(
-        deciders, ["_index", "seq"], "left_semi"
-    )
+    deciding = kinded.join(deciders, ["_index", "seq"], "left_semi")
     values = (
-        document_nodes(deciding, ROOT, "_index", "kind", "seq")
+        document_nodes(
+            deciding, ROOT, "_index", "kind", "seq", values=lambda _, type_: ~type_.isin("object", "array")
+        )
         .select(
             "_index", "kind", "path", F.col("seq").alias("last"), F.to_json("value").alias("value")
         )
@@ -249,7 +249,7 @@ def kind_union(kinded: DataFrame, merged: DataFrame) -> DataFrame:
     holds the value of documents that have something else there. A member that a document lacks is
     NULL; no document is left out.
     """
-    parsed = kinded.withColumn("_body", parse_document(F.col("raw")))
+    parsed = kinded.withColumn("_body", body_of(kinded))
 
     def column(path: str, type_: str) -> Column:
         value = F.try_variant_get("_body", path, "variant")

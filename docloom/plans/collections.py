@@ -163,7 +163,7 @@ _KINDS = X.FIELDS_SQL + """,
 
 
 def _kinded(spark, sf):
-    docs = X.collections(spark, sf)
+    docs = D.parsed_once(X.collections(spark, sf), "_index", "seq")
     return P.with_kind(docs, P.chosen_kind_fields(docs))
 
 

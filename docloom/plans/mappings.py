@@ -44,6 +44,19 @@ def typed_projection(spark, sf):
     )
 
 
+@query(
+    "observed_arrays",
+    "WITH " + X.MIXED_ROWS_SQL + """
+    SELECT seq, id, CASE WHEN origin = 'customer' THEN 'n' || nation || CASE WHEN id % 2 = 0 THEN ',even' ELSE '' END
+      WHEN origin = 'supplier' THEN CASE WHEN id % 2 = 0 THEN 's' ELSE '' END END AS tags FROM mixed_rows""",
+)
+def observed_arrays(spark, sf):
+    docs = X.mixed_docs(spark, sf)
+    mapping = M.observed_arrays(docs, [M.Field("id", "$.id", "long"), M.Field("tags", "$.tags", "keyword")])
+    mapped = M.apply_mapping(docs, mapping, "seq").where(~M.is_quarantined())
+    return mapped.select("seq", "id", F.array_join("tags", ",").alias("tags"))
+
+
 @query("coerce", _LOOSE + f" SELECT seq, {_COERCED} AS lenient, {_EXACT} AS exact FROM loose")
 def coerce(spark, sf):
     mapping = [
@@ -58,14 +71,15 @@ def coerce(spark, sf):
     _LOOSE + f"""
     SELECT seq, CASE WHEN {_COERCED} = 'x' THEN '' ELSE {_COERCED} END AS n,
       CASE WHEN {_COERCED} = 'x' THEN 'n' ELSE '' END AS ignored, day = 'soon' AS quarantined
-    FROM loose""",
+    FROM loose
+    UNION ALL SELECT -seq, '', '', true FROM loose WHERE seq % 97 = 5""",
 )
 def ignore_malformed(spark, sf):
     mapping = [
         M.Field("n", "$.n", "integer", ignore_malformed=True),
         M.Field("day", "$.day", "date", format="yyyy/MM/dd||dd-MM-yyyy"),
     ]
-    mapped = M.apply_mapping(X.loose_docs(spark, sf), mapping, "seq")
+    mapped = M.apply_mapping(X.with_broken(X.loose_docs(spark, sf)), mapping, "seq")
     return mapped.select(
         "seq", _text("n"), F.array_join("_ignored", ",").alias("ignored"),
         M.is_quarantined().alias("quarantined"),
@@ -144,11 +158,14 @@ MAPPED_KEYS = ["id", "n", "label", "day", "span", "tree", "items"]
     UNION ALL SELECT 'runtime', key, '', count(*) FROM per_key GROUP BY key
     UNION ALL SELECT 'false', '', CASE WHEN seq % 6 = 0 OR seq % 15 = 0 THEN 'has unmapped' ELSE 'all mapped' END,
       count(*) FROM loose GROUP BY 3
+    UNION ALL SELECT policy, '', 'unreadable', count(*) FROM loose, (VALUES ('false'), ('strict')) p(policy)
+      WHERE seq % 97 = 5 GROUP BY 1
     UNION ALL SELECT 'strict', '', CASE WHEN seq % 6 = 0 OR seq % 15 = 0 THEN 'rejected' ELSE 'accepted' END,
       count(*) FROM loose GROUP BY 3""",
 )
 def dynamic_policy(spark, sf):
-    docs = X.loose_docs(spark, sf)
+    docs = X.with_broken(X.loose_docs(spark, sf))
+    unreadable = F.when(F.col("unmapped").isNull() & F.col("rejected"), "unreadable")
 
     def counted(policy, rows, *keys):
         grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("documents"))
@@ -160,12 +177,12 @@ def dynamic_policy(spark, sf):
     runtime = M.dynamic_policy(docs, MAPPED_KEYS, "runtime").select(
         F.explode(F.map_keys("runtime")).alias("key"), F.lit("").alias("detail")
     )
-    has_unmapped = F.when(F.size("unmapped") > 0, "has unmapped").otherwise("all mapped")
+    has_unmapped = unreadable.when(F.size("unmapped") > 0, "has unmapped").otherwise("all mapped")
     ignored = M.dynamic_policy(docs, MAPPED_KEYS, "false").select(
         F.lit("").alias("key"), has_unmapped.alias("detail")
     )
     strict = M.dynamic_policy(docs, MAPPED_KEYS, "strict").select(
-        F.lit("").alias("key"), F.when(F.col("rejected"), "rejected").otherwise("accepted").alias("detail")
+        F.lit("").alias("key"), unreadable.when(F.col("rejected"), "rejected").otherwise("accepted").alias("detail")
     )
     return (
         counted("true", added, "key", "detail")
@@ -178,10 +195,12 @@ def dynamic_policy(spark, sf):
 @query(
     "enabled_false",
     _LOOSE + """
-    SELECT seq, '{"a":{"b":' || user_id || ',"c":null},"d":"' || event_type || '"}' AS tree FROM loose""",
+    SELECT seq, '{"a":{"b":' || user_id || ',"c":null},"d":"' || event_type || '"}' AS tree FROM loose
+    UNION ALL SELECT -seq, NULL FROM loose WHERE seq % 97 = 5""",
 )
 def enabled_false(spark, sf):
-    return M.enabled_false(X.loose_docs(spark, sf), "$.tree", "tree").select("seq", "tree")
+    docs = X.with_broken(X.loose_docs(spark, sf))
+    return M.enabled_false(docs, "$.tree", "tree").select("seq", "tree")
 
 
 @query(

@@ -303,7 +303,7 @@ def chk_properties(spark, sf):
     rule = C.properties(
         "properties", F.col("raw"), 5, 8, ["kind", "id", "cust", "status", "info"]
     )
-    return C.violations(X.mixed_docs(spark, sf), "seq", [rule])
+    return C.violations(X.with_broken(X.mixed_docs(spark, sf)), "seq", [rule])
 
 
 @query(

@@ -8,6 +8,7 @@ from docloom.operators import profile as P
 from docloom.operators import schema as S
 from docloom.plans.registry import query
 from docloom.session import materialize, scratch_path
+from docloom.sources.documents import parsed_once
 from docloom.sources import fixtures as X
 
 # Every node of the mixed collection below the root, with what it was set to and when.
@@ -46,7 +47,8 @@ _EVENTS = (
 
 
 def _kinded(docs):
-    """Documents with their kind, written once: what follows reads them several times."""
+    """Documents with their kind, parsed and written once: what follows reads them several times."""
+    docs = parsed_once(docs)
     return materialize(P.with_kind(docs, P.chosen_kind_fields(docs)), "kinded")
 
 

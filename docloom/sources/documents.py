@@ -24,6 +24,24 @@ def with_source(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_source", parse_document(F.col("raw")))
 
 
+def parsed_once(docs: DataFrame, *keep: str) -> DataFrame:
+    """Documents with their body parsed, written so that whatever reads them parses no text again.
+
+    Adds ``_source``, the body where it is one whole JSON object and else NULL, and ``_keys``, its keys in
+    the order of the text; ``keep`` names the other columns, all of them by default. Functions that take
+    documents use these columns where they are.
+    """
+    if "_source" in docs.columns:
+        return docs
+    rows = docs.select(*(keep or docs.columns), parse_document(F.col("raw")).alias("_body"), F.json_object_keys("raw").alias("_all"))
+    # The type of the body comes from the members that are looked up, not from a look at all of it.
+    whole = F.try_variant_get("_body", "$", "map<string,variant>").isNotNull()
+    parsed = rows.select(
+        *(keep or docs.columns), F.when(whole, F.col("_body")).alias("_source"), F.when(whole, F.col("_all")).alias("_keys")
+    )
+    return materialize(parsed, "parsed")
+
+
 def envelope(docs: DataFrame) -> DataFrame:
     """The three service columns: collection name, document id, body."""
     return with_source(docs).select(*ENVELOPE)

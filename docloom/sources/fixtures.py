@@ -35,6 +35,17 @@ def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_broken(docs: DataFrame) -> DataFrame:
+    """``docs`` and, for some of them, a broken copy with a negative ``seq``: a key given twice, text behind
+    the object, an object cut short, or an array."""
+    broken = docs.where("seq % 97 = 5").select(
+        "_index", "_id", (-F.col("seq")).alias("seq"),
+        F.expr("""case seq % 4 when 0 then concat('{"id": 0, ', substr(raw, 2)) when 1 then concat(raw, ' x')
+                  when 2 then '{broken' else '[1]' end""").alias("raw"),
+    )
+    return docs.unionByName(broken)
+
+
 EVENT_FIELDS_SQL = """
   event_rows AS (
     SELECT event_id AS seq, event_type, user_id, event_id, regexp_extract(props, '[0-9]+') AS k

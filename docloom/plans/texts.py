@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import analysis as A
 from docloom.functions.rows import explode_rows
+from docloom.operators import index as I
 from docloom.operators import terms as T
-from docloom.plans.registry import query
+from docloom.plans.registry import ORACLES, query
 from docloom.session import scratch_path
 from docloom.sources.tables import table
 
@@ -368,6 +372,82 @@ def rank_boolean(spark, sf):
     return T.rank_boolean(_documents(spark, sf), "doc_id", "text", A.standard_lower, ASKED, 50)
 
 
+def _index(spark, sf):
+    """The documents' text and source, indexed."""
+    path = scratch_path(spark, "index")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    fields = {"text": ("text", A.standard_lower), "source": ("source", A.standard_lower)}
+    I.build_index(docs, "doc_id", fields, path)
+    return path
+
+
+def _register_stored(model, boost, k):
+    @query(f"stored_{model}", ORACLES[f"rank_{model}"])
+    def stored(spark, sf):
+        return I.search(spark, _index(spark, sf), {"text": ASKED}, k, model, {"text": boost}, "doc_id")
+
+
+for _model, _boost in (("bm25", 2.0), ("classic", 1.0), ("boolean", 1.0)):
+    _register_stored(_model, _boost, 50)
+
+
+_SOURCE_SQL = r"list_filter(regexp_split_to_array(lower(source), '[^\p{L}\p{N}]+'), lambda t: t <> '')"
+# Terms asked for in the source, one of many documents.
+ASKED_SOURCES = ["src1", "src3", "nowhere"]
+
+
+@query(
+    "stored_fields",
+    _FOUND + f""", lengths AS (
+      SELECT doc_id, len(list_filter({_WORDS_SQL}, lambda t: t <> '')) AS dl FROM documents),
+    corpus AS (SELECT count(*) AS n, avg(dl) AS mean FROM lengths),
+    by_text AS (
+      SELECT doc_id, sum(ln(1 + (n - doc_freq + 0.5) / (doc_freq + 0.5)) * freq * 2.2
+        / (freq + 1.2 * (0.25 + 0.75 * dl / mean))) AS score
+      FROM freqs JOIN stats USING (term) JOIN lengths USING (doc_id) CROSS JOIN corpus
+      WHERE term IN ({_ASKED_SQL}) GROUP BY 1),
+    source_lists AS (SELECT doc_id, {_SOURCE_SQL} AS toks FROM documents),
+    source_corpus AS (SELECT count(*) AS n, avg(len(toks)) AS mean FROM source_lists),
+    source_freqs AS (
+      SELECT doc_id, term, count(*) AS freq, any_value(dl) AS dl
+      FROM (SELECT doc_id, unnest(toks) AS term, len(toks) AS dl FROM source_lists) GROUP BY 1, 2),
+    source_stats AS (SELECT term, count(*) AS doc_freq FROM source_freqs GROUP BY 1),
+    by_source AS (
+      SELECT doc_id, sum(3.5 * ln(1 + (n - doc_freq + 0.5) / (doc_freq + 0.5)) * freq * 2.2
+        / (freq + 1.2 * (0.25 + 0.75 * dl / mean))) AS score
+      FROM source_freqs JOIN source_stats USING (term) CROSS JOIN source_corpus
+      WHERE term IN ({_sql_list(ASKED_SOURCES)}) GROUP BY 1)
+    SELECT doc_id, round(sum(score), 6) AS score
+    FROM (SELECT * FROM by_text UNION ALL SELECT * FROM by_source)
+    GROUP BY 1 ORDER BY score DESC, doc_id LIMIT 40""",
+)
+def stored_fields(spark, sf):
+    asked = {"text": ASKED, "source": ASKED_SOURCES}
+    return I.search(spark, _index(spark, sf), asked, 40, "bm25", {"source": 3.5}, "doc_id")
+
+
+_COMPLETE_SQL = """SELECT '{start}' AS prefix, input, weight FROM (
+      SELECT input, max(p_size) AS weight FROM (
+        SELECT substr(array_to_string(list_filter(regexp_split_to_array(lower(p_name), '[^\\p{{L}}]+'),
+          lambda t: t <> ''), ' '), 1, 20) AS input, p_size FROM part)
+      WHERE starts_with(input, '{start}') GROUP BY 1 ORDER BY weight DESC, input LIMIT {k})"""
+STARTS = {"": 7, "r": 10, "re": 120, "red": 10, "red s": 10}
+
+
+@query(
+    "complete_stored",
+    " UNION ALL ".join(f"SELECT * FROM ({_COMPLETE_SQL.format(start=p, k=k)})" for p, k in STARTS.items()),
+)
+def complete_stored(spark, sf):
+    path = scratch_path(spark, "completions")
+    I.build_completions(table(spark, sf, "part"), "p_name", "p_size", path, 20)
+    found = [
+        I.complete(spark, path, start.upper(), k).select(F.lit(start).alias("prefix"), "input", "weight")
+        for start, k in STARTS.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     "complete_prefix",
     """SELECT input, max(p_size) AS weight FROM (

@@ -260,11 +260,10 @@ def host_of(url: str | None) -> str:
 
 def _marks(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Four numbers of 30 bits for each count of a page; a token's sums of these stand for its vector."""
-    raw, out = xxhash.xxh3_128_digest(tokens.tobytes()), {}
-    for n in np.unique(counts).tolist():
-        bits = int.from_bytes(xxhash.xxh3_128_digest(raw + n.to_bytes(8, "little")), "little")
-        out[n] = [(bits >> (30 * i)) & 0x3FFFFFFF for i in range(4)]
-    return np.array([out[n] for n in counts.tolist()], np.int64).reshape(-1, 4)
+    raw = xxhash.xxh3_128_digest(tokens.tobytes())
+    some, at = np.unique(counts, return_inverse=True)
+    marks = [np.frombuffer(xxhash.xxh3_128_digest(raw + n.tobytes()), "<u4") for n in some]
+    return (np.array(marks, np.int64).reshape(-1, 4) & 0x3FFFFFFF)[at]
 
 
 class Template:
@@ -336,6 +335,21 @@ class Template:
         return out
 
 
+class Templates:
+    """Templates of hosts, each read from its row once; a bounded number is kept."""
+
+    def __init__(self):
+        self.known: dict[str, Template | None] = {}
+
+    def of(self, host: str, column: pa.Array, place: int) -> Template | None:
+        if host not in self.known:
+            if len(self.known) >= 512:
+                self.known.clear()
+            given = column[place].as_py()
+            self.known[host] = given and Template(given["pages"], given["tokens"], given.get("found"))
+        return self.known[host]
+
+
 def _running(stats: dict) -> set:
     """Slots that hold running text, from (characters, those in links, blocks) of each."""
     plain = {slot: v for slot, v in stats.items() if v[0] and v[1] < LINKED * v[0]}
@@ -465,19 +479,20 @@ def _templates(spark, skeletons: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def occurrences(batches):
         for batch in batches:
-            for host, tokens, places in zip(
-                batch.column("host").to_pylist(), batch.column("tokens"), batch.column("places")
-            ):
+            found = []
+            hosts_, sizes = batch.column("host"), []
+            for tokens, places in zip(batch.column("tokens"), batch.column("places")):
                 row = tokens.values.to_numpy()
-                if not len(row):
-                    continue
                 token, first, n = np.unique(row, return_index=True, return_counts=True)
-                marks = _marks(row, n)
-                text = np.isin(first, places.values.to_numpy())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([host] * len(token)), pa.array(token), pa.array(n), pa.array(first.astype(np.float64)),
-                    pa.array(text), *[pa.array(marks[:, i]) for i in range(4)],
-                ], ["host", "token", "n", "first", "text", "v0", "v1", "v2", "v3"])
+                found.append((token, n, first, np.isin(first, places.values.to_numpy()), _marks(row, n)))
+                sizes.append(len(token))
+            if not found:
+                continue
+            token, n, first, text, marks = (np.concatenate(c) for c in zip(*found))
+            yield pa.RecordBatch.from_arrays([
+                hosts_.take(pa.array(np.repeat(np.arange(len(sizes)), sizes))), pa.array(token), pa.array(n),
+                pa.array(first.astype(np.float64)), pa.array(text), *[pa.array(marks[:, i]) for i in range(4)],
+            ], ["host", "token", "n", "first", "text", "v0", "v1", "v2", "v3"])
 
     # One host or one token may have any number of rows: all of this adds up before it travels.
     summed = skeletons.mapInArrow(occurrences, _TOKEN_ROW).groupBy("host", "token").agg(
@@ -497,16 +512,14 @@ def _templates(spark, skeletons: DataFrame) -> tuple[DataFrame, DataFrame]:
     ), "page-classes")
 
     def observe(batches):
-        known: dict[str, Template] = {}
+        known = Templates()
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                if row["template"] is None:
-                    continue
-                if row["host"] not in known:
-                    known.clear()
-                    known[row["host"]] = Template(row["template"]["pages"], row["template"]["tokens"], None)
-                out += [(row["host"], *o) for o in _observe(known[row["host"]], row)]
+            rows = batch.drop_columns(["template"]).to_pylist()
+            for i, row in enumerate(rows):
+                template = known.of(row["host"], batch.column("template"), i)
+                if template is not None:
+                    out += [(row["host"], *o) for o in _observe(template, row)]
             names = [f.split()[0] for f in _OBSERVED.split(", ")]
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 3]
             columns = list(zip(*out)) or [()] * len(names)
@@ -559,20 +572,12 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     templates, hosts = _templates(pages.sparkSession, skeletons)
 
     def take(batches):
-        known: dict[str, Template] = {}
+        known = Templates()
         for batch in batches:
-            texts = []
-            for row in batch.select(["host", "html", "template"]).to_pylist():
-                template = None
-                if row["template"] is not None:
-                    if row["host"] not in known:
-                        if len(known) >= 256:
-                            known.clear()
-                        known[row["host"]] = Template(
-                            row["template"]["pages"], row["template"]["tokens"], row["template"]["found"]
-                        )
-                    template = known[row["host"]]
-                texts.append(main_text(Page(row["html"]), template))
+            texts = [
+                main_text(Page(html), known.of(host, batch.column("template"), i))
+                for i, (host, html) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()))
+            ]
             yield pa.RecordBatch.from_arrays([
                 batch.column("row"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())
             ], ["row", "text", "n_chars"])

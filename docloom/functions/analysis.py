@@ -59,6 +59,16 @@ def standard(x: Column, max_token_length: int = MAX_TOKEN_LENGTH) -> Column:
     return let(split_tokens(x, NOT_WORD), cut)
 
 
+def unicode_words(x: Column, language: str = "en") -> Column:
+    """Lower-cased words between the word boundaries of Unicode, as the language's rules set them.
+
+    Words keep inner straight apostrophes and decimal points; scripts without spaces are cut by dictionary. Signs
+    alone are no words.
+    """
+    words = F.flatten(F.sentences(x, F.lit(language), F.lit("")))
+    return F.filter(F.transform(words, lambda w: F.lower(w)), lambda w: w.rlike(r"[\p{L}\p{N}]"))
+
+
 def standard_lower(x: Column, max_token_length: int = MAX_TOKEN_LENGTH) -> Column:
     return standard(F.lower(x), max_token_length)
 

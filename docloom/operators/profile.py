@@ -21,6 +21,9 @@ EXCLUDED_KEYS = ("id",)
 # Fixed value: the key that keeps a tie.
 PREFERRED_KEY = "type"
 
+# Ranges of a field's documents that are looked at at once for its samples, and rows ranked without a cut.
+RANGES, RANKED_ROWS = 256, 100_000
+
 # Value classes by code, so that the last class of a field is the maximum of one number.
 TYPES = ("string", "number", "boolean", "null", "array", "object")
 
@@ -145,13 +148,56 @@ def field_probability(docs: DataFrame) -> DataFrame:
     return field_profile(docs).select("_index", "key", "cnt", "probability")
 
 
+def _sample_ends(values: DataFrame, size: int) -> DataFrame:
+    """``(_index, key, high)``: a ``seq`` up to which each field surely has its first ``size`` distinct
+    values, or its last ``seq`` if it has fewer.
+
+    Distinct values are estimated for ``RANGES`` ranges of a field's span of ``seq``; the first range that
+    alone holds enough ends what has to be read, and is itself cut again until few rows are in it. So no
+    more than a few values of each range before it, and the rows of a short one, are compared exactly.
+    """
+    columns = ["_index", "key"]
+    spans = materialize(
+        values.groupBy(*columns).agg(
+            F.min("seq").alias("low"), F.max("seq").alias("high"), F.count(F.lit(1)).alias("rows")
+        ), "sample-spans",
+    )
+    # Spans as decimals: the distance of two positions may not fit a long.
+    start, end = F.col("low").cast("decimal(20,0)"), F.col("high").cast("decimal(20,0)")
+    width = F.ceil((end - start + 1) / F.lit(RANGES)).cast("decimal(20,0)")
+    while not spans.where(F.col("rows") > RANKED_ROWS).isEmpty():
+        wide = spans.where(F.col("rows") > RANKED_ROWS).withColumn("width", width)
+        place = F.floor((F.col("seq").cast("decimal(20,0)") - start) / F.col("width")).cast("int")
+        counted = (
+            values.join(wide, columns).where(F.col("seq").between(F.col("low"), F.col("high")))
+            .groupBy(*columns, place.alias("place"))
+            .agg(F.approx_count_distinct("digest", 0.05).alias("distinct"), F.count(F.lit(1)).alias("inside"))
+        )
+        # Twice the size by estimate is more than the size itself.
+        enough = counted.where(F.col("distinct") >= 2 * size)
+        first = enough.groupBy(*columns).agg(F.min(F.struct("place", "inside")).alias("cut"))
+        low = start + F.col("cut.place") * F.col("width")
+        cut = wide.join(first, columns, "left").select(
+            *columns,
+            F.when(F.col("cut").isNull(), F.col("low")).otherwise(low.cast("bigint")).alias("low"),
+            F.when(F.col("cut").isNull(), F.col("high"))
+            .otherwise(F.least(end, low + F.col("width") - 1).cast("bigint")).alias("high"),
+            # A range of one position cannot be cut, nor one without enough values in any part.
+            F.when(F.col("width") > 1, F.coalesce("cut.inside", F.lit(0))).otherwise(0).cast("bigint").alias("rows"),
+        )
+        spans = materialize(cut.unionByName(spans.where(F.col("rows") <= RANKED_ROWS)), "sample-spans")
+    return spans.select(*columns, "high")
+
+
 def field_samples(docs: DataFrame, size: int = SAMPLES_PER_FIELD) -> DataFrame:
     """The first ``size`` distinct values per field, as ``(_index, key, rank, type, sample)``.
 
     Scalars are equal when class and value are (numbers as doubles, so 1 and 1.0 are one);
-    objects and arrays never equal each other. Values are compared and ranked by digest; their
-    text is fetched at the end, for the samples alone, from the documents that hold them.
+    objects and arrays never equal each other. Values are compared and ranked by digest, and only those
+    up to the ``seq`` by which a field has its samples; their text is fetched at the end, for the samples
+    alone, from the documents that hold them.
     """
+    docs = parsed_once(docs, "_index", "seq")
     exploded = fields(docs)
     scalar = ~F.col("type").isin("array", "object")
     shown = (
@@ -159,12 +205,13 @@ def field_samples(docs: DataFrame, size: int = SAMPLES_PER_FIELD) -> DataFrame:
         .when(F.col("type") == "string", F.try_variant_get("value", "$", "string"))
         .otherwise(F.to_json("value"))
     )
-    columns = ["_index", "key", "type", "digest"]
     # A container is its own value: its place stands for it.
     digest = F.when(scalar, F.sha2(shown, 256)).otherwise(F.col("seq").cast("string"))
+    values = exploded.select("_index", "key", "seq", F.concat("type", digest).alias("digest"))
     firsts = (
-        exploded.select("_index", "key", "type", "seq", digest.alias("digest"))
-        .groupBy(*columns).agg(F.min("seq").alias("seq"))
+        values.join(_sample_ends(values, size), ["_index", "key"])
+        .where(F.col("seq") <= F.col("high"))
+        .groupBy("_index", "key", "digest").agg(F.min("seq").alias("seq"))
     )
     # Values of one key differ in seq: a document holds one value per key.
     order = Window.partitionBy("_index", "key").orderBy("seq")
@@ -174,7 +221,7 @@ def field_samples(docs: DataFrame, size: int = SAMPLES_PER_FIELD) -> DataFrame:
         .select("_index", "key", "seq", "rank"),
         "samples",
     )
-    # Only the documents that hold a sample are parsed for their text.
+    # Only the documents that hold a sample are looked at for their text.
     holders = docs.join(ranked.select("_index", "seq").distinct(), ["_index", "seq"], "left_semi")
     return (
         fields(holders).join(ranked, ["_index", "key", "seq"])
@@ -263,10 +310,42 @@ def distinct_kinds(kinded: DataFrame) -> DataFrame:
 
 
 def field_order(profile: DataFrame, alphabetical: bool = False) -> DataFrame:
-    """Number the fields of each collection, in profile order or by name."""
+    """Number the fields of each collection, in profile order or by name.
+
+    The fields are sorted over all tasks by range; a field's number is its place in its own part and the
+    number of fields of its collection in the parts before, so no task sees a whole collection.
+    """
     order = F.col("key") if alphabetical else F.col("position")
-    numbered = F.row_number().over(Window.partitionBy("_index").orderBy(order))
-    return profile.withColumn("place", numbered)
+    columns = profile.columns
+    dealt = profile.withColumn("_order", order).repartitionByRange("_index", "_order")
+    parts = materialize(dealt.withColumn("_part", F.spark_partition_id()), "field-parts")
+    held = parts.groupBy("_index", "_part").agg(F.count(F.lit(1)).alias("_held"))
+    # A row per part.
+    before = Window.partitionBy("_index").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.select("_index", "_part", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_index", "_part").orderBy("_order"))
+    numbered = parts.withColumn("_inside", inside).join(offsets, ["_index", "_part"])
+    return numbered.select(*columns, (F.col("_before") + F.col("_inside")).cast("int").alias("place"))
+
+
+def cardinality_sketches(docs: DataFrame, precision: int = 14) -> DataFrame:
+    """``(_index, key, values, sketch)``: how many values each field has, and a sketch of the distinct ones.
+
+    Sketches of batches, kinds or collections are merged by ``merged_cardinality``, and may be stored.
+    """
+    rows = fields(docs)
+    digest = F.concat("type", F.to_json("value"))
+    return rows.groupBy("_index", "key").agg(
+        F.count(F.lit(1)).alias("values"), F.hll_sketch_agg(digest, precision).alias("sketch")
+    )
+
+
+def merged_cardinality(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Values, and the estimate of the distinct ones, over all sketches of the same ``keys``."""
+    return sketches.groupBy(*keys).agg(
+        F.sum("values").alias("values"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"),
+    )
 
 
 def collection_profile(docs: DataFrame, excluded: tuple[str, ...] = EXCLUDED_KEYS) -> DataFrame:

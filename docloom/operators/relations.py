@@ -74,3 +74,51 @@ def multi_level(levels: list[tuple[DataFrame, str | None, str | None]]) -> DataF
 def foreign_field(rows: DataFrame, foreign: DataFrame, field: str, foreign_key: str) -> DataFrame:
     """Rows with the foreign row their field names; unresolved ones keep NULLs."""
     return rows.join(foreign, F.col(field) == F.col(foreign_key), "left")
+
+
+def store_routed(rows: DataFrame, key: str, table: str, path: str, buckets: int = 64) -> DataFrame:
+    """Store rows by the hash of their routing key, so that tables of one route and equally many buckets
+    are joined and rolled up without moving a row.
+
+    ``table`` names the table in the session's catalog, ``path`` its folder. Every operator of this module
+    takes the result as it takes other rows.
+    """
+    writer = rows.write.mode("errorifexists").option("path", path).bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(table)
+    return rows.sparkSession.table(table)
+
+
+def store_chain(
+    levels: list[tuple[DataFrame, str | None, str | None]], root_key: str, name: str, path: str, buckets: int = 64,
+) -> list[tuple[DataFrame, str | None, str | None]]:
+    """Store a chain of levels, as ``multi_level`` takes it, by the key of the root each row belongs to.
+
+    Every row gets the route of its root, ``_route0``, ``_route1`` and so on by level, once, when it is
+    stored; a row without a root is not in the chain and is left out. ``multi_level_routed`` then joins
+    without moving rows.
+    """
+    stored, routes = [], None
+    for i, (rows, key, parent_key) in enumerate(levels):
+        route = f"_route{i}"
+        if routes is None:
+            routed = rows.withColumn(route, F.col(root_key))
+        else:
+            routed = rows.join(routes, F.col(parent_key) == F.col("_parent")).drop("_parent").withColumnRenamed("_route", route)
+        table = store_routed(routed.where(F.col(route).isNotNull()), route, f"{name}_{i}", f"{path}/{i}", buckets)
+        stored.append((table, key, parent_key))
+        if i + 1 < len(levels):
+            routes = table.select(F.col(levels[i + 1][1]).alias("_parent"), F.col(route).alias("_route")).distinct()
+    return stored
+
+
+def multi_level_routed(levels: list[tuple[DataFrame, str | None, str | None]]) -> DataFrame:
+    """Join a stored chain by route and key, bucket by bucket.
+
+    The session is told that rows of one route need not be dealt again by the other keys of a join.
+    """
+    (joined, _, _), *rest = levels
+    joined.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    for i, (rows, key, parent_key) in enumerate(rest, 1):
+        same = (F.col(f"_route{i - 1}") == F.col(f"_route{i}")) & (F.col(key) == F.col(parent_key))
+        joined = joined.join(rows.hint("merge"), same)
+    return joined.drop(*[f"_route{i}" for i in range(len(levels))])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.values import (
@@ -15,6 +15,8 @@ from docloom.session import materialize
 ROOT = "_source"
 # Fixed value: the extra kind that carries a collection's full mapping and has no documents.
 MAPPING_KIND = "indexMappingConfig"
+# Members from which on an object counts as a map, and columns of a table of all kinds.
+MAP_MEMBERS, TABLE_COLUMNS = 200, 2000
 
 def _last_seen(kinded: DataFrame) -> DataFrame:
     """Per kind and path the last ``seq`` that set it to a scalar, an object and an array.
@@ -223,11 +225,40 @@ def new_fields(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def fold_maps(merged: DataFrame, most: int = MAP_MEMBERS, columns: int = TABLE_COLUMNS) -> DataFrame:
+    """A merged schema in which objects used as maps have the type ``map`` and no members.
+
+    An object with more than ``most`` members is one: its keys are data that grows with the documents. If
+    more than ``columns`` paths are left, ``most`` is halved, so that a schema of any size
+    becomes a table of bounded width. The root can be a map too, as the path of the documents' body.
+    """
+    rows = materialize(merged.withColumn("_above", ancestors(F.col("path"), ROOT)["path"]), "merged")
+    while True:
+        parents = rows.groupBy("_index", F.try_element_at("_above", F.lit(-1)).alias("path")).agg(
+            F.count(F.lit(1)).alias("members")
+        )
+        maps = parents.where(F.col("members") > most).select("_index", "path")
+        inside = (
+            rows.select("_index", F.col("path").alias("member"), F.explode("_above").alias("path"))
+            .join(maps, ["_index", "path"], "left_semi").select("_index", F.col("member").alias("path")).distinct()
+        )
+        left = rows.join(inside, ["_index", "path"], "left_anti")
+        marked = left.join(maps.withColumn("_map", F.lit(True)), ["_index", "path"], "left")
+        folded = marked.withColumn("type", F.when(F.col("_map"), "map").otherwise(F.col("type"))).drop("_map", "_above")
+        roots = maps.where(F.col("path") == ROOT).join(
+            merged.groupBy("_index").agg(F.min("kind").alias("kind")), "_index"
+        ).select("_index", "path", F.lit("map").alias("type"), "kind")
+        found = materialize(folded.select("_index", "path", "type", "kind").unionByName(roots), "folded")
+        if most <= 1 or found.count() <= columns:
+            return found
+        most //= 2
+
+
 def table_columns(merged: DataFrame) -> list[tuple[str, str, str]]:
     """(column, path, type) of a merged schema, by path.
 
-    The schema reaches the driver, as that of any table does. Members are joined by underscores;
-    of two paths that give one name the second gets a number.
+    The schema reaches the driver, as that of any table does: fold it first. Members are joined by
+    underscores; of two paths that give one name the second gets a number.
     """
     columns, taken = [], set()
     for row in merged.select("path", "type").orderBy("path").collect():
@@ -243,30 +274,73 @@ def table_columns(merged: DataFrame) -> list[tuple[str, str, str]]:
 
 def kind_union(kinded: DataFrame, merged: DataFrame) -> DataFrame:
     """All kinds of a collection as one table, in one scan: ``_index``, ``seq``, ``_kind``, and one
-    column per path of the merged schema.
+    column per path of the merged schema, folded.
 
     Scalars and arrays come as text, arrays as JSON. Where the schema has an object, the column
-    holds the value of documents that have something else there. A member that a document lacks is
-    NULL; no document is left out.
+    holds the value of documents that have something else there; a map has its members as text by key, and
+    a second column for other values. A member that a document lacks is NULL; no document is left out.
     """
     parsed = kinded.withColumn("_body", body_of(kinded))
 
-    def column(path: str, type_: str) -> Column:
+    def text(value: Column) -> Column:
+        kind = value_type(value)
+        return F.when(kind.isin("array", "object"), F.to_json(value)).otherwise(F.try_variant_get(value, "$", "string"))
+
+    def columns(name: str, path: str, type_: str) -> list[Column]:
         value = F.try_variant_get("_body", path, "variant")
         kind = value_type(value)
-        text = F.when(kind == "array", F.to_json(value)).when(
+        plain = F.when(kind == "array", F.to_json(value)).when(
             kind != "object", F.try_variant_get("_body", path, "string")
         )
-        return text if type_ == "object" else text.when(kind == "object", F.to_json(value))
+        if type_ == "object":
+            return [plain.alias(name)]
+        if type_ == "map":
+            members = F.transform_values(F.try_variant_get(value, "$", "map<string,variant>"), lambda _, v: text(v))
+            return [members.alias(name), plain.alias(f"{name}_other")]
+        return [plain.when(kind == "object", F.to_json(value)).alias(name)]
+
+    found = [c for column in table_columns(fold_maps(merged)) for c in columns(*column)]
+    return parsed.select("_index", "seq", F.col("kind").alias("_kind"), *found)
+
+
+# Bytes of text that a file of kinds holds.
+FILE_BYTES = 128 << 20
 
-    return parsed.select(
-        "_index", "seq", F.col("kind").alias("_kind"),
-        *[column(path, type_).alias(name) for name, path, type_ in table_columns(merged)],
-    )
 
+def write_by_kind(kinded: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Documents as Parquet files by kind, their number bounded by bytes, not by kinds.
 
-def write_by_kind(kinded: DataFrame, path: str) -> None:
-    """Documents as Parquet folders, one partition per collection and kind."""
-    kinded.select("_index", "kind", "_id", "seq", "raw").write.mode("errorifexists").partitionBy(
-        "_index", "kind"
-    ).parquet(path)
+    A kind with ``file_bytes`` or more has a folder of its own and as many files as it needs; all others are
+    dealt by hash to folders of about that size. ``path/manifest`` says where each kind is, and
+    ``read_kind`` reads nothing else.
+    """
+    rows = kinded.select("_index", "kind", "_id", "seq", "raw")
+    size = F.sum(F.octet_length("raw").cast("bigint") + 64)
+    kinds = materialize(
+        rows.groupBy("_index", "kind").agg(F.count(F.lit(1)).alias("documents"), size.alias("bytes")), "kinds"
+    )
+    small = F.col("bytes") < file_bytes
+    rest = kinds.where(small).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    tails = max(1, -(-rest // file_bytes))
+    digest = F.xxhash64("_index", "kind")
+    slot = F.when(small, F.concat(F.lit("tail-"), F.pmod(digest, F.lit(tails)).cast("string"))).otherwise(
+        F.concat(F.lit("kind-"), F.hex(digest))
+    )
+    manifest = materialize(
+        kinds.withColumn("slot", slot).withColumn(
+            "files", F.when(small, 1).otherwise(F.ceil(F.col("bytes") / file_bytes)).cast("int")
+        ), "kind-manifest",
+    )
+    manifest.sort("_index", "kind").write.mode("errorifexists").parquet(f"{path}/manifest")
+    placed = rows.join(manifest.select("_index", "kind", "slot", "files"), ["_index", "kind"])
+    part = F.pmod(F.xxhash64("seq", "_id"), "files").cast("int")
+    dealt = placed.withColumn("_part", part).repartition("slot", "_part").sortWithinPartitions("slot", "_index", "kind")
+    dealt.drop("_part", "files").write.mode("errorifexists").partitionBy("slot").parquet(f"{path}/data")
+
+
+def read_kind(spark: SparkSession, path: str, index: str, kind: str) -> DataFrame:
+    """The documents of one kind, from its folder alone; a kind that is not there has none."""
+    here = (F.col("_index") == index) & (F.col("kind") == kind)
+    found = spark.read.parquet(f"{path}/manifest").where(here).select("slot").first()
+    slot = F.lit(False) if found is None else F.col("slot") == found["slot"]
+    return spark.read.parquet(f"{path}/data").where(slot & here).drop("slot")

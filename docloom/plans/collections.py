@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators import profile as P
@@ -196,6 +199,23 @@ def field_order(spark, sf):
     return by_name.select("_index", "key", "seen_place", F.col("place").alias("name_place"))
 
 
+@query(
+    "merged_cardinality",
+    X.FIELDS_SQL + """
+    SELECT _index, key, count(*) AS n, true AS close FROM fields GROUP BY 1, 2""",
+)
+def merged_cardinality(spark, sf):
+    docs = D.parsed_once(X.collections(spark, sf), "_index", "seq")
+    # Sketches of three batches, merged, against the distinct values of all.
+    parts = [P.cardinality_sketches(docs.where(F.col("seq") % 3 == i)) for i in range(3)]
+    merged = P.merged_cardinality(reduce(DataFrame.unionByName, parts), "_index", "key")
+    exact = P.fields(docs).groupBy("_index", "key").agg(
+        F.count_distinct(F.sha2(F.concat("type", F.to_json("value")), 256)).alias("exact")
+    )
+    close = F.abs(F.col("estimate") - F.col("exact")) <= 0.03 * F.col("exact")
+    return merged.join(exact, ["_index", "key"]).select("_index", "key", F.col("values").alias("n"), close.alias("close"))
+
+
 @query(
     "collection_profile",
     _PROFILE + """,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators import constraints as C
 from docloom.operators import relations as R
-from docloom.plans.registry import query
+from docloom.plans.registry import ORACLES, query
 from docloom.session import scratch_path
 from docloom.sources import documents as D
 from docloom.sources import fixtures as X
@@ -69,6 +69,27 @@ def append_validated(spark, sf):
     )
 
 
+@query(
+    "append_repeated",
+    """SELECT form, event_type AS type, count(*) AS documents FROM events, (VALUES ('ids'), ('token')) f(form)
+       GROUP BY ALL""",
+)
+def append_repeated(spark, sf):
+    docs = D.envelope(X.event_docs(spark, sf))
+    half = docs.where("cast(_id as long) % 2 = 0")
+    ids, token = scratch_path(spark, "append"), scratch_path(spark, "append")
+    # A call that got half way, then the whole one twice.
+    for rows in (half, docs, docs):
+        sinks.append_validated(rows, ids, keep_id=True)
+        sinks.append_validated(rows, token, token="batch-1")
+    type_ = F.try_variant_get("_source", "$.type", "string").alias("type")
+    found = [
+        spark.read.parquet(path).select(F.lit(form).alias("form"), type_)
+        for form, path in (("ids", ids), ("token", token))
+    ]
+    return found[0].unionByName(found[1]).groupBy("form", "type").agg(F.count(F.lit(1)).alias("documents"))
+
+
 @query(
     "load_collection",
     "WITH" + X.LINES_SQL + """
@@ -187,6 +208,19 @@ def multi_level(spark, sf):
     return joined.select("c_custkey", "o_orderkey", "l_linenumber", "l_quantity")
 
 
+@query("multi_level_stored", ORACLES["multi_level"])
+def multi_level_stored(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    path = scratch_path(spark, "chain")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    stored = R.store_chain([
+        (_customers(spark, sf), None, None),
+        (_orders(spark, sf).select("o_orderkey", "o_custkey"), "c_custkey", "o_custkey"),
+        (lines, "o_orderkey", "l_orderkey"),
+    ], "c_custkey", name, path, buckets=8)
+    return R.multi_level_routed(stored).select("c_custkey", "o_orderkey", "l_linenumber", "l_quantity")
+
+
 @query(
     "foreign_field",
     """SELECT s_suppkey, s_name, coalesce(n_name, '') AS n_name FROM (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators import profile as P
@@ -190,9 +193,36 @@ def kind_union(spark, sf):
 def write_by_kind(spark, sf):
     path = scratch_path(spark, "by-kind")
     S.write_by_kind(_mixed(spark, sf), path)
-    # A partition without a name reads as null.
-    kind = F.coalesce("kind", F.lit(""))
-    stored = spark.read.schema("_id string, seq long, raw string, _index string, kind string").parquet(path)
-    return stored.groupBy("_index", kind.alias("kind")).agg(
+    return spark.read.parquet(f"{path}/data").groupBy("_index", "kind").agg(
         F.count(F.lit(1)).alias("documents"), F.sum("seq").alias("seq_sum")
     )
+
+
+@query(
+    "read_kind",
+    "WITH " + X.MIXED_ROWS_SQL + """
+    SELECT 'mixed' AS _index, kind, seq FROM mixed_rows WHERE kind IN ('supplier', 'null', '')""",
+)
+def read_kind(spark, sf):
+    path = scratch_path(spark, "by-kind")
+    S.write_by_kind(_mixed(spark, sf), path, file_bytes=1 << 20)
+    found = [S.read_kind(spark, path, "mixed", kind) for kind in ("supplier", "null", "", "nowhere")]
+    return reduce(DataFrame.unionByName, found).select("_index", "kind", "seq")
+
+
+@query(
+    "kind_union_maps",
+    """SELECT 'visits' AS _index, event_id AS seq, event_type AS kind, event_id % 2 = 0 AS has_map,
+         CASE WHEN event_id % 2 = 0 THEN '{"at":' || event_id || '}' END AS value,
+         CASE WHEN event_id % 2 = 1 AND event_id < 50 THEN 'none' END AS other,
+         CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS plain FROM events""",
+)
+def kind_union_maps(spark, sf):
+    kinded = _kinded(X.visit_docs(spark, sf))
+    table = S.kind_union(kinded, S.schema_merge(S.observed_schema(kinded)))
+    user = F.concat(F.lit("u"), F.col("seq").cast("string"))
+    return table.select(
+        "_index", "seq", F.col("type").alias("kind"), F.col("by_user").isNotNull().alias("has_map"),
+        F.try_element_at("by_user", user).alias("value"), F.col("by_user_other").alias("other"),
+        F.col("deep_user").alias("plain"),
+    )

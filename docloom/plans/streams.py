@@ -28,10 +28,9 @@ def _folder(spark, sf) -> str:
 )
 def stream_ingest(spark, sf):
     out = scratch_path(spark, "stream-ingest")
-    for job in J.stream_ingest(spark, _folder(spark, sf), out, max_files=2):
-        job.awaitTermination()
-    valid = spark.read.parquet(f"{out}/valid").select(F.lit("valid").alias("outcome"), "seq")
-    bad = spark.read.parquet(f"{out}/quarantine").select(
+    J.stream_ingest(spark, _folder(spark, sf), out, max_files=2).awaitTermination()
+    valid = J.ingested(spark, out).select(F.lit("valid").alias("outcome"), "seq")
+    bad = J.ingested(spark, out, "quarantine").select(
         F.col("problem").alias("outcome"), F.lit(0).cast("bigint").alias("seq")
     )
     return valid.unionByName(bad).groupBy("outcome").agg(

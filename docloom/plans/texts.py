@@ -53,6 +53,11 @@ _register_corpus(
     f"""flatten(list_transform({_WORDS_SQL}, lambda t:
         list_transform(range(0, CAST(ceil(length(t) / 8.0) AS BIGINT)), lambda i: substr(t, i * 8 + 1, 8))))""",
 )
+# Names are plain words, on which the rules of Unicode and the word pattern agree.
+_register_corpus(
+    "tok_unicode", "part", "p_partkey", "p_name", A.unicode_words,
+    r"regexp_split_to_array(lower(p_name), '[^\p{L}\p{N}]+')",
+)
 _register_corpus("tok_simple", "documents", "doc_id", "text", A.simple, _LETTERS_SQL)
 _register_corpus(
     "tok_whitespace", "documents", "doc_id", "text", A.whitespace,

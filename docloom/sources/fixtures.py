@@ -152,6 +152,18 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_docs(spark, sf_dir).unionByName(mixed_docs(spark, sf_dir))
 
 
+def visit_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collection ``visits``: ``by_user`` has a key of its own in every second document, and is text in a
+    few early ones."""
+    return _rows(
+        spark, sf_dir, "events", "visits", "event_id",
+        """concat('{"type": "', event_type, '"',
+             case when event_id % 2 = 0 then concat(', "by_user": {"u', event_id, '": {"at": ', event_id, '}}')
+                  when event_id < 50 then ', "by_user": "none"' else '' end,
+             case when event_id % 3 = 0 then concat(', "deep": {"user": ', user_id, '}') else '' end, '}')""",
+    )
+
+
 def catalog_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The collections, two system ones, and one whose name only looks like a system one."""
     parts = [

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.values import value_type
@@ -24,13 +25,30 @@ def _problem() -> Column:
     )
 
 
+def _stored_ids(spark: SparkSession, path: str, mode: str) -> DataFrame | None:
+    """Collections and ids below ``path``; None before anything was written there."""
+    if mode != "append":
+        return None
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return stored.select("_index", "_id") if {"_index", "_id"} <= set(stored.columns) else None
+
+
 def append_validated(
-    docs: DataFrame, path: str, on_bad: str = "fail", keep_id: bool = False, mode: str = "append"
+    docs: DataFrame, path: str, on_bad: str = "fail", keep_id: bool = False, mode: str = "append",
+    token: str | None = None,
 ) -> DataFrame:
     """Append documents below ``path``, partitioned by collection; returns the rejected ones.
 
     Every document needs a non-empty ``_index`` and an object as ``_source``. The id is dropped,
-    so writing twice duplicates; ``keep_id=True`` keeps it and writes every id of this call once.
+    so writing twice duplicates, unless the call says otherwise: with ``keep_id=True`` an id that is stored
+    already, or that the call repeats, is not written again, and with a ``token`` the rows of the call go
+    to a folder of that name in each collection, which a repeated call replaces. Both leave the table
+    as one whole call would, also after a call that broke in the middle.
     ``on_bad="fail"`` raises if there is a bad document and writes nothing, ``"reject"`` leaves it
     out. Documents are checked once, so the rejected rows are those that were not written.
     """
@@ -39,8 +57,21 @@ def append_validated(
     if on_bad == "fail" and (first := bad.first()) is not None:
         raise ValueError(f"document not fit to be written: {first['problem']}")
     good = checked.where(F.col("problem").isNull()).drop("problem")
-    good = good.dropDuplicates(["_index", "_id"]) if keep_id else good.drop("_id")
-    good.write.mode(mode).partitionBy("_index").parquet(path)
+    if keep_id:
+        # A document without an id is always new.
+        named = good.where(F.col("_id").isNotNull()).dropDuplicates(["_index", "_id"])
+        stored = _stored_ids(docs.sparkSession, path, mode) if token is None else None
+        if stored is not None:
+            named = named.join(stored, ["_index", "_id"], "left_anti")
+        good = named.unionByName(good.where(F.col("_id").isNull()))
+    else:
+        good = good.drop("_id")
+    if token is None:
+        good.write.mode(mode).partitionBy("_index").parquet(path)
+    else:
+        dealt = good.withColumn("_batch", F.lit(token))
+        writer = dealt.write.mode("overwrite" if mode == "append" else mode)
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("_index", "_batch").parquet(path)
     return bad
 
 

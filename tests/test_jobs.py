@@ -57,8 +57,13 @@ def test_append(spark):
         assert sinks.append_validated(docs, path, on_bad="reject").count() == 1
     assert spark.read.parquet(path).count() == 4
     kept = scratch_path(spark, "t")
-    sinks.append_validated(docs.union(docs), kept, on_bad="reject", keep_id=True)
-    assert spark.read.parquet(kept).count() == 2
+    for _ in range(2):
+        sinks.append_validated(docs.union(docs), kept, on_bad="reject", keep_id=True)
+        assert spark.read.parquet(kept).count() == 2
+    named = scratch_path(spark, "t")
+    for token, rows in (("a", 2), ("a", 2), ("b", 4)):
+        sinks.append_validated(docs, named, on_bad="reject", token=token)
+        assert spark.read.parquet(named).count() == rows
 
 
 def test_ingest_does_not_repeat_after_a_restart(spark):
@@ -67,10 +72,14 @@ def test_ingest_does_not_repeat_after_a_restart(spark):
     for more in ([], [LINES[0].replace('"1"', '"9"')]):
         if more:
             write(spark, folder, more)
-        for job in J.stream_ingest(spark, folder, out):
-            job.awaitTermination()
-    assert spark.read.parquet(f"{out}/valid").count() == 3
-    assert spark.read.parquet(f"{out}/quarantine").count() == 5
+        J.stream_ingest(spark, folder, out).awaitTermination()
+    assert J.ingested(spark, out).count() == 3
+    assert J.ingested(spark, out, "quarantine").count() == 5
+    # A batch that was written and not committed does not count.
+    valid = spark.read.parquet(f"{out}/data/batch=0")
+    valid.write.partitionBy("outcome").parquet(f"{out}/data/batch=9")
+    assert J.ingested(spark, out).count() == 3
+    assert J.ingested(spark, scratch_path(spark, "t")).count() == 0
 
 
 def test_bad_generated_documents_are_not_lost(spark):
@@ -106,9 +115,23 @@ def test_a_replayed_batch_changes_nothing(spark, monkeypatch):
     for batch in (0, 1, 1, 2, 2, 2, 3, 4, 5, 5):
         J._commit(spark, rows, out, batch, total)
         assert J.current_counts(spark, out).first()["documents"] == batch + 1
-        lines = spark.read.parquet(f"{out}/commits").where(F.col("high") == batch).collect()
-        held = [spark.read.parquet(f"{out}/{r['part']}").first()["documents"] for r in lines]
-        assert set(held) == {batch + 1 if batch % 3 == 2 else 1}
+
+
+def test_commits_stay_few(spark, monkeypatch):
+    monkeypatch.setattr(J, "COMPACT", 10)
+    out = scratch_path(spark, "t")
+    rows = spark.createDataFrame([("c", "a", 1)], "_index string, kind string, documents long").coalesce(1)
+    total = lambda parts: parts.groupBy("_index", "kind").agg(F.sum("documents").alias("documents"))
+    earlier = None
+    for batch in range(200):
+        J._commit(spark, rows, out, batch, total)
+        if earlier is not None:
+            # Who read the commit before still finds all that it named.
+            assert earlier.agg(F.sum("documents")).first()[0] == batch
+        earlier = J.committed(spark, out) if batch % 20 > 7 else None
+        assert len(J.Log(spark, out)._commits()) <= J.KEPT
+        assert len(J.Log(spark, out)._names("parts")) <= J.COMPACT + J.KEPT + 1
+    assert J.current_counts(spark, out).first()["documents"] == 200
 
 
 def test_kind_field_with_a_dot_names_one_key(spark):

@@ -33,6 +33,8 @@ UNKNOWN = "und"
 # Bits of the filter of frequent pairs, in slices that are made one by one.
 BITS, SLICES = 1 << 27, 64
 WIDTH = BITS // SLICES
+# Parts of a language that are ranked on their own first.
+PARTS = 16
 # Characters per batch of texts.
 BATCH = 4 << 20
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -236,8 +238,13 @@ def collocations(docs: DataFrame, least: int = LEAST, listed: int = LISTED) -> D
     kept = scored.join(widened.hint("merge"), ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (F.expr(f"cast(longer as {wide}) * 100 < cast(a as {wide}) * {SHARE}"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= listed)
+    # First by parts of a language, so that the last step sees a bounded number of rows of each.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    some = kept.withColumn("part", part).withColumn("place", place).where(F.col("place") <= listed)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
+    best = some.withColumn("rank", rank).where(F.col("rank") <= listed)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 

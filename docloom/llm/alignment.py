@@ -11,7 +11,8 @@ highest count; and a second merge of the same runs hands count and highest count
 documents.
 
 Neither tokenizer merges anything across the start of white space, so a text is taken apart into units
-(white space and what follows it), and each distinct unit is encoded and aligned once per task.
+(white space and what follows it), and each distinct unit is encoded and aligned once per task, in a
+row with others unless it ends in white space.
 Vocabularies for which that does not hold are handled with the whole text as one unit.
 """
 
@@ -81,6 +82,7 @@ class Tokenizers:
         inner = sorted({c for n in names if len(n) > 1 for c in re.findall(f"[{_SPACE}]", n)})
         tied = f"(?:[{re.escape(''.join(inner))}][{_SPACE}]*[^{_SPACE}]*)*" if inner else ""
         self.unit = re.compile(f"[{_SPACE}]*[^{_SPACE}]+{tied}|[{_SPACE}]+")
+        self.alone = re.compile(f"[{_SPACE}]\\Z")
         splitter = spec.get("pre_tokenizer") or {}
         self.local = (
             spec.get("normalizer") is None and splitter.get("type") == "ByteLevel"
@@ -132,11 +134,16 @@ class Units:
         self.pairs = self.times = np.zeros(0, np.int64)
 
     def add(self, units: list[str]) -> None:
-        found = []
-        # Units in lots of bounded length, as all but a few are short.
-        for begin, end in pieces(units, LOT):
-            found += self._aligned(units[begin:end])
-        for number, unit in enumerate(units, len(self.places)):
+        found, alone = [], self.tokenizers.alone
+        joined = [u for u in units if not alone.search(u)]
+        ended = [u for u in units if alone.search(u)]
+        # Units in lots of bounded length, as all but a few are short. White space at the end of one would
+        # run into the next.
+        for begin, end in pieces(joined, LOT):
+            found += self._aligned(joined[begin:end])
+        for unit in ended:
+            found += self._aligned([unit])
+        for number, unit in enumerate(joined + ended, len(self.places)):
             self.places[unit] = number
         if found:
             texts, counts, sizes, pairs, times = zip(*found)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.store import stored
+from docloom.llm.store import lowest, stored
 from docloom.llm.vectors import matrix, rotation, usable
 
 # Bound of the sample that the centers are fitted on, and the most lists.
@@ -136,12 +136,12 @@ def build(vectors: DataFrame, sample: int = SAMPLE, lists: int | None = None) ->
     stats = vectors.groupBy(size.alias("size")).agg(
         F.count(F.lit(1)).alias("n"), F.sqrt(F.max(square)).alias("longest")
     ).collect()
-    chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").collect()
+    longest = {r["size"]: r["longest"] for r in stats}
+    total = {r["size"]: r["n"] for r in stats}
+    chosen = lowest(vectors, sum(total.values()), sample, "vec_id").select("embedding").collect()
     by_size: dict[int, list] = {}
     for row in chosen:
         by_size.setdefault(len(row[0]), []).append(row[0])
-    longest = {r["size"]: r["longest"] for r in stats}
-    total = {r["size"]: r["n"] for r in stats}
     centers = {}
     for n, rows in by_size.items():
         count = lists or max(1, min(LISTS, round(math.sqrt(total[n]))))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docloom.session import scratch_path
 
@@ -26,3 +27,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def lowest(df: DataFrame, total: int, size: int, *keys: str | Column) -> DataFrame:
+    """The ``size`` rows of lowest hash of ``keys``, out of ``total`` rows.
+
+    A plain sort and limit would bring ``size`` rows of every partition to one place. Rows beyond a hash
+    that about twice ``size`` rows stay below never leave theirs; should repeated keys leave fewer than ``size`` rows
+    below it, the sample is smaller.
+    """
+    share = min(1.0, (2 * size + 1000) / max(total, 1))
+    # The hash as a number from 0 to 1.
+    place = F.xxhash64(*keys) / F.lit(2.0**64) + 0.5
+    return df.withColumn("_place", place).where(F.col("_place") <= share).orderBy("_place", *keys).limit(size).drop("_place")

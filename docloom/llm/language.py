@@ -214,14 +214,14 @@ def _spans(texts, spans: int, size: int):
 def train(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> dict:
     """A model from ``text`` and non-null ``lang`` of ``docs``.
 
-    The sample is bounded by the parameters above: the documents of each language with the lowest
-    hash, whole texts read, evenly spread spans taken. Without usable rows the model has no language.
+    The sample is bounded by the parameters above: the rows of each language with the lowest hash of id,
+    language and text, whole texts read, evenly spread spans taken. Null texts teach nothing, repeated
+    rows and ties of the hash count as rows. Without usable rows the model has no language.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    ranked = docs.where("lang is not null").select(
-        "doc_id", "lang", F.xxhash64("doc_id", "lang").alias("_order")
-    )
+    order = F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 30))
+    ranked = docs.where("lang is not null").select("lang", "text", order.alias("_order"))
     counts = ranked.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -232,15 +232,12 @@ def train(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> dict:
         (r["lang"], math.ceil((1 << 30) * min(1.0, 1.3 * (per_language + 20) / r["count"]))) for r in counts
     ]
     limit = F.create_map(*[F.lit(x) for pair in limits for x in pair])
-    final = Window.partitionBy("lang").orderBy("_order", "doc_id")
-    chosen = (
-        ranked.withColumn("_order", F.pmod("_order", F.lit(1 << 30)))
-        .where(F.col("_order") < limit[F.col("lang")])
+    # Rows are ranked, not ids: ids may be missing or shared by any number of rows.
+    final = Window.partitionBy("lang").orderBy("_order", "text")
+    rows = (
+        ranked.where(F.col("_order") < limit[F.col("lang")])
         .withColumn("_at", F.row_number().over(final)).where(F.col("_at") <= per_language)
-        .select("doc_id", "lang")
     )
-    sample = chosen.limit(per_language * MAX_LANGUAGES)
-    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"], "left_semi")
 
     def cut(batches):
         for batch in batches:

@@ -50,7 +50,7 @@ def random_value(rng, depth):
 
 def test_template_equals_sequential_merge(spark):
     rng = random.Random(5)
-    frames, expected = None, {}
+    rows, expected = [], {}
     for case in range(60):
         docs = [
             {k: random_value(rng, 3) for k in "xyz" if rng.random() < 0.8}
@@ -61,8 +61,8 @@ def test_template_equals_sequential_merge(spark):
             merged = merge(merged, doc)
         kind = f"k{case}"
         expected[kind] = dict(leaves(merged, "_source"))
-        frame = docs_of(spark, [json.dumps(d) for d in docs]).withColumn("kind", F.lit(kind))
-        frames = frame if frames is None else frames.unionByName(frame)
+        rows += [("c", str(i), i, json.dumps(d), kind) for i, d in enumerate(docs)]
+    frames = spark.createDataFrame(rows, "_index string, _id string, seq long, raw string, kind string")
     for partitions in (1, 8):
         found: dict = {}
         for r in S.merged_template(frames.repartition(partitions)).collect():

@@ -18,6 +18,17 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def held(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column computed once per row, whatever is derived from it later.
+
+    The optimizer copies a column's expression into every filter on what is derived from it, and there
+    each mention is computed anew; a generated column is not copied.
+    """
+    rest = [c for c in df.columns if c != name]
+    generated = df.select(*rest, F.explode_outer(F.array(name)).alias(name))
+    return generated.select(*df.columns)
+
+
 def explode_rows(df: DataFrame, array: Column, name: str, *keep: str) -> DataFrame:
     """``keep`` and one row per non-null element."""
     rows = df.select(*keep, F.explode_outer(array).alias(name))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.analysis import standard_lower
-from docloom.functions.rows import let
+from docloom.functions.rows import held, let
 from docloom.functions.values import (
     body_of, field_path, geo_point_subtype, nodes, number_mode, parse_document, steps, value_type, walk,
 )
@@ -336,15 +336,17 @@ def dynamic_policy(docs: DataFrame, mapped: list[str], policy: str) -> DataFrame
     members = F.try_variant_get(body_of(docs), "$", "map<string,variant>")
     keys = F.col("_keys") if "_keys" in docs.columns else F.json_object_keys("raw")
     known = F.array(*map(F.lit, mapped)).cast("array<string>")
-    unknown = docs.withColumn("_members", members).withColumn(
-        "unmapped", F.when(F.col("_members").isNotNull(), F.array_except(keys, known))
+    unknown = held(docs.withColumn("_members", members), "_members")
+    unknown = held(
+        unknown.withColumn("unmapped", F.when(F.col("_members").isNotNull(), F.array_except(keys, known))), "unmapped"
     )
     rejected = F.col("_members").isNull()
     if policy == "strict":
         rejected = rejected | (F.size("unmapped") > 0)
     unknown = unknown.withColumn("rejected", rejected)
     if policy in ("true", "runtime"):
-        found = F.map_filter("_members", lambda key, _: F.array_contains(F.col("unmapped"), key))
+        # The keys of a whole object are those of its members, so the known ones tell the rest.
+        found = F.map_filter("_members", lambda key, _: ~F.array_contains(known, key))
         if policy == "true":
             found = F.transform_values(
                 found,

@@ -8,6 +8,7 @@ from docloom.functions.values import parse_document
 from docloom.operators import mapping as M
 from docloom.plans.registry import query
 from docloom.sources import fixtures as X
+from docloom.sources.documents import parsed_once
 from docloom.sources.tables import table
 
 _LOOSE = "WITH" + X.LOOSE_SQL
@@ -164,7 +165,8 @@ MAPPED_KEYS = ["id", "n", "label", "day", "span", "tree", "items"]
       count(*) FROM loose GROUP BY 3""",
 )
 def dynamic_policy(spark, sf):
-    docs = X.with_broken(X.loose_docs(spark, sf))
+    # Four policies look at the documents, which are parsed once.
+    docs = parsed_once(X.with_broken(X.loose_docs(spark, sf)), "seq")
     unreadable = F.when(F.col("unmapped").isNull() & F.col("rejected"), "unreadable")
 
     def counted(policy, rows, *keys):

@@ -257,7 +257,7 @@ def apply_mapping(docs: DataFrame, mapping: list[Field], *keep: str) -> DataFram
     object has ``_source`` there. An explicit null takes ``null_value``, a missing field does not; text
     longer than ``ignore_above`` becomes NULL. See ``observed_arrays`` for fields of several values.
     """
-    body = docs.withColumn("_body", body_of(docs))
+    body = held(docs.select(*keep, body_of(docs).alias("_body")), "_body")
     raw = [F.try_variant_get("_body", f.path, "variant").alias(f"_v_{f.name}") for f in mapping]
     object_ = F.try_variant_get("_body", "$", "map<string,variant>").isNotNull()
     values = body.select(*keep, *raw, object_.alias("_whole"))

@@ -26,3 +26,13 @@ def test_unmapped_keys_are_found_once_a_document(spark):
     assert lambdas and not any("jsonObjectKeys" in x for x in lambdas)
     strict = M.dynamic_policy(docs, ["a"], "strict").where("rejected")
     assert strict.count() == 3 and not any("parseJson" in x or "jsonObjectKeys" in x for x in filters(strict))
+
+
+def test_quarantine_filter_parses_no_text(spark):
+    docs = materialize(docs_of(spark, ['{"t":["a","b"],"n":1}', '{"t":"c"}', '{"t":"d","n":"many"}', '[1]']))
+    mapping = M.observed_arrays(docs, [M.Field("t", "$.t", "keyword"), M.Field("n", "$.n", "long")])
+    mapped = M.apply_mapping(docs, mapping, "seq")
+    kept = mapped.where(~M.is_quarantined())
+    assert sorted((r["t"], r["n"]) for r in kept.collect()) == [(["a", "b"], 1), (["c"], None)]
+    assert mapped.where(M.is_quarantined()).count() == 2
+    assert filters(kept) and not any("parseJson" in x for x in filters(kept))

@@ -29,6 +29,21 @@ def held(df: DataFrame, name: str) -> DataFrame:
     return generated.select(*df.columns)
 
 
+# Parts that the rows of one key are dealt to.
+SALTS = 32
+
+
+def spread_join(many: DataFrame, few: DataFrame, on: list[str], by: str, how: str = "inner") -> DataFrame:
+    """``many.join(few, on, how)`` for keys that a large part of ``many`` may share.
+
+    The rows of a key are dealt by the hash of column ``by`` to ``SALTS`` parts, and ``few`` is repeated for
+    each: no task gets all rows of a key. For inner, left and semi joins, which keep rows of ``many``.
+    """
+    dealt = many.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    repeated = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
 def explode_rows(df: DataFrame, array: Column, name: str, *keep: str) -> DataFrame:
     """``keep`` and one row per non-null element."""
     rows = df.select(*keep, F.explode_outer(array).alias(name))

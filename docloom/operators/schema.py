@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions.rows import spread_join
 from docloom.functions.values import (
     ancestors, body_of, document_nodes, field_path, is_member, leads_arrays, value_type,
 )
@@ -21,13 +22,14 @@ MAP_MEMBERS, TABLE_COLUMNS = 200, 2000
 def _last_seen(kinded: DataFrame) -> DataFrame:
     """Per kind and path the last ``seq`` that set it to a scalar, an object and an array.
 
-    Three longs per group, so the map side combines in a hash table and values stay behind.
+    ``mixed`` marks paths set to more than one of them. A few numbers per group, so the map side combines in a hash table and values stay behind.
     """
 
     def last(condition: Column) -> Column:
         return F.max(F.when(condition, F.col("seq")).otherwise(F.lit(-1).cast("bigint")))
 
     type_ = F.col("type")
+    form = F.when(type_ == "object", 1).when(type_ == "array", 2).otherwise(0)
     found = document_nodes(kinded, ROOT, "_index", "kind", "seq")
     below = (
         found.groupBy("_index", "kind", "path")
@@ -35,12 +37,13 @@ def _last_seen(kinded: DataFrame) -> DataFrame:
             last(~type_.isin("object", "array")).alias("scalar"),
             last(type_ == "object").alias("object"),
             last(type_ == "array").alias("array"),
+            (F.min(form) < F.max(form)).alias("mixed"),
         )
     )
     never = F.lit(-1).cast("bigint")
     roots = kinded.groupBy("_index", "kind").agg(F.max("seq").alias("object")).select(
         "_index", "kind", F.lit(ROOT).alias("path"), never.alias("scalar"), "object",
-        never.alias("array"),
+        never.alias("array"), F.lit(False).alias("mixed"),
     )
     return (
         below.unionByName(roots)
@@ -61,19 +64,19 @@ def template_paths(kinded: DataFrame) -> DataFrame:
     ``(_index, kind, path, above, last, state)``: ``last`` is the document that decides the path.
     A path is gone when an ancestor was later set to a scalar, or to the other container
     (an array over an object, an object over an array). Ancestors are found by equi-joins on
-    the table of paths, not on the documents.
+    the table of paths, not on the documents; only ancestors set to more than one form can take a path
+    away, and all paths of a kind may lie below one of them.
     """
     seen = materialize(_last_seen(kinded))
     above = seen.select("_index", "kind", "path", "last", F.explode("above").alias("a"))
     killer = F.greatest(
         F.col("scalar"), F.when(F.col("a.step") == "key", F.col("array")).otherwise(F.col("object"))
     )
-    setters = seen.select(
+    setters = seen.where("mixed").select(
         "_index", "kind", F.col("path").alias("a_path"), "scalar", "object", "array"
     )
     gone = (
-        above.withColumn("a_path", F.col("a.path"))
-        .join(setters, ["_index", "kind", "a_path"])
+        spread_join(above.withColumn("a_path", F.col("a.path")), setters, ["_index", "kind", "a_path"], "path")
         .where(killer > F.col("last"))
         .select("_index", "kind", "path")
         .distinct()
@@ -160,7 +163,8 @@ def kind_schema(kinded: DataFrame, kinds: DataFrame, mapping: DataFrame) -> Data
     columns = ["_index", "kind", "path", "type"]
     some = listed.where(~F.col("all_fields")).select("_index", "kind")
     whole = listed.where("all_fields").join(mapping, "_index").select(columns)
-    found = present.join(mapping, ["_index", "path"]).join(some, ["_index", "kind"], "left_semi")
+    mapped = present.join(mapping, ["_index", "path"])
+    found = spread_join(mapped, some, ["_index", "kind"], "path", "left_semi")
     return found.select(columns).unionByName(whole)
 
 
@@ -185,14 +189,14 @@ def observed_schema(kinded: DataFrame) -> DataFrame:
     ``kind_order`` the ``seq`` of the kind's first document.
     """
     order = kinded.groupBy("_index", "kind").agg(F.min("seq").alias("kind_order"))
-    return (
+    fields = (
         template_paths(kinded)
         .where(leads_arrays(F.col("path")))
         .where(is_member(F.col("path")) & (F.col("path") != ROOT))
         .select("_index", "kind", field_path(F.col("path")).alias("path"),
                 F.col("state").alias("type"))
-        .join(order, ["_index", "kind"])
     )
+    return spread_join(fields, order, ["_index", "kind"], "path")
 
 
 def schema_merge(schemas: DataFrame) -> DataFrame:
@@ -238,15 +242,18 @@ def fold_maps(merged: DataFrame, most: int = MAP_MEMBERS, columns: int = TABLE_C
             F.count(F.lit(1)).alias("members")
         )
         maps = parents.where(F.col("members") > most).select("_index", "path")
-        inside = (
-            rows.select("_index", F.col("path").alias("member"), F.explode("_above").alias("path"))
-            .join(maps, ["_index", "path"], "left_semi").select("_index", F.col("member").alias("path")).distinct()
+        opened = rows.select("_index", "path", "type", "kind", F.explode_outer("_above").alias("above"))
+        hits = maps.select("_index", F.col("path").alias("above"), F.lit(True).alias("_inside"))
+        # Most paths may lie in one map, and there are as many as documents: they are grouped, not looked up.
+        left = (
+            spread_join(opened, hits, ["_index", "above"], "path", "left")
+            .groupBy("_index", "path", "type", "kind").agg(F.max("_inside").alias("_inside"))
+            .where(F.col("_inside").isNull())
         )
-        left = rows.join(inside, ["_index", "path"], "left_anti")
         marked = left.join(maps.withColumn("_map", F.lit(True)), ["_index", "path"], "left")
-        folded = marked.withColumn("type", F.when(F.col("_map"), "map").otherwise(F.col("type"))).drop("_map", "_above")
+        folded = marked.withColumn("type", F.when(F.col("_map"), "map").otherwise(F.col("type"))).drop("_map", "_inside")
         roots = maps.where(F.col("path") == ROOT).join(
-            merged.groupBy("_index").agg(F.min("kind").alias("kind")), "_index"
+            rows.groupBy("_index").agg(F.min("kind").alias("kind")), "_index"
         ).select("_index", "path", F.lit("map").alias("type"), "kind")
         found = materialize(folded.select("_index", "path", "type", "kind").unionByName(roots), "folded")
         if most <= 1 or found.count() <= columns:

@@ -2,7 +2,11 @@
 
 import re
 
+from pyspark.sql import functions as F
+
+from docloom.functions.rows import spread_join
 from docloom.operators import mapping as M
+from docloom.operators import schema as S
 from docloom.session import materialize
 
 from tests.test_layouts import plan
@@ -36,3 +40,37 @@ def test_quarantine_filter_parses_no_text(spark):
     assert sorted((r["t"], r["n"]) for r in kept.collect()) == [(["a", "b"], 1), (["c"], None)]
     assert mapped.where(M.is_quarantined()).count() == 2
     assert filters(kept) and not any("parseJson" in x for x in filters(kept))
+
+
+def test_rows_of_one_key_are_dealt_to_many_tasks(spark):
+    many = spark.range(2000).selectExpr("id", "if(id % 50 = 0, id, 7) AS k")
+    few = spark.createDataFrame([(7, "a"), (100, "b"), (1, "c")], "k long, v string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for how in ("inner", "left", "left_semi"):
+            joined = spread_join(many, few, ["k"], "id", how)
+            assert sorted(map(repr, joined.collect())) == sorted(map(repr, many.join(few, ["k"], how).collect()))
+            assert joined.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_members_of_maps_are_not_looked_up_in_one_task(spark, monkeypatch):
+    docs = docs_of(spark, ['{"by":{"u%d":{"at":%d}},"plain":1}' % (i, i) for i in range(300)] + ['{"by":"none"}'])
+    kinded = materialize(docs.withColumn("kind", F.lit("k")))
+    plans, write = [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, *label: (plans.append(plan(df)), write(df, *label))[1])
+    merged = S.schema_merge(S.observed_schema(kinded))
+    folded = {r["path"]: r["type"] for r in S.fold_maps(merged).collect()}
+    # The last document set the object over, so its members are gone.
+    assert folded == {"_source.by": "scalar", "_source.plain": "scalar"}
+    first = materialize(kinded.where("seq < 300"))
+    folded = {r["path"]: r["type"] for r in S.fold_maps(S.schema_merge(S.observed_schema(first))).collect()}
+    assert folded == {"_source.by": "map", "_source.plain": "scalar"}
+    # What lies in a map is as much as the documents hold: no table of it is sent to every task.
+    assert not any("LeftAnti" in p for p in plans if "_inside" in p or "member" in p)
+    assert any("_salt" in p for p in plans)

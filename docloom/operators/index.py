@@ -18,7 +18,9 @@ from docloom.operators.terms import K1, B, _top, doc_terms
 from docloom.session import materialize
 
 # Steps of a term's weight in a document, entries of a block, folders of terms, and entries of a file.
-LEVELS, BLOCK, BUCKETS, FILE_ENTRIES = 32, 256, 64, 4_000_000
+LEVELS, BLOCK, BUCKETS, FILE_ENTRIES = 32, 256, 64, 1_000_000
+# Terms whose numbers are sent to every task while an index is built.
+FREQUENT = 200_000
 # Scores are compared after rounding to six digits.
 SLACK = 1e-6
 MODELS = ("bm25", "classic", "boolean")
@@ -28,10 +30,14 @@ def _bucket(field: Column, term: Column) -> Column:
     return F.pmod(F.xxhash64(field, term), F.lit(BUCKETS)).cast("int")
 
 
-def _saturated(mean: Column) -> Column:
+def _saturated(mean: Column, freq: Column, length: Column) -> Column:
     """Weight of a term in a document by its count and the document's length."""
-    norm = F.col("freq") + K1 * (1 - B + B * F.col("length") / mean)
-    return F.col("freq") * (K1 + 1) / norm
+    return freq * (K1 + 1) / (freq + K1 * (1 - B + B * length / mean))
+
+
+def _share(freq: Column, norm: Column) -> Column:
+    """Part that a term's count has in the length of its document's vector."""
+    return F.when(norm > 0, freq / norm).otherwise(0.0)
 
 
 def build_index(docs: DataFrame, doc: str, fields: dict[str, tuple[str, Analyzer]], path: str) -> None:
@@ -41,6 +47,11 @@ def build_index(docs: DataFrame, doc: str, fields: dict[str, tuple[str, Analyzer
     of the document to blocks of about ``BLOCK`` entries, so that a term of any frequency is many blocks.
     Tables: ``fields`` (documents and mean length), ``levels`` (entries, blocks and highest weights of
     each level of a term), ``blocks``. Every row of ``docs`` is a document, with an id of its own.
+
+    The terms of a document cross the network once in its row, to get its norm, and once as entries, to
+    get to their blocks. What is asked of the corpus about a term comes to the entries of frequent terms as a
+    small table of at most ``FREQUENT``; only the entries of the others are sent to their term, and those keep
+    each of their levels in one block.
     """
     analyzed = None
     for field, (text, analyzer) in fields.items():
@@ -48,7 +59,7 @@ def build_index(docs: DataFrame, doc: str, fields: dict[str, tuple[str, Analyzer
         length = F.aggregate("terms", F.lit(0), lambda n, t: n + t["freq"])
         rows = found.select(F.lit(field).alias("field"), F.col(doc).alias("doc"), length.alias("length"), "terms")
         analyzed = rows if analyzed is None else analyzed.unionByName(rows)
-    analyzed = materialize(analyzed, "analyzed")
+    analyzed = materialize(analyzed, "analyzed", compression="zstd")
     sizes = materialize(
         analyzed.groupBy("field").agg(
             F.count(F.lit(1)).cast("double").alias("n"), F.avg("length").alias("mean")
@@ -57,41 +68,86 @@ def build_index(docs: DataFrame, doc: str, fields: dict[str, tuple[str, Analyzer
     sizes.write.parquet(f"{path}/fields")
     entries = inline_rows(analyzed, F.col("terms"), ["term", "freq"], "field", "doc", "length")
     terms = materialize(entries.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")), "terms")
-    weights = terms.join(sizes, "field").select("field", "term", F.log(F.col("n") / F.col("df")).alias("idf"))
-    norms = (
-        entries.join(weights, ["field", "term"])
-        .withColumn("w", F.col("freq") * F.col("idf"))
-        .groupBy("field", "doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    )
+    # The bound on entries is doubled until no more than FREQUENT terms are above it.
+    bounds = [0, *(1 << i for i in range(62))]
+    above = terms.agg(*[F.count(F.when(F.col("df") > x, 1)).alias(str(x)) for x in bounds]).first()
+    bound = next(x for x, n in zip(bounds, above, strict=True) if n <= FREQUENT)
+    frequent = terms.where(F.col("df") > bound)
+    norms = _norms(entries, terms.where(F.col("df") <= bound), F.broadcast(frequent), sizes)
     # Fields are as few as the caller names.
-    means = sizes.select("field", "mean")
-    weighed = materialize(
-        entries.join(norms, ["field", "doc"]).join(means, "field")
-        .withColumn("impact", _saturated(F.col("mean")))
-        .withColumn("share", F.when(F.col("norm") > 0, F.col("freq") / F.col("norm")).otherwise(0.0))
-        .withColumn("level", F.least(F.lit(LEVELS - 1), F.floor(F.col("impact") / (K1 + 1) * LEVELS)).cast("int"))
-        .drop("mean"), "entries",
-    )
-    levels = materialize(
-        weighed.groupBy("field", "term", "level").agg(
-            F.count(F.lit(1)).alias("entries"), F.max("impact").alias("impact"), F.max("share").alias("share")
+    means = F.broadcast(sizes.select("field", "mean"))
+
+    def leveled(rows: DataFrame) -> DataFrame:
+        impact = F.least(F.lit(LEVELS - 1), F.floor(F.col("impact") / (K1 + 1) * LEVELS))
+        return (
+            rows.join(means, "field").withColumn("impact", _saturated(F.col("mean"), F.col("freq"), F.col("length")))
+            .withColumn("level", impact.cast("int")).drop("mean")
         )
-        .join(terms, ["field", "term"])
-        .withColumn("blocks", F.ceil(F.col("entries") / BLOCK).cast("int"))
-        .withColumn("bucket", _bucket(F.col("field"), F.col("term"))), "levels",
-    )
-    levels.repartition("bucket").sortWithinPartitions("field", "term").write.partitionBy("bucket").parquet(f"{path}/levels")
-    count = levels.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0]
-    spread = max(1, math.ceil(count / (BUCKETS * FILE_ENTRIES)))
+
     key = ["field", "term", "level"]
-    entry = F.struct("doc", "freq", "length", "norm")
+    long = frequent.where(F.col("df") > BLOCK).select("field", "term")
+    large = F.broadcast(materialize(
+        leveled(entries.join(F.broadcast(long), ["field", "term"], "left_semi"))
+        .groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        .where(F.col("blocks") > 1), "large-levels",
+    ))
+    count = terms.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    spread = max(1, math.ceil(count / (BUCKETS * FILE_ENTRIES)))
+    # Two arrays of plain values are half as long on the way as one of structs.
+    split = analyzed.select("field", "doc", "length", "terms.term", "terms.freq")
+    normed = inline_rows(
+        split.join(norms, ["field", "doc"]), F.arrays_zip("term", "freq"), ["term", "freq"], "field", "doc", "length", "norm"
+    )
+    placed = (
+        leveled(normed).drop("impact")
+        .join(large, key, "left")
+        .withColumn("block", F.pmod(F.xxhash64("doc"), F.coalesce("blocks", F.lit(1))).cast("int"))
+        .drop("blocks")
+        .withColumn("bucket", _bucket(F.col("field"), F.col("term")))
+        .withColumn("part", F.pmod(F.xxhash64("term", "level", "block"), F.lit(spread)).cast("int"))
+    )
+    # The parts that the entries are dealt to are whole groups of the blocks, so that nothing is dealt twice.
     blocks = (
-        weighed.join(levels.select(*key, "blocks", "bucket"), key)
-        .withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
-        .groupBy("bucket", *key, "block").agg(F.collect_list(entry).alias("postings"))
+        placed.repartition("bucket", "part")
+        .groupBy("bucket", "part", *key, "block")
+        .agg(F.collect_list(F.struct("doc", "freq", "length", "norm")).alias("postings"))
+    )
+    blocks = blocks.drop("part").sortWithinPartitions("bucket", *key, "block")
+    blocks.write.partitionBy("bucket").parquet(f"{path}/blocks", compression="zstd")
+    _write_levels(docs.sparkSession.read.parquet(f"{path}/blocks"), means, large, path)
+
+
+def _norms(entries: DataFrame, rare: DataFrame, frequent: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``(field, doc, norm)``: the length of each document's vector of weighted terms."""
+    n = F.broadcast(sizes.select("field", "n"))
+    known = entries.select("field", "doc", "term", "freq").join(frequent, ["field", "term"], "left")
+    # The frequent terms are a small table, and the others have few entries each: no task gets a long one.
+    weighed = known.where(F.col("df").isNotNull()).unionByName(
+        known.where(F.col("df").isNull()).drop("df").join(rare, ["field", "term"]).select(known.columns)
+    )
+    w = F.col("freq") * F.log(F.col("n") / F.col("df"))
+    return (
+        weighed.join(n, "field").select("field", "doc", w.alias("w"))
+        .groupBy("field", "doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    )
+
+
+def _write_levels(blocks: DataFrame, means: DataFrame, large: DataFrame, path: str) -> None:
+    """Entries, blocks and highest weights of each level of a term, from its blocks."""
+    impact = F.transform("postings", lambda p: _saturated(F.col("mean"), p["freq"], p["length"]))
+    share = F.transform("postings", lambda p: _share(p["freq"], p["norm"]))
+    held = blocks.join(means, "field").select(
+        "bucket", "field", "term", "level", F.size("postings").alias("entries"),
+        F.array_max(impact).alias("impact"), F.array_max(share).alias("share"),
+    )
+    # A folder's rows go to one task, as they are written; a term has no more rows than levels.
+    levels = held.repartition("bucket").groupBy("bucket", "field", "term", "level").agg(
+        F.sum(F.col("entries").cast("bigint")).alias("entries"), F.max("impact").alias("impact"), F.max("share").alias("share")
     )
-    dealt = blocks.repartition("bucket", F.pmod(F.xxhash64("term", "level", "block"), F.lit(spread)))
-    dealt.sortWithinPartitions("bucket", *key, "block").write.partitionBy("bucket").parquet(f"{path}/blocks")
+    df = F.sum("entries").over(Window.partitionBy("bucket", "field", "term"))
+    counted = levels.withColumn("df", df).join(large, ["field", "term", "level"], "left")
+    rows = counted.withColumn("blocks", F.coalesce("blocks", F.lit(1))).sortWithinPartitions("bucket", "field", "term")
+    rows.write.partitionBy("bucket").parquet(f"{path}/levels", compression="zstd")
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -139,8 +195,8 @@ class _Search:
             ["doc", "freq", "length", "norm"], "field", "weight",
         )
         unit = {
-            "bm25": _saturated(F.element_at(means, F.col("field"))),
-            "classic": F.when(F.col("norm") > 0, F.col("freq") / F.col("norm")).otherwise(0.0),
+            "bm25": _saturated(F.element_at(means, F.col("field")), F.col("freq"), F.col("length")),
+            "classic": _share(F.col("freq"), F.col("norm")),
             "boolean": F.lit(1.0),
         }[self.model]
         return entries.select("doc", (F.col("weight") * unit).alias("score"))

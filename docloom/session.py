@@ -50,8 +50,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+def materialize(df: DataFrame, label: str = "table", compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

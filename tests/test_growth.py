@@ -4,10 +4,13 @@ import re
 
 from pyspark.sql import functions as F
 
+from docloom.functions import analysis as A
 from docloom.functions.rows import spread_join
+from docloom.operators import index as I
 from docloom.operators import mapping as M
 from docloom.operators import schema as S
-from docloom.session import materialize
+from docloom.operators import terms as T
+from docloom.session import materialize, scratch_path
 
 from tests.test_layouts import plan
 from tests.test_rules import docs_of
@@ -74,3 +77,22 @@ def test_members_of_maps_are_not_looked_up_in_one_task(spark, monkeypatch):
     # What lies in a map is as much as the documents hold: no table of it is sent to every task.
     assert not any("LeftAnti" in p for p in plans if "_inside" in p or "member" in p)
     assert any("_salt" in p for p in plans)
+
+
+def test_index_with_more_terms_than_are_sent_to_tasks(spark, monkeypatch):
+    rows = [(i, " ".join(["all"] * (i % 5 + 1) + [f"w{i % 40}", f"w{i % 7}", f"only{i}"])) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "id long, body string")
+    labels, write = [], I.materialize
+    monkeypatch.setattr(I, "FREQUENT", 3)
+    monkeypatch.setattr(I, "materialize", lambda df, *label, **kw: (labels.append(label), write(df, *label, **kw))[1])
+    path = scratch_path(spark, "t")
+    I.build_index(docs, "id", {"body": ("body", A.standard_lower)}, path)
+    # Entries go to their blocks as they are made: no table of them is written on the way.
+    assert ("entries",) not in labels
+    levels = spark.read.parquet(f"{path}/levels")
+    sums = {r["term"]: (r["n"], r["df"]) for r in levels.groupBy("term").agg(F.sum("entries").alias("n"), F.max("df").alias("df")).collect()}
+    assert sums["all"] == (1200, 1200) and sums["only7"] == (1, 1) and all(n == df for n, df in sums.values())
+    assert levels.where("term = 'all' AND blocks <> ceil(entries / 256)").count() == 0
+    assert levels.where("term <> 'all' AND df <= 256 AND blocks <> 1").count() == 0
+    expected = T.rank_classic(docs, "id", "body", A.standard_lower, ["w3", "all", "only8"], 9).collect()
+    assert I.search(spark, path, {"body": ["w3", "all", "only8"]}, 9, "classic", doc="id").collect() == expected

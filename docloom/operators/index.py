@@ -67,13 +67,6 @@ def build_index(docs: DataFrame, doc: str, fields: dict[str, tuple[str, Analyzer
     )
     sizes.write.parquet(f"{path}/fields")
     entries = inline_rows(analyzed, F.col("terms"), ["term", "freq"], "field", "doc", "length")
-    terms = materialize(entries.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")), "terms")
-    # The bound on entries is doubled until no more than FREQUENT terms are above it.
-    bounds = [0, *(1 << i for i in range(62))]
-    above = terms.agg(*[F.count(F.when(F.col("df") > x, 1)).alias(str(x)) for x in bounds]).first()
-    bound = next(x for x, n in zip(bounds, above, strict=True) if n <= FREQUENT)
-    frequent = terms.where(F.col("df") > bound)
-    norms = _norms(entries, terms.where(F.col("df") <= bound), F.broadcast(frequent), sizes)
     # Fields are as few as the caller names.
     means = F.broadcast(sizes.select("field", "mean"))
 
@@ -85,11 +78,21 @@ def build_index(docs: DataFrame, doc: str, fields: dict[str, tuple[str, Analyzer
         )
 
     key = ["field", "term", "level"]
+    counts = materialize(
+        leveled(entries).groupBy(*key).agg(F.count(F.lit(1)).alias("entries")), "counts", compression="zstd"
+    )
+    terms = materialize(counts.groupBy("field", "term").agg(F.sum("entries").alias("df")), "terms")
+    # The bound on entries is doubled until no more than FREQUENT terms are above it.
+    bounds = [0, *(1 << i for i in range(62))]
+    above = terms.agg(*[F.count(F.when(F.col("df") > x, 1)).alias(str(x)) for x in bounds]).first()
+    bound = next(x for x, n in zip(bounds, above, strict=True) if n <= FREQUENT)
+    frequent = terms.where(F.col("df") > bound)
+    rare = terms.where(F.col("df") <= bound) if bound else None
+    norms = _norms(entries, rare, F.broadcast(frequent), sizes)
     long = frequent.where(F.col("df") > BLOCK).select("field", "term")
     large = F.broadcast(materialize(
-        leveled(entries.join(F.broadcast(long), ["field", "term"], "left_semi"))
-        .groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-        .where(F.col("blocks") > 1), "large-levels",
+        counts.where(F.col("entries") > BLOCK).join(F.broadcast(long), ["field", "term"], "left_semi")
+        .select(*key, F.ceil(F.col("entries") / BLOCK).cast("int").alias("blocks")), "large-levels",
     ))
     count = terms.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
     spread = max(1, math.ceil(count / (BUCKETS * FILE_ENTRIES)))
@@ -117,14 +120,17 @@ def build_index(docs: DataFrame, doc: str, fields: dict[str, tuple[str, Analyzer
     _write_levels(docs.sparkSession.read.parquet(f"{path}/blocks"), means, large, path)
 
 
-def _norms(entries: DataFrame, rare: DataFrame, frequent: DataFrame, sizes: DataFrame) -> DataFrame:
+def _norms(entries: DataFrame, rare: DataFrame | None, frequent: DataFrame, sizes: DataFrame) -> DataFrame:
     """``(field, doc, norm)``: the length of each document's vector of weighted terms."""
     n = F.broadcast(sizes.select("field", "n"))
-    known = entries.select("field", "doc", "term", "freq").join(frequent, ["field", "term"], "left")
-    # The frequent terms are a small table, and the others have few entries each: no task gets a long one.
-    weighed = known.where(F.col("df").isNotNull()).unionByName(
-        known.where(F.col("df").isNull()).drop("df").join(rare, ["field", "term"]).select(known.columns)
-    )
+    entries = entries.select("field", "doc", "term", "freq")
+    if rare is None:
+        weighed = entries.join(frequent, ["field", "term"])
+    else:
+        # The frequent terms are a small table, and the others have few entries each: no task gets a long one.
+        known = entries.join(frequent, ["field", "term"], "left")
+        others = known.where(F.col("df").isNull()).drop("df").join(rare, ["field", "term"])
+        weighed = known.where(F.col("df").isNotNull()).unionByName(others)
     w = F.col("freq") * F.log(F.col("n") / F.col("df"))
     return (
         weighed.join(n, "field").select("field", "doc", w.alias("w"))
